@@ -26,22 +26,29 @@ def nullify_tokens(col: ColumnLike, tokens: Sequence[str] = NULL_TOKENS) -> Colu
     return F.when(t.isNull() | t.isin(*[s.strip() for s in tokens]), F.lit(None).cast("string")).otherwise(t)
 
 
-def pct(num: ColumnLike, den: ColumnLike, scale: int = 2) -> Column:
-    """100 * num / den in decimal arithmetic, rounded half-up, as DOUBLE.
+def _dec(x: ColumnLike) -> Column:
+    # decimal(24,4): exact for counts, cents and tenths; the quotient of two
+    # such values keeps 10 decimals, so rounding it to 2 is exact half-up.
+    return c(x).cast("decimal(24,4)")
+
+
+def ratio(num: ColumnLike, den: ColumnLike, scale: int = 2) -> Column:
+    """num / den in decimal arithmetic, rounded half-up, as DOUBLE.
 
     ``try_divide`` gives NULL on a zero denominator instead of failing the
     job under ANSI mode.
     """
-    n = c(num).cast("decimal(38,6)")
-    d = c(den).cast("decimal(38,6)")
-    return F.round(F.try_divide(n * 100, d), scale).cast("double")
+    return F.round(F.try_divide(_dec(num), _dec(den)), scale).cast("double")
 
 
-def ratio(num: ColumnLike, den: ColumnLike, scale: int = 2) -> Column:
-    """num / den in decimal arithmetic, rounded half-up, as DOUBLE."""
-    n = c(num).cast("decimal(38,6)")
-    d = c(den).cast("decimal(38,6)")
-    return F.round(F.try_divide(n, d), scale).cast("double")
+def pct(num: ColumnLike, den: ColumnLike, scale: int = 2) -> Column:
+    """100 * num / den in decimal arithmetic, rounded half-up, as DOUBLE."""
+    return F.round(F.try_divide(_dec(num) * 100, _dec(den)), scale).cast("double")
+
+
+def avg_round(col: ColumnLike, scale: int = 2) -> Column:
+    """Exact average (decimal sum / count) rounded half-up, as DOUBLE."""
+    return ratio(F.sum(_dec(col)), F.count(c(col)), scale)
 
 
 def rounded(col: ColumnLike, scale: int = 2) -> Column:

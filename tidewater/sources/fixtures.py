@@ -138,6 +138,13 @@ class Fixtures:
             F.when(cancelled, null_token).otherwise(dur_text).alias("duration"),
             cancel_text.alias("cancellation"))
 
+    @cached_property
+    def runner_ratings(self) -> DataFrame:
+        """runner_ratings(order_id, rating 1-5) for every order that was not cancelled."""
+        k = F.col("o_orderkey")
+        return (self.td.orders.filter(k % 9 != 0)
+                .select(k.alias("order_id"), (k % 5 + 1).cast("int").alias("rating")))
+
     @cached_property
     def runners(self) -> DataFrame:
         return self.td.supplier.select(

@@ -67,6 +67,8 @@ FROM (
       ELSE CAST(o_orderkey % 23 + 2 AS VARCHAR) || '.' || CAST(o_orderkey % 10 AS VARCHAR) END AS dist,
     CAST(o_orderkey % 31 + 10 AS VARCHAR) AS mins
   FROM orders) r"""),
+    "runner_ratings": ((), """
+SELECT o_orderkey AS order_id, CAST(o_orderkey % 5 + 1 AS INTEGER) AS rating FROM orders WHERE o_orderkey % 9 <> 0"""),
     "runners": ((), """
 SELECT s_suppkey AS runner_id, DATE '2021-01-01' + CAST(s_suppkey % 60 AS INTEGER) AS registration_date
 FROM supplier"""),
@@ -84,6 +86,23 @@ SELECT p_partkey AS pizza_id,
   END AS toppings
 FROM part"""),
 
+    "clean_orders": (("customer_orders",), """
+SELECT order_id, customer_id, pizza_id,
+  CASE WHEN trim(exclusions) IN ('null', '', 'NaN') THEN NULL ELSE trim(exclusions) END AS exclusions,
+  CASE WHEN trim(extras) IN ('null', '', 'NaN') THEN NULL ELSE trim(extras) END AS extras,
+  order_time
+FROM customer_orders"""),
+    "clean_runner": (("runner_orders",), """
+SELECT order_id, runner_id,
+  try_strptime(CASE WHEN trim(pickup_time) IN ('null', '', 'NaN') THEN NULL ELSE trim(pickup_time) END,
+               '%Y-%m-%d %H:%M:%S') AS pickup_time,
+  TRY_CAST(NULLIF(regexp_extract(CASE WHEN trim(distance) IN ('null', '', 'NaN') THEN NULL ELSE trim(distance) END,
+                                 '[0-9]+(\\.[0-9]+)?'), '') AS DOUBLE) AS distance,
+  TRY_CAST(NULLIF(regexp_extract(CASE WHEN trim(duration) IN ('null', '', 'NaN') THEN NULL ELSE trim(duration) END,
+                                 '[0-9]+'), '') AS INTEGER) AS duration,
+  CASE WHEN trim(cancellation) IN ('null', '', 'NaN') THEN NULL ELSE trim(cancellation) END AS cancellation
+FROM runner_orders"""),
+
     # ------------------------------------------------------------------ CS3
     "subscriptions": ((), """
 WITH firsts AS (
