@@ -314,7 +314,7 @@ class Fixtures:
         """sales(prod_id, qty, price, discount, member, txn_id): one row per order line."""
         td = self.td
         lines = td.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_discount")
-        orders = td.orders.select("o_orderkey", "o_custkey")
+        orders = td.orders.select("o_orderkey", "o_custkey", "o_orderdate")
         parts = td.part.select("p_partkey", "p_retailprice")
         return (lines.join(orders, lines.l_orderkey == orders.o_orderkey)
                 .join(parts, lines.l_partkey == parts.p_partkey)
@@ -323,7 +323,8 @@ class Fixtures:
                         F.col("p_retailprice").cast("decimal(18,2)").alias("price"),
                         F.round(F.col("l_discount") * 100).cast("int").alias("discount"),
                         (F.col("o_custkey") % 2 == 0).alias("member"),
-                        F.col("l_orderkey").alias("txn_id")))
+                        F.col("l_orderkey").alias("txn_id"),
+                        F.col("o_orderdate").alias("start_txn_time")))
 
     @cached_property
     def product_details(self) -> DataFrame:

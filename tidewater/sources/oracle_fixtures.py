@@ -174,7 +174,7 @@ SELECT DISTINCT user_id, 'c' || CAST(user_id * 10 + event_id % 3 AS VARCHAR) AS
 SELECT l.l_partkey AS prod_id, CAST(l.l_quantity AS INTEGER) AS qty,
   CAST(p.p_retailprice AS DECIMAL(18,2)) AS price,
   CAST(round(l.l_discount * 100) AS INTEGER) AS discount,
-  o.o_custkey % 2 = 0 AS member, l.l_orderkey AS txn_id
+  o.o_custkey % 2 = 0 AS member, l.l_orderkey AS txn_id, o.o_orderdate AS start_txn_time
 FROM lineitem l
 JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN part p ON l.l_partkey = p.p_partkey"""),
