@@ -272,18 +272,23 @@ def order_item_label(clean_orders: DataFrame, pizza_names: DataFrame) -> DataFra
         "order_id", "customer_id", "pizza_id", label.alias("order_item"))
 
 
-def _ingredient_ids(with_recipe: DataFrame) -> Column:
-    """Recipe minus exclusions plus extras, as a multiset of ids."""
-    ex = _ids("exclusions")
-    base = F.filter(_ids("toppings"), lambda t: ~F.array_contains(ex, t))
-    return F.concat(base, _ids("extras"))
+def _with_ingredient_ids(df: DataFrame) -> DataFrame:
+    """Add ``all_ids``: recipe minus exclusions plus extras, as a multiset of ids.
+
+    The id arrays are parsed once into columns; the lambdas below then read
+    those columns instead of re-splitting the text for every element.
+    """
+    parsed = (df.withColumn("_ex", _ids("exclusions")).withColumn("_extra", _ids("extras"))
+              .withColumn("_recipe", _ids("toppings")))
+    base = F.filter("_recipe", lambda t: ~F.array_contains(F.col("_ex"), t))
+    return parsed.withColumn("all_ids", F.concat(base, F.col("_extra"))).drop("_ex", "_extra", "_recipe")
 
 
 def order_ingredient_list(clean_orders: DataFrame, pizza_names: DataFrame,
                           pizza_recipes: DataFrame) -> DataFrame:
     """'Meatlovers: 2xBacon, Beef, Cheese': alphabetical, '2x' for a doubled topping."""
-    joined = clean_orders.join(pizza_recipes, "pizza_id").join(pizza_names, "pizza_id")
-    all_ids = _ingredient_ids(joined)
+    joined = _with_ingredient_ids(clean_orders.join(pizza_recipes, "pizza_id").join(pizza_names, "pizza_id"))
+    all_ids = F.col("all_ids")
 
     def entry(t: Column) -> Column:
         n = F.size(F.filter(all_ids, lambda u: u == t))
@@ -299,8 +304,8 @@ def order_ingredient_list(clean_orders: DataFrame, pizza_names: DataFrame,
 def ingredient_totals_delivered(clean_orders: DataFrame, clean_runner: DataFrame,
                                 pizza_recipes: DataFrame) -> DataFrame:
     """Quantity of each ingredient over all delivered pizzas -> topping_name, quantity."""
-    joined = _delivered_items(clean_orders, clean_runner).join(pizza_recipes, "pizza_id")
-    ids = joined.select(F.explode(_ingredient_ids(joined)).alias("topping_id"))
+    joined = _with_ingredient_ids(_delivered_items(clean_orders, clean_runner).join(pizza_recipes, "pizza_id"))
+    ids = joined.select(F.explode("all_ids").alias("topping_id"))
     counts = ids.groupBy("topping_id").agg(F.count(F.lit(1)).alias("quantity"))
     return counts.select("topping_id", _topping_name(F.col("topping_id")).alias("topping_name"), "quantity")
 

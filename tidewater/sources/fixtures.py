@@ -112,7 +112,10 @@ class Fixtures:
         pickup = F.timestamp_add(
             "MINUTE", (k % 26 + 5).cast("int"),
             F.timestamp_add("HOUR", (k % 24).cast("int"), F.col("o_orderdate")))
-        whole, tenth = (k % 23 + 2).cast("string"), k % 10
+        # The km value mixes in the order date so that it is not a function of
+        # the join key alone (otherwise Catalyst infers the delivered filter
+        # onto every order line and re-derives the text there).
+        whole, tenth = ((k + F.dayofmonth("o_orderdate")) % 23 + 2).cast("string"), k % 10
         dist = F.when(tenth == 0, whole).otherwise(F.concat(whole, F.lit("."), tenth.cast("string")))
         dist_text = (F.when(k % 4 == 0, F.concat(dist, F.lit("km")))
                      .when(k % 4 == 1, F.concat(dist, F.lit(" km")))

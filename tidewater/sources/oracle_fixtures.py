@@ -63,8 +63,9 @@ FROM (
     CASE WHEN o_orderkey % 2 = 0 THEN 'null' ELSE NULL END AS null_token,
     o_orderdate + to_hours(CAST(o_orderkey % 24 AS INTEGER))
       + to_minutes(CAST(o_orderkey % 26 + 5 AS INTEGER)) AS pickup,
-    CASE WHEN o_orderkey % 10 = 0 THEN CAST(o_orderkey % 23 + 2 AS VARCHAR)
-      ELSE CAST(o_orderkey % 23 + 2 AS VARCHAR) || '.' || CAST(o_orderkey % 10 AS VARCHAR) END AS dist,
+    CASE WHEN o_orderkey % 10 = 0 THEN CAST((o_orderkey + day(o_orderdate)) % 23 + 2 AS VARCHAR)
+      ELSE CAST((o_orderkey + day(o_orderdate)) % 23 + 2 AS VARCHAR) || '.' || CAST(o_orderkey % 10 AS VARCHAR)
+    END AS dist,
     CAST(o_orderkey % 31 + 10 AS VARCHAR) AS mins
   FROM orders) r"""),
     "runner_ratings": ((), """

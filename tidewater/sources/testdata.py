@@ -36,6 +36,15 @@ SCHEMAS: dict[str, T.StructType] = {
                       ("value", _D), ("props", _S)),
 }
 
+# Key used to spread an under-split scan over the session's cores.
+SPREAD_KEYS = {
+    "lineitem": "l_orderkey", "orders": "o_orderkey", "events": "user_id",
+    "part": "p_partkey", "customer": "c_custkey", "supplier": "s_suppkey",
+}
+
+# Tables whose per-row work dominates (spread when under-split).
+FACT_TABLES = frozenset({"lineitem", "events"})
+
 # Tables with a size fixed by the TPC-H specification (5 regions, 25 nations):
 # the only base tables that may be broadcast without a size check.
 FIXED_SIZE = frozenset({"region", "nation"})
@@ -54,7 +63,27 @@ class TestData:
         reader = self.spark.read
         if name in SCHEMAS:
             reader = reader.schema(SCHEMAS[name])
-        return reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._spread(name, df)
+
+    def _spread(self, name: str, df: DataFrame) -> DataFrame:
+        """Hash-partition an under-split scan by its key.
+
+        A file with a single row group scans as one task, which would run the
+        whole first stage (scan, broadcast joins, per-row parsing) on one
+        core.  When the scan has fewer splits than the session's default
+        parallelism, the rows are hash-partitioned on the table key instead
+        (deterministic, so a lost task recomputes the same rows).  A table
+        stored as many files or row groups -- any real deployment -- is left
+        as scanned, with no extra shuffle.
+        """
+        key = SPREAD_KEYS.get(name)
+        if key is None or name not in FACT_TABLES:
+            return df
+        target = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+        return df.repartition(target, key)
 
     @cached_property
     def region(self) -> DataFrame:
