@@ -238,7 +238,9 @@ def ingredient_frequency(pizza_recipes: DataFrame, pizza_toppings: DataFrame) ->
 
 def standard_ingredients(pizza_recipes: DataFrame, pizza_names: DataFrame) -> DataFrame:
     """Alphabetical ingredient list of each pizza -> pizza_id, pizza_name, standard_ingredients."""
-    names = F.array_sort(F.transform(_ids("toppings"), _topping_name))
+    keyed = F.array_sort(F.transform(_ids("toppings"), lambda t: F.struct(
+        F.lower(_topping_name(t)).alias("k"), _topping_name(t).alias("name"))))
+    names = F.transform(keyed, lambda s: s["name"])
     return (pizza_recipes.join(pizza_names, "pizza_id")
             .select("pizza_id", "pizza_name", F.array_join(names, ", ").alias("standard_ingredients")))
 
@@ -286,7 +288,7 @@ def _with_ingredient_ids(df: DataFrame) -> DataFrame:
 
 def order_ingredient_list(clean_orders: DataFrame, pizza_names: DataFrame,
                           pizza_recipes: DataFrame) -> DataFrame:
-    """'Meatlovers: 2xBacon, Beef, Cheese': alphabetical, '2x' for a doubled topping."""
+    """'Meatlovers: 2xBacon, Beef, Cheese': alphabetical (ignoring case), '2x' for a doubled topping."""
     joined = _with_ingredient_ids(clean_orders.join(pizza_recipes, "pizza_id").join(pizza_names, "pizza_id"))
     all_ids = F.col("all_ids")
 
@@ -295,7 +297,7 @@ def order_ingredient_list(clean_orders: DataFrame, pizza_names: DataFrame,
         return F.concat(F.when(n > 1, F.concat(n.cast("string"), F.lit("x"))).otherwise(F.lit("")),
                         _topping_name(t))
     items = F.array_sort(F.transform(F.array_distinct(all_ids), lambda t: F.struct(
-        _topping_name(t).alias("name"), entry(t).alias("text"))))
+        F.lower(_topping_name(t)).alias("name"), entry(t).alias("text"))))
     text = F.array_join(F.transform(items, lambda s: s["text"]), ", ")
     return joined.select("order_id", "customer_id", "pizza_id",
                          F.concat(F.col("pizza_name"), F.lit(": "), text).alias("ingredient_list"))
