@@ -25,13 +25,21 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewater.session import checkpoint_dir
+
 
 def exact_percentiles(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str],
-                      scale: int = 4, accuracy: int = 1_000_000) -> DataFrame:
+                      scale: int = 4, accuracy: int = 1_000_000, materialize: bool = True) -> DataFrame:
     """One row with the interpolated percentiles ``ps`` of ``col`` (DOUBLE,
     rounded to ``scale`` decimals), named ``names``."""
     x = F.col("x")
     vals = df.select(F.col(col).cast("double").alias("x")).filter(x.isNotNull())
+    if materialize:
+        # The three passes read ``vals``; write it once to the shared
+        # checkpoint folder instead of recomputing its lineage three times
+        # (this also makes a lost executor cheap to recover from).
+        checkpoint_dir(vals.sparkSession)
+        vals = vals.checkpoint(eager=True)
     k = len(ps)
     eps = 2.0 / accuracy
     probes = [max(p - eps, 0.0) for p in ps] + [min(p + eps, 1.0) for p in ps]
