@@ -1,0 +1,6 @@
+"""Streaming operators.
+
+The reference has no streaming source, watermark, stream window or stateful
+operator (SURVEY §2.9), so none is built here; every operator in
+``tidewater.operators`` is a batch DataFrame function.
+"""
