@@ -23,7 +23,8 @@ def c(x: ColumnLike) -> Column:
 def nullify_tokens(col: ColumnLike, tokens: Sequence[str] = NULL_TOKENS) -> Column:
     """Trimmed text, or NULL when the text is NULL or one of the null tokens."""
     t = F.trim(c(col))
-    return F.when(t.isNull() | t.isin(*[s.strip() for s in tokens]), F.lit(None).cast("string")).otherwise(t)
+    # isin() of NULL is NULL, so NULL input stays NULL; ``t`` is referenced twice only.
+    return F.when(~t.isin(*sorted({s.strip() for s in tokens})), t)
 
 
 def _dec(x: ColumnLike) -> Column:

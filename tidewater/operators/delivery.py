@@ -42,13 +42,13 @@ def clean_runner_orders(runner_orders: DataFrame) -> DataFrame:
     number; anything unparsable becomes NULL instead of failing the job.
     """
     pickup = nullify_tokens("pickup_time")
-    dist = F.regexp_extract(nullify_tokens("distance"), r"([0-9]+(\.[0-9]+)?)", 1)
-    dur = F.regexp_extract(nullify_tokens("duration"), r"([0-9]+)", 1)
+    dist = F.nullif(F.regexp_extract(nullify_tokens("distance"), r"([0-9]+(\.[0-9]+)?)", 1), F.lit(""))
+    dur = F.nullif(F.regexp_extract(nullify_tokens("duration"), r"([0-9]+)", 1), F.lit(""))
     return runner_orders.select(
         "order_id", "runner_id",
         F.try_to_timestamp(pickup, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("pickup_time"),
-        F.when(dist != "", dist).cast("double").alias("distance"),
-        F.when(dur != "", dur).cast("int").alias("duration"),
+        dist.cast("double").alias("distance"),
+        dur.cast("int").alias("duration"),
         nullify_tokens("cancellation").alias("cancellation"))
 
 

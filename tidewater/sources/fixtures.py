@@ -116,17 +116,13 @@ class Fixtures:
         # the join key alone (otherwise Catalyst infers the delivered filter
         # onto every order line and re-derives the text there).
         whole, tenth = ((k + F.dayofmonth("o_orderdate")) % 23 + 2).cast("string"), k % 10
-        dist = F.when(tenth == 0, whole).otherwise(F.concat(whole, F.lit("."), tenth.cast("string")))
-        dist_text = (F.when(k % 4 == 0, F.concat(dist, F.lit("km")))
-                     .when(k % 4 == 1, F.concat(dist, F.lit(" km")))
-                     .when(k % 4 == 2, dist)
-                     .otherwise(F.concat(dist, F.lit("km "))))
+        dist = F.concat(whole, F.when(tenth == 0, F.lit("")).otherwise(F.concat(F.lit("."), tenth.cast("string"))))
+        dist_text = F.concat(dist, F.when(k % 4 == 0, F.lit("km")).when(k % 4 == 1, F.lit(" km"))
+                             .when(k % 4 == 2, F.lit("")).otherwise(F.lit("km ")))
         mins = (k % 31 + 10).cast("string")
-        dur_text = (F.when(k % 5 == 0, F.concat(mins, F.lit(" minutes")))
-                    .when(k % 5 == 1, F.concat(mins, F.lit("mins")))
-                    .when(k % 5 == 2, F.concat(mins, F.lit(" minute")))
-                    .when(k % 5 == 3, F.concat(mins, F.lit("minutes")))
-                    .otherwise(mins))
+        dur_text = F.concat(mins, F.when(k % 5 == 0, F.lit(" minutes")).when(k % 5 == 1, F.lit("mins"))
+                            .when(k % 5 == 2, F.lit(" minute")).when(k % 5 == 3, F.lit("minutes"))
+                            .otherwise(F.lit("")))
         cancel_text = (F.when(cancelled & (k % 2 == 0), F.lit("Restaurant Cancellation"))
                        .when(cancelled, F.lit("Customer Cancellation"))
                        .when(k % 3 == 0, F.lit(None).cast("string"))

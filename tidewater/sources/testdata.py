@@ -66,6 +66,17 @@ class TestData:
         df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._spread(name, df)
 
+    def spread(self, name: str) -> DataFrame:
+        """The table scanned and, if under-split, spread by its key even when it
+        is not a fact table (for derivations with heavy per-row work)."""
+        df = self.table(name)
+        if name in FACT_TABLES or SPREAD_KEYS.get(name) is None:
+            return df
+        target = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+        return df.repartition(target, SPREAD_KEYS[name])
+
     def _spread(self, name: str, df: DataFrame) -> DataFrame:
         """Hash-partition an under-split scan by its key.
 
