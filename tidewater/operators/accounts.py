@@ -108,9 +108,11 @@ def monthly_balances(customer_transactions: DataFrame) -> DataFrame:
     monthly = (customer_transactions
                .groupBy("customer_id", F.last_day("txn_date").alias("ending_month"))
                .agg(F.sum(_signed_amount()).alias("change")))
-    last_month = grand(customer_transactions, F.max(F.trunc("txn_date", "month")))
-    spine = (customer_transactions.groupBy("customer_id")
-             .agg(F.min(F.trunc("txn_date", "month")).alias("first_month"))
+    # The spine bounds come from the per-month rows (one scan of the
+    # transactions; the identical aggregate exchange is reused).
+    last_month = grand(monthly, F.max(F.trunc("ending_month", "month")))
+    spine = (monthly.groupBy("customer_id")
+             .agg(F.min(F.trunc("ending_month", "month")).alias("first_month"))
              .select("customer_id",
                      F.explode(F.sequence("first_month", last_month, F.expr("INTERVAL 1 MONTH")))
                       .alias("month_start"))

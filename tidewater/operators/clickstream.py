@@ -14,7 +14,7 @@ dimensions and are broadcast.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.common import avg_round, pct, ratio, top_k
@@ -87,12 +87,18 @@ def visit_product_events(events: DataFrame, page_hierarchy: DataFrame) -> DataFr
     products = F.broadcast(page_hierarchy.filter(F.col("product_id").isNotNull())
                            .select("page_id", "product_id", F.col("page_name").alias("product_name"),
                                    "product_category"))
-    per_product = (events.join(products, "page_id")
-                   .groupBy("visit_id", "product_id", "product_name", "product_category")
-                   .agg(F.count_if(_is(VIEW)).alias("page_view"), F.count_if(_is(CART_ADD)).alias("cart_add")))
-    purchases = events.filter(_is(PURCHASE)).select("visit_id").distinct().withColumn("purchase", F.lit(1))
-    return (per_product.join(purchases, "visit_id", "left")
-            .withColumn("purchase", F.coalesce(F.col("purchase"), F.lit(0))))
+    # One scan: counts per (visit, page), including the purchase events of
+    # the visit, reduced map-side.  The visit's purchase flag is then a
+    # window over that visit's page rows (at most one per page, so bounded
+    # however many events a visit has).
+    per_page = events.groupBy("visit_id", "page_id").agg(
+        F.count_if(_is(VIEW)).alias("page_view"), F.count_if(_is(CART_ADD)).alias("cart_add"),
+        F.count_if(_is(PURCHASE)).alias("_purchases"))
+    flagged = per_page.withColumn(
+        "purchase", F.max(F.when(F.col("_purchases") > 0, 1).otherwise(0)).over(Window.partitionBy("visit_id")))
+    return (flagged.join(products, "page_id")
+            .select("visit_id", "product_id", "product_name", "product_category", "page_view", "cart_add",
+                    "purchase"))
 
 
 def _funnel(vpe: DataFrame, keys: list[str]) -> DataFrame:
