@@ -178,14 +178,19 @@ def top_product_triple(sales: DataFrame, product_details: DataFrame, k: int = 1)
         F.col("c").alias("product_id_3"))
     counts = triples.groupBy("product_id_1", "product_id_2", "product_id_3") \
         .agg(F.count(F.lit(1)).alias("combination_count"))
-    top = top_k(counts, k, [F.desc("combination_count"), F.asc("product_id_1"), F.asc("product_id_2"),
-                            F.asc("product_id_3")])
-    names = product_details.select("product_id", "product_name")
-    for i in (1, 2, 3):
-        top = top.join(names.withColumnRenamed("product_id", f"product_id_{i}")
-                       .withColumnRenamed("product_name", f"product_name_{i}"), f"product_id_{i}", "left")
-    return top.select("product_id_1", "product_id_2", "product_id_3",
-                      "product_name_1", "product_name_2", "product_name_3", "combination_count")
+    ids = ["product_id_1", "product_id_2", "product_id_3"]
+    top = top_k(counts, k, [F.desc("combination_count"), *[F.asc(i) for i in ids]])
+    # Names for the (at most 3k) ids of the top rows: broadcast those ids and
+    # stream product_details once through a hash join, instead of joining the
+    # k-row result to the whole product table three times.
+    slots = top.select(*ids, F.explode(F.array(*[
+        F.struct(F.lit(n).alias("slot"), F.col(i).alias("product_id")) for n, i in enumerate(ids, 1)])).alias("s"))
+    slots = slots.select(*ids, "s.slot", "s.product_id")
+    named = (product_details.select("product_id", "product_name").join(F.broadcast(slots), "product_id")
+             .groupBy(*ids).agg(*[F.max(F.when(F.col("slot") == n, F.col("product_name"))).alias(f"product_name_{n}")
+                                  for n in (1, 2, 3)]))
+    return top.join(named, ids, "left").select(*ids, "product_name_1", "product_name_2", "product_name_3",
+                                               "combination_count")
 
 
 def monthly_report(sales: DataFrame, product_details: DataFrame, month: str) -> dict[str, DataFrame]:
