@@ -69,10 +69,12 @@ class Fixtures:
 
     @cached_property
     def members(self) -> DataFrame:
-        """members(customer_id, join_date): 2 of 3 customers, 180 days after their first order."""
+        """members(customer_id, join_date): customers outside the AUTOMOBILE segment,
+        joining 180 days after their first order."""
         first = (self.td.orders.groupBy("o_custkey")
                  .agg(F.min("o_orderdate").alias("first_order")))
-        return (first.filter(F.col("o_custkey") % 3 != 0)
+        eligible = self.td.customer.filter(F.col("c_mktsegment") != "AUTOMOBILE").select("c_custkey")
+        return (first.join(eligible, first.o_custkey == eligible.c_custkey)
                 .select(F.col("o_custkey").alias("customer_id"),
                         F.date_add(F.to_date("first_order"), 180).alias("join_date")))
 
@@ -140,9 +142,9 @@ class Fixtures:
     @cached_property
     def runner_ratings(self) -> DataFrame:
         """runner_ratings(order_id, rating 1-5) for every order that was not cancelled."""
-        k = F.col("o_orderkey")
-        return (self.td.orders.filter(k % 9 != 0)
-                .select(k.alias("order_id"), (k % 5 + 1).cast("int").alias("rating")))
+        ro = self.runner_orders
+        kept = ro.filter(F.col("cancellation").isNull() | ~F.col("cancellation").endswith("Cancellation"))
+        return kept.select("order_id", (F.col("order_id") % 5 + 1).cast("int").alias("rating"))
 
     @cached_property
     def runners(self) -> DataFrame:
@@ -433,11 +435,11 @@ class Fixtures:
 
     @cached_property
     def runner_event(self) -> DataFrame:
-        """Sign-ups from orders; events 20-24 get none."""
+        """Sign-ups from orders: every order enters one of events 0-19, so
+        events 20-24 have nobody."""
         o = self.td.orders.select("o_orderkey", "o_custkey")
-        return (o.filter(F.col("o_orderkey") % 25 < 20)
-                .select(F.col("o_custkey").alias("runner_id"),
-                        (F.col("o_orderkey") % 25).cast("int").alias("event_id"))
+        return (o.select(F.col("o_custkey").alias("runner_id"),
+                         (F.col("o_orderkey") % 20).cast("int").alias("event_id"))
                 .distinct())
 
     # ------------------------------------------------------------------ S3 store

@@ -29,8 +29,9 @@ JOIN orders o ON l.l_orderkey = o.o_orderkey
 JOIN part p ON l.l_partkey = p.p_partkey
 JOIN menu m ON m.product_name = p.p_type"""),
     "members": ((), """
-SELECT o_custkey AS customer_id, CAST(min(o_orderdate) AS DATE) + 180 AS join_date
-FROM orders WHERE o_custkey % 3 <> 0 GROUP BY o_custkey"""),
+SELECT o.o_custkey AS customer_id, CAST(min(o.o_orderdate) AS DATE) + 180 AS join_date
+FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+WHERE c.c_mktsegment <> 'AUTOMOBILE' GROUP BY o.o_custkey"""),
 
     # ------------------------------------------------------------------ CS2
     "customer_orders": ((), """
@@ -68,8 +69,9 @@ FROM (
     END AS dist,
     CAST(o_orderkey % 31 + 10 AS VARCHAR) AS mins
   FROM orders) r"""),
-    "runner_ratings": ((), """
-SELECT o_orderkey AS order_id, CAST(o_orderkey % 5 + 1 AS INTEGER) AS rating FROM orders WHERE o_orderkey % 9 <> 0"""),
+    "runner_ratings": (("runner_orders",), """
+SELECT order_id, CAST(order_id % 5 + 1 AS INTEGER) AS rating FROM runner_orders
+WHERE cancellation IS NULL OR NOT ends_with(cancellation, 'Cancellation')"""),
     "runners": ((), """
 SELECT s_suppkey AS runner_id, DATE '2021-01-01' + CAST(s_suppkey % 60 AS INTEGER) AS registration_date
 FROM supplier"""),
@@ -231,8 +233,7 @@ SELECT n_nationkey AS id, n_name || ' Run' AS name, DATE '2024-03-01' + n_nation
   n_name AS city
 FROM nation"""),
     "runner_event": ((), """
-SELECT DISTINCT o_custkey AS runner_id, CAST(o_orderkey % 25 AS INTEGER) AS event_id
-FROM orders WHERE o_orderkey % 25 < 20"""),
+SELECT DISTINCT o_custkey AS runner_id, CAST(o_orderkey % 20 AS INTEGER) AS event_id FROM orders"""),
 
     # ------------------------------------------------------------------ S3
     "store_customers": ((), "SELECT c_custkey AS customer_id, c_name AS full_name FROM customer"),
