@@ -27,6 +27,16 @@ def nullify_tokens(col: ColumnLike, tokens: Sequence[str] = NULL_TOKENS) -> Colu
     return F.when(~t.isin(*sorted({s.strip() for s in tokens})), t)
 
 
+_TS_TEXT = r"^\s*(\d{4})-(\d{1,2})-(\d{1,2})[ T](\d{1,2}):(\d{1,2}):(\d{1,2}(\.\d+)?)\s*$"
+
+
+def parse_timestamp_ntz(col: ColumnLike) -> Column:
+    """'yyyy-MM-dd HH:mm:ss' text -> TIMESTAMP_NTZ without any time-zone
+    conversion; malformed text or an impossible date gives NULL."""
+    part = [F.regexp_extract(c(col), _TS_TEXT, i) for i in range(1, 7)]
+    return F.try_make_timestamp_ntz(*[p.try_cast("int") for p in part[:5]], part[5].try_cast("decimal(16,6)"))
+
+
 def _dec(x: ColumnLike) -> Column:
     # decimal(24,4): exact for counts, cents and tenths; the quotient of two
     # such values keeps 10 decimals, so rounding it to 2 is exact half-up.

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.functions.common import avg_round, nullify_tokens, pct, ratio, rounded, top_k
+from tidewater.functions.common import avg_round, nullify_tokens, parse_timestamp_ntz, pct, ratio, rounded, top_k
 from tidewater.sources.inline import PIZZA_PRICES, PIZZA_TOPPINGS
 
 SPLIT_RE = r"[,\s]+"
@@ -46,7 +46,7 @@ def clean_runner_orders(runner_orders: DataFrame) -> DataFrame:
     dur = F.nullif(F.regexp_extract(nullify_tokens("duration"), r"([0-9]+)", 1), F.lit(""))
     return runner_orders.select(
         "order_id", "runner_id",
-        F.try_to_timestamp(pickup, F.lit("yyyy-MM-dd HH:mm:ss")).cast("timestamp_ntz").alias("pickup_time"),
+        parse_timestamp_ntz(pickup).alias("pickup_time"),
         dist.cast("double").alias("distance"),
         dur.cast("int").alias("duration"),
         nullify_tokens("cancellation").alias("cancellation"))
@@ -224,8 +224,8 @@ def _topping_name(id_col: Column) -> Column:
 def _ids(text: str | Column) -> Column:
     """Comma/space separated id text -> array<int> (empty for NULL)."""
     col = F.col(text) if isinstance(text, str) else text
-    arr = F.filter(F.split(F.coalesce(col, F.lit("")), SPLIT_RE), lambda s: s != "")
-    return F.transform(arr, lambda s: s.cast("int"))
+    # built-ins only (no lambda): split, drop empty pieces, cast the array
+    return F.array_remove(F.split(F.coalesce(col, F.lit("")), SPLIT_RE), "").cast("array<int>")
 
 
 def ingredient_frequency(pizza_recipes: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
