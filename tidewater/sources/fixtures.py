@@ -247,7 +247,9 @@ class Fixtures:
             F.concat(F.when(size % 2 == 0, F.lit("C")).otherwise(F.lit("F")),
                      (size % 4 + 1).cast("string")))
         flag = F.col("l_returnflag")
-        week = F.date_trunc("week", F.add_months(F.to_date("l_shipdate"), 240)).cast("date")
+        shifted = F.add_months(F.to_date("l_shipdate"), 240)
+        # Monday of the week, in date arithmetic (no session time zone involved)
+        week = F.date_sub(shifted, ((F.dayofweek(shifted) + 5) % 7).cast("int"))
         keyed = (lines.join(parts, lines.l_partkey == parts.p_partkey)
                  .join(supp, lines.l_suppkey == supp.s_suppkey)
                  .join(nation, supp.s_nationkey == nation.n_nationkey)
