@@ -66,17 +66,6 @@ class TestData:
         df = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._spread(name, df)
 
-    def spread(self, name: str) -> DataFrame:
-        """The table scanned and, if under-split, spread by its key even when it
-        is not a fact table (for derivations with heavy per-row work)."""
-        df = self.table(name)
-        if name in FACT_TABLES or SPREAD_KEYS.get(name) is None:
-            return df
-        target = self.spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-        return df.repartition(target, SPREAD_KEYS[name])
-
     def _spread(self, name: str, df: DataFrame) -> DataFrame:
         """Hash-partition an under-split scan by its key.
 
@@ -84,9 +73,11 @@ class TestData:
         whole first stage (scan, broadcast joins, per-row parsing) on one
         core.  When the scan has fewer splits than the session's default
         parallelism, the rows are hash-partitioned on the table key instead
-        (deterministic, so a lost task recomputes the same rows).  A table
-        stored as many files or row groups -- any real deployment -- is left
-        as scanned, with no extra shuffle.
+        (deterministic, so a lost task recomputes the same rows; keyed, so
+        the per-order / per-user aggregations that follow reuse it).  Even a
+        key holding a third of the rows leaves that task with less than the
+        single scan task had.  A table stored as many files or row groups --
+        any real deployment -- is left as scanned, with no extra shuffle.
         """
         key = SPREAD_KEYS.get(name)
         if key is None or name not in FACT_TABLES:
