@@ -22,6 +22,29 @@ from tidewater.sources.inline import SIZES, RUN_DISTANCES, inline_df
 from tidewater.sources.testdata import TestData
 
 
+# Temp-view name (case-study schema + table) -> fixture.
+VIEWS = {
+    "dannys_diner_sales": "diner_sales", "dannys_diner_menu": "menu", "dannys_diner_members": "members",
+    "pizza_runner_customer_orders": "customer_orders", "pizza_runner_runner_orders": "runner_orders",
+    "pizza_runner_runners": "runners", "pizza_runner_pizza_names": "pizza_names",
+    "pizza_runner_pizza_recipes": "pizza_recipes", "pizza_runner_pizza_toppings": "pizza_toppings",
+    "pizza_runner_runner_ratings": "runner_ratings",
+    "foodie_fi_plans": "plans", "foodie_fi_subscriptions": "subscriptions",
+    "data_bank_regions": "regions", "data_bank_customer_nodes": "customer_nodes",
+    "data_bank_customer_transactions": "customer_transactions",
+    "data_mart_weekly_sales": "weekly_sales",
+    "clique_bait_users": "users", "clique_bait_events": "click_events",
+    "clique_bait_event_identifier": "event_identifier", "clique_bait_page_hierarchy": "page_hierarchy",
+    "clique_bait_campaign_identifier": "campaign_identifier",
+    "balanced_tree_sales": "retail_sales", "balanced_tree_product_details": "product_details",
+    "balanced_tree_product_hierarchy": "product_hierarchy", "balanced_tree_product_prices": "product_prices",
+    "clothing_color": "colour", "clothing_customer": "shop_customer", "clothing_category": "shop_category",
+    "clothing_clothing": "clothing", "clothing_clothing_order": "clothing_order",
+    "running_runner": "club_runner", "running_event": "club_event", "running_runner_event": "runner_event",
+    "store_customers": "store_customers", "store_orders": "store_orders",
+}
+
+
 def _pick(index: Column, values: list) -> Column:
     """values[index] for a small fixed list, as a CASE expression."""
     expr = F.when(index == 0, F.lit(values[0]))
@@ -44,6 +67,17 @@ class Fixtures:
     def get(self, *names: str) -> tuple[DataFrame, ...]:
         return tuple(getattr(self, n) for n in names)
 
+    def register_views(self) -> list[str]:
+        """Register every case-study table as a temp view named
+        ``<schema>_<table>`` (e.g. ``dannys_diner_sales``), so SQL written
+        against the case-study schemas runs through ``spark.sql``."""
+        names = []
+        for view, attr in VIEWS.items():
+            df = getattr(self, attr) if hasattr(self, attr) else self.inline(attr)
+            df.createOrReplaceTempView(view)
+            names.append(view)
+        return names
+
     def inline(self, name: str) -> DataFrame:
         return F.broadcast(inline_df(self.spark, name))
 
