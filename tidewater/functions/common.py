@@ -90,16 +90,6 @@ def top_k(df: DataFrame, k: int, order: Sequence[Column]) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def share_within(value: ColumnLike, partition: Iterable[ColumnLike] = (), scale: int = 2) -> Column:
-    """Percentage of ``value`` within its partition (a windowed total, no self-join).
-
-    Used on already aggregated rows, so the window holds one row per group.
-    """
-    total = F.sum(c(value)).over(Window.partitionBy(*[c(p) for p in partition]))
-    return pct(value, total, scale)
-
-
-
 def grand(df: DataFrame, expr: Column) -> Column:
     """An aggregate over all of ``df`` as a scalar-subquery column.
 
