@@ -55,12 +55,11 @@ def configure(spark: SparkSession) -> SparkSession:
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder: the cluster's setting, else a local scratch folder."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
     if current is None:
-        current = spark.sparkContext.getCheckpointDir()
-    if current is None:
-        current = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(current)
+        current = sc.getConf().get("spark.checkpoint.dir", None)
+        if current is None:  # not on a cluster that names one: local scratch (tests)
+            current = tempfile.mkdtemp(prefix="tidewater-ckpt-")
+        sc.setCheckpointDir(current)
     return current
