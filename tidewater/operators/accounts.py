@@ -146,22 +146,32 @@ def _first_two_months(balances: DataFrame) -> DataFrame:
     return ranked.filter(F.col("ranked_row") == 1)
 
 
-def _customers(balances: DataFrame) -> Column:
-    return grand(balances, F.count_distinct("customer_id"))
+def _share_of_customers(balances: DataFrame, cond: Column, name: str) -> DataFrame:
+    """Percentage of customers whose first two months satisfy ``cond``.
+
+    ``_first_two_months`` keeps one row per customer, so the denominator
+    (distinct customers) is a count over the same rows: one aggregate, no
+    second pass over the balances.
+    """
+    first = _first_two_months(balances)
+    who = F.col("customer_id")
+    return first.agg(pct(F.count(F.when(cond, who)), F.count(who), 1).alias(name))
 
 
 def first_month_sign_pct(balances: DataFrame) -> DataFrame:
     """Share of customers whose first month closes negative / not negative."""
     first = _first_two_months(balances)
-    n = _customers(balances)
-    return first.agg(pct(F.count_if(F.col("ending_balance") < 0), n, 1).alias("negative_first_month_percentage"),
-                     pct(F.count_if(F.col("ending_balance") >= 0), n, 1).alias("positive_first_month_percentage"))
+    who, o = F.col("customer_id"), F.col("ending_balance")
+    n = F.count(who)
+    return first.agg(pct(F.count_if(o < 0), n, 1).alias("negative_first_month_percentage"),
+                     pct(F.count_if(o >= 0), n, 1).alias("positive_first_month_percentage"))
 
 
 def first_month_sign_pct_complement(balances: DataFrame) -> DataFrame:
     """Second form: negative share, and 100 minus it."""
-    first = _first_two_months(balances).filter(F.col("ending_balance") < 0)
-    neg = pct(F.count("customer_id"), _customers(balances), 1)
+    first = _first_two_months(balances)
+    who = F.col("customer_id")
+    neg = pct(F.count(F.when(F.col("ending_balance") < 0, who)), F.count(who), 1)
     return first.agg(neg.alias("negative_first_month_percentage"),
                      (F.lit(100.0) - neg).alias("positive_first_month_percentage"))
 
@@ -169,24 +179,18 @@ def first_month_sign_pct_complement(balances: DataFrame) -> DataFrame:
 def balance_increase_pct(balances: DataFrame, threshold_pct: int = 5) -> DataFrame:
     """Customers whose positive first-month balance grows by more than the
     threshold in the next month, as a share of all customers."""
-    first = _first_two_months(balances)
     o, f = F.col("ending_balance"), F.col("following_balance")
     grew = (o > 0) & f.isNotNull() & ((f - o) * 100 > o * threshold_pct)
-    return first.filter(grew).agg(pct(F.count("customer_id"), _customers(balances), 1)
-                                  .alias("increase_5_percentage"))
+    return _share_of_customers(balances, grew, "increase_5_percentage")
 
 
 def balance_reduce_pct(balances: DataFrame, threshold_pct: int = 5) -> DataFrame:
     """Customers whose positive first-month balance falls by more than the threshold."""
-    first = _first_two_months(balances)
     o, f = F.col("ending_balance"), F.col("following_balance")
     fell = (o > 0) & f.isNotNull() & ((f - o) * 100 < -o * threshold_pct)
-    return first.filter(fell).agg(pct(F.count("customer_id"), _customers(balances), 1)
-                                  .alias("reduce_5_percentage"))
+    return _share_of_customers(balances, fell, "reduce_5_percentage")
 
 
 def positive_to_negative_pct(balances: DataFrame) -> DataFrame:
-    first = _first_two_months(balances)
     moved = (F.col("ending_balance") >= 0) & (F.col("following_balance") < 0)
-    return first.filter(moved).agg(pct(F.count("customer_id"), _customers(balances), 1)
-                                   .alias("positive_to_negative_percentage"))
+    return _share_of_customers(balances, moved, "positive_to_negative_percentage")
