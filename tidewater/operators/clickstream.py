@@ -187,7 +187,7 @@ def visit_campaign_summary(users: DataFrame, events: DataFrame, page_hierarchy:
     picked = matched.groupBy("user_id", "visit_id").agg(
         *[F.any_value(c).alias(c) for c in same],
         F.max_by("campaign_name", F.struct(F.col("c_start"), -F.col("campaign_id"))).alias("campaign_name"))
-    cart = F.array_join(F.transform(F.array_sort("cart_items"), lambda s: s["name"]), ", ")
+    cart = F.array_join(F.array_sort("cart_items")["name"], ", ")
     return picked.select("user_id", "visit_id", "visit_start_time", "page_views", "cart_adds", "purchase",
                          "campaign_name", "impression", "click",
                          F.when(F.size("cart_items") > 0, cart).alias("cart_products"))

@@ -240,7 +240,7 @@ def standard_ingredients(pizza_recipes: DataFrame, pizza_names: DataFrame) -> Da
     """Alphabetical ingredient list of each pizza -> pizza_id, pizza_name, standard_ingredients."""
     keyed = F.array_sort(F.transform(_ids("toppings"), lambda t: F.struct(
         F.lower(_topping_name(t)).alias("k"), _topping_name(t).alias("name"))))
-    names = F.transform(keyed, lambda s: s["name"])
+    names = keyed["name"]
     return (pizza_recipes.join(pizza_names, "pizza_id")
             .select("pizza_id", "pizza_name", F.array_join(names, ", ").alias("standard_ingredients")))
 
