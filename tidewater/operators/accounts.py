@@ -3,9 +3,10 @@ region_id, node_id, start_date, end_date), regions(region_id, region_name)
 and customer_transactions(customer_id, txn_date, txn_type, txn_amount).
 
 Monthly balances: transactions are first reduced to one signed change per
-customer and month (map-side partial aggregate), so the month spine, the
-left join and the running-sum window work on at most one row per customer
-and calendar month, however many transactions a customer has.
+customer and month (map-side partial aggregate), then to one row per
+customer holding its month -> change map, so the month spine and the
+running-sum window work on at most one row per customer and calendar
+month, however many transactions a customer has.
 """
 
 from __future__ import annotations
@@ -108,21 +109,25 @@ def monthly_balances(customer_transactions: DataFrame) -> DataFrame:
     monthly = (customer_transactions
                .groupBy("customer_id", F.last_day("txn_date").alias("ending_month"))
                .agg(F.sum(_signed_amount()).alias("change")))
-    # The spine bounds come from the per-month rows (one scan of the
-    # transactions; the identical aggregate exchange is reused).
     last_month = grand(monthly, F.max(F.trunc("ending_month", "month")))
-    spine = (monthly.groupBy("customer_id")
-             .agg(F.min(F.trunc("ending_month", "month")).alias("first_month"))
-             .select("customer_id",
+    # One row per customer with its month -> change map: at most one entry
+    # per calendar month, however many transactions the customer has.  The
+    # spine is expanded from that row, so the rows stay partitioned by
+    # customer and the running-sum window needs no further shuffle.
+    per_customer = monthly.groupBy("customer_id").agg(
+        F.min(F.trunc("ending_month", "month")).alias("first_month"),
+        F.map_from_entries(F.collect_list(F.struct("ending_month", "change"))).alias("changes"))
+    spine = (per_customer
+             .select("customer_id", "changes",
                      F.explode(F.sequence("first_month", last_month, F.expr("INTERVAL 1 MONTH")))
                       .alias("month_start"))
-             .select("customer_id", F.last_day("month_start").alias("ending_month")))
-    joined = spine.join(monthly, ["customer_id", "ending_month"], "left")
+             .select("customer_id", "changes", F.last_day("month_start").alias("ending_month")))
     w = (Window.partitionBy("customer_id").orderBy("ending_month")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    change = F.coalesce(F.col("change"), F.lit(0).cast("decimal(28,2)"))
-    return joined.select("customer_id", "ending_month", change.alias("total_monthly_change"),
-                         F.sum(change).over(w).alias("ending_balance"))
+    change = F.coalesce(F.try_element_at("changes", F.col("ending_month")), F.lit(0).cast("decimal(28,2)"))
+    return (spine.select("customer_id", "ending_month", change.alias("total_monthly_change"))
+            .select("customer_id", "ending_month", "total_monthly_change",
+                    F.sum("total_monthly_change").over(w).alias("ending_balance")))
 
 
 def ranked_monthly_balances(balances: DataFrame) -> DataFrame:
