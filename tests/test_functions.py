@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -41,6 +42,21 @@ def test_previous_value_equals_lag(spark):
         sorted(want.select("order_id", "previous_value").collect())
 
 
+@pytest.mark.parametrize("bits", [0, 3])
+def test_bucketed_windows_equal_single_window(spark, bits):
+    # tiny buckets: the hot customer's days split into many units
+    df = _orders(spark)
+    w = Window.partitionBy("customer_id").orderBy("order_date", "order_id")
+    got = running_total(df, "customer_id", "order_date", "order_id", "amount", bucket_bits=bits)
+    want = df.withColumn("running_total", F.sum("amount").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    assert sorted(got.select("order_id", "running_total").collect()) == \
+        sorted(want.select("order_id", "running_total").collect())
+    got = previous_value(df, "customer_id", "order_date", "order_id", "amount", bucket_bits=bits)
+    want = df.withColumn("previous_value", F.lag("amount").over(w))
+    assert sorted(got.select("order_id", "previous_value").collect()) == \
+        sorted(want.select("order_id", "previous_value").collect())
+
+
 def _check_percentiles(spark, values, accuracy):
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     ps = [0.25, 0.5, 0.75, 0.95]

@@ -2,49 +2,67 @@
 one task.
 
 A plain ``sum(...) OVER (PARTITION BY customer ORDER BY date, id)`` sends
-all rows of a customer to one task.  Here the work is split by day:
+all rows of a customer to one task.  Here the work is split into units of
+(key, day, id bucket), where the bucket is the ordering id shifted right by
+``bucket_bits`` (so a unit holds at most 2**bucket_bits distinct ids):
 
-* per (key, day) totals come from a map-side partial aggregate;
-* the prefix over days runs on one row per key and day, so its window
-  partitions are bounded by the calendar, not by the number of rows;
-* the running sum inside a day is a window partitioned by (key, day);
-* the two meet in an equi-join on (key, day).
+* per-unit totals come from a map-side partial aggregate;
+* the prefix over units runs on one row per unit, so its window partitions
+  hold aggregated rows, not the key's rows;
+* the running sum inside a unit is a window partitioned by the unit, whose
+  size the bucket width bounds;
+* the two meet in an equi-join on the unit.
 
-The result equals the single-window form exactly.
+The bucket is monotone in the id, so (day, bucket, id) order equals (day, id)
+order and the result equals the single-window form exactly.  A non-integral
+ordering column falls back to units of (key, day).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+BUCKET_BITS = 20  # at most ~1M distinct ids per (key, day) unit
+
+
+def _bucket(df: DataFrame, order: str, bucket_bits: int) -> Column:
+    if isinstance(df.schema[order].dataType, T.IntegralType):
+        return F.shiftright(F.col(order).cast("long"), bucket_bits)
+    return F.lit(0).cast("long")
 
 
 def running_total(df: DataFrame, key: str, day: str, order: str, value: str,
-                  out: str = "running_total") -> DataFrame:
+                  out: str = "running_total", bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """``df`` plus ``out`` = running sum of ``value`` per ``key`` ordered by (``day``, ``order``)."""
-    per_day = df.groupBy(key, day).agg(F.sum(value).alias("_day_total"))
-    days = Window.partitionBy(key).orderBy(day).rowsBetween(Window.unboundedPreceding, -1)
-    before = per_day.select(key, day, F.coalesce(F.sum("_day_total").over(days),
-                                                 F.lit(0).cast(per_day.schema["_day_total"].dataType))
-                            .alias("_before_day"))
-    within = Window.partitionBy(key, day).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    rows = df.withColumn("_within_day", F.sum(value).over(within))
-    return (rows.join(before, [key, day])
-            .withColumn(out, F.col("_before_day") + F.col("_within_day"))
-            .drop("_before_day", "_within_day"))
+    unit = [key, day, "_bucket"]
+    rows = df.withColumn("_bucket", _bucket(df, order, bucket_bits))
+    per_unit = rows.groupBy(*unit).agg(F.sum(value).alias("_unit_total"))
+    units = Window.partitionBy(key).orderBy(day, "_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = per_unit.select(*unit, F.coalesce(F.sum("_unit_total").over(units),
+                                               F.lit(0).cast(per_unit.schema["_unit_total"].dataType))
+                             .alias("_before_unit"))
+    within = Window.partitionBy(*unit).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("_within_unit", F.sum(value).over(within))
+    return (rows.join(before, unit)
+            .withColumn(out, F.col("_before_unit") + F.col("_within_unit"))
+            .drop("_before_unit", "_within_unit", "_bucket"))
 
 
 def previous_value(df: DataFrame, key: str, day: str, order: str, value: str,
-                   out: str = "previous_value") -> DataFrame:
+                   out: str = "previous_value", bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """``df`` plus ``out`` = ``value`` of the previous row of the same ``key``
     in (``day``, ``order``) order (NULL for a key's first row)."""
-    last_of_day = df.groupBy(key, day).agg(F.max_by(value, order).alias("_last_value"))
-    days = Window.partitionBy(key).orderBy(day)
-    prev_day = last_of_day.select(key, day, F.lag("_last_value").over(days).alias("_prev_day_last"))
-    within = Window.partitionBy(key, day).orderBy(order)
-    rows = df.withColumn("_lag_in_day", F.lag(value).over(within)) \
-        .withColumn("_first_in_day", F.row_number().over(within) == 1)
-    return (rows.join(prev_day, [key, day])
-            .withColumn(out, F.when(F.col("_first_in_day"), F.col("_prev_day_last"))
-                        .otherwise(F.col("_lag_in_day")))
-            .drop("_lag_in_day", "_first_in_day", "_prev_day_last"))
+    unit = [key, day, "_bucket"]
+    rows = df.withColumn("_bucket", _bucket(df, order, bucket_bits))
+    last_of_unit = rows.groupBy(*unit).agg(F.max_by(value, order).alias("_last_value"))
+    units = Window.partitionBy(key).orderBy(day, "_bucket")
+    prev_unit = last_of_unit.select(*unit, F.lag("_last_value").over(units).alias("_prev_unit_last"))
+    within = Window.partitionBy(*unit).orderBy(order)
+    rows = rows.withColumn("_lag_in_unit", F.lag(value).over(within)) \
+        .withColumn("_first_in_unit", F.row_number().over(within) == 1)
+    return (rows.join(prev_unit, unit)
+            .withColumn(out, F.when(F.col("_first_in_unit"), F.col("_prev_unit_last"))
+                        .otherwise(F.col("_lag_in_unit")))
+            .drop("_lag_in_unit", "_first_in_unit", "_prev_unit_last", "_bucket"))
