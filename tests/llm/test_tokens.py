@@ -143,7 +143,9 @@ def test_plan_places_every_piece_once(seed):
     assert max(fill.values()) <= 64 and len(fill) == plan.sequences
     decreasing = []  # first-fit decreasing for comparison
     for n in sorted(x.tolist(), reverse=True):
-        i = next((i for i, left in enumerate(decreasing) if left >= n), None)
-        decreasing[i:i + 1] = [decreasing[i] - n] if i is not None else decreasing[i:i + 1]
-        decreasing += [64 - n] if i is None else []
+        fits = [i for i, left in enumerate(decreasing) if left >= n]
+        if fits:
+            decreasing[fits[0]] -= n
+        else:
+            decreasing.append(64 - n)
     assert len(fill) <= len(decreasing) * 1.02 + 1

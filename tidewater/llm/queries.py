@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidewater.llm import bytebpe, exact_dedup, packing, sharding, token_counts
+from tidewater.llm import bytebpe, exact_dedup, near_dedup, packing, sharding, token_counts
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def op1_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op4_hyperminhash_dedup(spark, sf_dir):
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op5_byte_bpe(spark, sf_dir):
     return bytebpe.encode_decode(table(spark, sf_dir, "documents"), digests=True)
