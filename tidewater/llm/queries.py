@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidewater.llm import bytebpe, exact_dedup, near_dedup, packing, sharding, token_counts
+from tidewater.llm import bytebpe, exact_dedup, near_dedup, packing, sharding, suffix_dedup, token_counts
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +39,12 @@ def op6_best_fit_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op7_suffix_dedup(spark, sf_dir):
+    out = suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 @_query
 def op9_exact_dedup(spark, sf_dir):
     out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
