@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bytebpe, exact_dedup, near_dedup, packing, sharding, suffix_dedup, token_counts
+from tidewater.llm import bytebpe, exact_dedup, near_dedup, packing, sharding, suffix_dedup, token_counts, vector_search
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,12 @@ def op7_suffix_dedup(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
 
 
+@_query
+def op8_multiprobe_lsh(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return vector_search.nearest(vectors, vectors.filter("vec_id % 100 = 0"))
+
+
 @_query
 def op9_exact_dedup(spark, sf_dir):
     out = exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
