@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import bytebpe, exact_dedup, near_dedup, packing, sharding, suffix_dedup, token_counts, vector_search
+from tidewater.llm import (bytebpe, exact_dedup, language_crf, near_dedup, packing, quality_nbsvm, sharding, suffix_dedup,
+                           token_counts, vector_search)
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +25,16 @@ def op1_token_counts(spark, sf_dir):
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op2_language_crf(spark, sf_dir):
+    return language_crf.language_id(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op3_quality_nbsvm(spark, sf_dir):
+    return quality_nbsvm.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @_query
 def op4_hyperminhash_dedup(spark, sf_dir):
     return near_dedup.near_dedup(table(spark, sf_dir, "documents"))

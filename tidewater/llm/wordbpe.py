@@ -23,7 +23,7 @@ ODD = re.compile("[^\t\n\r -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f
 #: The pre-tokenizer's pattern over lower-case text without odd characters.
 _PIECE = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\s\w]|_)+")
 #: Longest string kept in a cache, and most entries of one.
-KEY_CHARS, CACHE_ENTRIES = 48, 1_500_000
+KEY_CHARS, CACHE_ENTRIES = 48, 700_000
 
 
 def default_tokenizer() -> str:
