@@ -11,7 +11,10 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import pick, table, written
 from tidewater.llm.exact_dedup import exact_dedup
+from tidewater.llm.language_crf import UNKNOWN, language_id
+from tidewater.llm.near_dedup import near_dedup
 from tidewater.llm.packing import pack
+from tidewater.llm.suffix_dedup import suffix_dedup
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -22,18 +25,50 @@ def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
 
 
+#: A document whose language is less probable than this is rejected.
+LEAST_SCORE = 0.5
+
+
+def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: documents without a letter, or whose words agree on no language, go."""
+    docs = pick(docs, *COLUMNS)
+    found = language_id(docs)
+    kept = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
+    return _kept(docs, found.select("doc_id", kept.alias("kept")))
+
+
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 9: of equal texts the one with the largest id stays."""
     docs = pick(docs, *COLUMNS)
     return _kept(docs, exact_dedup(docs))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: the smallest id of every group of near copies stays."""
+    docs = pick(docs, *COLUMNS)
+    return _kept(docs, near_dedup(docs))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 7: repeated byte strings are cut out of the texts and ``n_chars`` follows; bytes of
+    a character cut in two go with it.  Every document stays, if only with an empty text."""
+    docs = pick(docs, *COLUMNS)
+    cut = suffix_dedup(docs).filter("n_removed > 0")
+    whole = F.make_valid_utf8(F.col("kept_bytes").cast("string"))
+    cut = cut.select(F.col("doc_id").alias("cut_id"), F.translate(whole, "\ufffd", "").alias("cut_text"))
+    left = docs.join(cut, docs["doc_id"].eqNullSafe(cut["cut_id"]), "left")
+    changed = F.col("cut_text").isNotNull()
+    return left.select("doc_id", F.when(changed, F.col("cut_text")).otherwise(F.col("text")).alias("text"), "lang", "source",
+                       F.when(changed, F.char_length("cut_text").cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars"))
+
+
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: the places of the remaining documents' pieces in sequences."""
     return pack(docs)
 
 
-STAGES = [("exact_dedup", drop_copies), ("best_fit_packing", pack_sequences)]
+STAGES = [("language_id", keep_languages), ("exact_dedup", drop_copies), ("near_dedup", drop_near_copies),
+          ("suffix_dedup", cut_repeats), ("best_fit_packing", pack_sequences)]
 
 #: Language models, suffix sorting and packing cannot be written in SQL.
 ORACLE_SQL = None
