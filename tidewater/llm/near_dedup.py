@@ -6,10 +6,10 @@ borrowed along a fixed random order.  Bands of registers give candidates, the sh
 registers, corrected for accidental collisions, estimates their Jaccard similarity, and the full
 sets of the texts decide.
 
-Equal sets are one class from the start.  Candidates are first compared with the smallest class
-of each band bucket (a star, never all pairs); only buckets that still hold several components
-are searched further, by blocks of registers, so a large group of near copies that hangs together
-is not expanded into pairs.
+Equal sets are one class from the start.  Candidates are first compared with the most widely
+shared class of each band bucket (a star, never all pairs); only buckets that still hold several components
+are searched further, in blocks that emit links instead of pairs, so a large group of near copies is not
+expanded into pairs.
 """
 
 from __future__ import annotations
@@ -30,8 +30,8 @@ BUCKETS, MANTISSA, ROWS = 64, 10, 3
 BANDS = BUCKETS // ROWS
 #: Pairs whose estimate is lower than the threshold by this (4 standard deviations) are not verified.
 SLACK = 0.22
-#: Most classes compared with each other in one block.
-BLOCK = 1024
+#: About so many classes, and shingles, make up a block.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 _DONORS = np.stack([np.random.default_rng(1000 + i).permutation(BUCKETS) for i in range(BUCKETS)])
@@ -150,32 +150,49 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return map_batches(full, run, "a bigint, b bigint")
 
 
-def _across(members: DataFrame, classes: DataFrame, least: float, parts: int) -> DataFrame:
-    """Likely pairs of different components inside band buckets: (bucket, rep, comp) rows are
-    split into blocks, and every two blocks of a bucket meet in one group of bounded size."""
-    # block by hash of the rep; the number of blocks follows the bucket's count
-    sized = members.join(members.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "bucket")
+def _cell_links(rep, comp, n, regs, band, left, right, texts, words, percent, least):
+    """Links between different components of one cell: members ``left`` against ``right``.
+
+    A pair is looked at in its first common band only, not at all once its two components have
+    met here, and by its full sets if sizes and estimate allow a link.
+    """
+    sets = [shingles(t, words) for t in texts]
+    vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
+    ids = np.split(ids, np.cumsum([len(x) for x in sets])[:-1])
+    mark = np.zeros(len(vocabulary), dtype=bool)
+    comp, out = comp.copy(), []
+    for x in left:
+        other = right[(right > x) if left is right else slice(None)]
+        other = other[(comp[other] != comp[x]) & (100 * np.minimum(n[other], n[x]) >= percent * np.maximum(n[other], n[x]))]
+        if not len(other):
+            continue
+        same = regs[other] == regs[x]
+        ok = estimate(same.mean(axis=1), np.full(len(other), n[x]), n[other]) >= least
+        ok &= same[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+        mark[ids[x]] = True
+        for y in other[ok].tolist():
+            if comp[y] != comp[x]:
+                both = np.count_nonzero(mark[ids[y]])
+                if 100 * both >= percent * (len(ids[x]) + len(ids[y]) - both):
+                    out.append((max(rep[x], rep[y]), min(rep[x], rep[y])))
+                    comp[comp == comp[y]] = comp[x]
+        mark[ids[x]] = False
+    return out
+
+
+def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, least: float) -> DataFrame:
+    """Links between different components inside band buckets.  The (bucket, rep, comp) rows are
+    split into blocks of bounded size, every two blocks of a bucket meet in one cell, and a cell
+    gives its links, not its pairs."""
+    sized = members.join(classes.select("rep", "n"), "rep")
+    blocks = sized.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    cells = (sized.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                  .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "comp"))
-    rows = (cells.join(classes.select("rep", "n", "regs"), "rep")
-                 .repartition(parts, "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep")
-                 .select("bucket", "i", "j", "mine", "rep", "comp", "n", "regs"))
-
-    def pairs(group):
-        cell, mine, rep, comp, n, regs = group
-        left = np.flatnonzero(mine == cell[1])
-        right = np.flatnonzero(mine == cell[2])
-        out_a, out_b = [], []
-        for x in left:
-            other = right[right > x] if cell[1] == cell[2] else right
-            other = other[comp[other] != comp[x]]
-            if len(other):
-                same = (regs[other] == regs[x]).mean(axis=1)
-                hit = other[estimate(same, np.full(len(other), n[x]), n[other]) >= least]
-                out_a += np.maximum(rep[hit], rep[x]).tolist()
-                out_b += np.minimum(rep[hit], rep[x]).tolist()
-        return out_a, out_b
+    cells = (members.join(blocks, "bucket").withColumn("mine", mine)
+                    .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+                    .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "comp"))
+    rows = (cells.join(classes.select("rep", "n", "regs"), "rep").join(texts.select(F.col("id").alias("rep"), "text"), "rep")
+                 .repartition(parallelism(members.sparkSession), "bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "rep")
+                 .select("bucket", "i", "j", "mine", "rep", "comp", "n", "regs", "text"))
 
     def run(batches):
         cell, held = None, []
@@ -183,25 +200,27 @@ def _across(members: DataFrame, classes: DataFrame, least: float, parts: int) ->
         def done():
             if not held:
                 return
-            a, b = pairs((cell, *(np.concatenate(x) for x in zip(*held))))
-            if a:
-                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+            mine, rep, comp, n, regs, texts = (np.concatenate(x) for x in zip(*held))
+            left = np.flatnonzero(mine == cell[1])
+            right = left if cell[1] == cell[2] else np.flatnonzero(mine == cell[2])
+            links = _cell_links(rep, comp, n, regs, cell[0] >> 48, left, right, texts, words, percent, least)
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             cols = [batch.column(c).to_numpy() for c in range(7)]
-            regs = _matrix(batch.column(7))
+            regs, texts = _matrix(batch.column(7)), np.array(batch.column(8).to_pylist(), dtype=object)
             key = np.stack(cols[:3], axis=1)
             cuts = np.r_[0, np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1, len(key)]
             for s, e in zip(cuts[:-1], cuts[1:]):
                 if cell != (now := tuple(key[s].tolist())):
                     yield from done()
                     cell, held = now, []
-                held.append((*(c[s:e] for c in cols[3:7]), regs[s:e]))
+                held.append((*(c[s:e] for c in cols[3:7]), regs[s:e], texts[s:e]))
         yield from done()
 
-    return map_batches(rows, run, "a bigint, b bigint").distinct()
+    return map_batches(rows, run, "a bigint, b bigint")
 
 
 def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = 75, id_col: str = "doc_id",
@@ -221,8 +240,14 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = 75, id_col: s
     classes = written(sketches.filter("id is not null and n > 0").groupBy("key")
                       .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")), "near-classes")
     buckets = _bands(classes)
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("held"), F.min("rep").alias("leader")).filter("held > 1").drop("held")
+    shared = buckets.groupBy("bucket").agg(F.count("*").alias("held")).filter("held > 1")
     members = written(buckets.join(shared, "bucket"), "near-buckets")
+    # the leader of a bucket is the member that shares most places with others: in a group of
+    # edited copies that is the text they were copied from, to which more of them are close
+    fame = members.groupBy("rep").agg(F.sum("held").alias("fame"))
+    ranked = members.join(fame, "rep")
+    leaders = ranked.groupBy("bucket").agg(F.max(F.struct("fame", (-F.col("rep")).alias("neg"))).alias("top"))
+    members = written(members.drop("held").join(leaders.select("bucket", (-F.col("top.neg")).alias("leader")), "bucket"), "near-members")
 
     star = members.filter("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
     star = written(_likely(star, classes, least), "near-star")
@@ -234,8 +259,7 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = 75, id_col: s
     named = members.join(labels, members["rep"] == labels["node"], "left").select("bucket", "rep", F.coalesce("comp", "rep").alias("comp"))
     mixed = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     open_ = written(named.join(mixed.select("bucket"), "bucket"), "near-open")
-    more = _across(open_, classes, least, parallelism(spark)).join(star, ["a", "b"], "left_anti")
-    found = _verified(written(more, "near-pairs"), texts, words, percent)
+    found = _across(open_, classes, texts, words, percent, least)
     name = lambda s: labels.select(F.col("node").alias(s), F.col("comp").alias(f"comp_{s}"))
     merged = components(written(found.join(name("a"), "a", "left").join(name("b"), "b", "left")
                                 .select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
