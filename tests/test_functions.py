@@ -33,6 +33,30 @@ def test_running_total_equals_single_window(spark):
         sorted(want.select("order_id", "running_total").collect())
 
 
+def test_windows_keep_null_keys_days_and_values(spark):
+    rows = [(1, "2024-01-01", 5, 10), (1, None, 7, 20), (1, "2024-01-02", None, 30), (None, "2024-01-01", 1, 40),
+            (None, None, 2, 50), (None, None, None, 60), (2, "2024-01-01", 3, None), (2, "2024-01-01", 4, 5)]
+    df = spark.createDataFrame(rows, "customer_id int, order_date string, order_id int, amount int")
+    order = [F.col(c).asc_nulls_last() for c in ("order_date", "order_id")]
+    w = Window.partitionBy("customer_id").orderBy(*order)
+    key = lambda r: tuple((x is None, x) for x in r)
+    for got, want in ((running_total(df, "customer_id", "order_date", "order_id", "amount", out="x", bucket_bits=1),
+                       df.withColumn("x", F.sum("amount").over(w.rowsBetween(Window.unboundedPreceding, 0)))),
+                      (previous_value(df, "customer_id", "order_date", "order_id", "amount", out="x", bucket_bits=1),
+                       df.withColumn("x", F.lag("amount").over(w)))):
+        got = sorted((tuple(r) for r in got.select(want.columns).collect()), key=key)
+        assert got == sorted((tuple(r) for r in want.collect()), key=key) and len(got) == len(rows)
+
+
+def test_balances_survive_a_null_date(spark):
+    from tidewater.operators import accounts
+    rows = [(1, "2020-01-05", "deposit", 100), (1, None, "deposit", 7), (2, "2020-02-01", "purchase", 30), (3, None, "deposit", 1)]
+    df = spark.createDataFrame(rows, "customer_id int, txn_date string, txn_type string, txn_amount int")
+    out = accounts.monthly_balances(df.withColumn("txn_date", F.to_date("txn_date"))).collect()
+    assert {(r.customer_id, str(r.ending_month), float(r.ending_balance)) for r in out} == {
+        (1, "2020-01-31", 100.0), (1, "2020-02-29", 100.0), (2, "2020-02-29", -30.0)}
+
+
 def test_previous_value_equals_lag(spark):
     df = _orders(spark)
     got = previous_value(df, "customer_id", "order_date", "order_id", "amount")

@@ -6,16 +6,18 @@ all rows of a customer to one task.  Here the work is split into units of
 (key, day, id bucket), where the bucket is the ordering id shifted right by
 ``bucket_bits`` (so a unit holds at most 2**bucket_bits distinct ids):
 
-* per-unit totals come from a map-side partial aggregate;
-* the prefix over units runs on one row per unit, so its window partitions
-  hold aggregated rows, not the key's rows;
+* totals of days and units come from map-side partial aggregates;
+* a prefix over a key's days holds at most one row per calendar day, a prefix
+  over a day's units one row per bucket;
 * the running sum inside a unit is a window partitioned by the unit, whose
   size the bucket width bounds;
-* the two meet in an equi-join on the unit.
+* they meet in null-safe equi-joins, so rows with a NULL key, day or ordering
+  value stay (NULL keys are one key, NULL days and values come last).
 
 The bucket is monotone in the id, so (day, bucket, id) order equals (day, id)
 order and the result equals the single-window form exactly.  A non-integral
-ordering column falls back to units of (key, day).
+ordering column has one bucket per (key, day): the day's rows are then one
+window partition.
 """
 
 from __future__ import annotations
@@ -33,21 +35,40 @@ def _bucket(df: DataFrame, order: str, bucket_bits: int) -> Column:
     return F.lit(0).cast("long")
 
 
+def _attach(rows: DataFrame, extra: DataFrame, keys: list[str]) -> DataFrame:
+    """Left join on null-safe equality of ``keys``; the keys of ``extra`` are dropped."""
+    other = {k: f"_join_{k}" for k in keys}
+    cond = F.lit(True)
+    for k, o in other.items():
+        cond = cond & F.col(k).eqNullSafe(F.col(o))
+    return rows.join(extra.withColumnsRenamed(other), cond, "left").drop(*other.values())
+
+
+def _last(*cols: str) -> list[Column]:
+    return [F.col(c).asc_nulls_last() for c in cols]
+
+
 def running_total(df: DataFrame, key: str, day: str, order: str, value: str,
                   out: str = "running_total", bucket_bits: int = BUCKET_BITS) -> DataFrame:
     """``df`` plus ``out`` = running sum of ``value`` per ``key`` ordered by (``day``, ``order``)."""
     unit = [key, day, "_bucket"]
     rows = df.withColumn("_bucket", _bucket(df, order, bucket_bits))
-    per_unit = rows.groupBy(*unit).agg(F.sum(value).alias("_unit_total"))
-    units = Window.partitionBy(key).orderBy(day, "_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = per_unit.select(*unit, F.coalesce(F.sum("_unit_total").over(units),
-                                               F.lit(0).cast(per_unit.schema["_unit_total"].dataType))
-                             .alias("_before_unit"))
-    within = Window.partitionBy(*unit).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    per_unit = rows.groupBy(*unit).agg(F.sum(value).alias("_total"))
+    per_day = per_unit.groupBy(key, day).agg(F.sum("_total").alias("_total"))
+    zero = F.lit(0).cast(per_day.schema["_total"].dataType)
+
+    def before(w):
+        return F.sum("_total").over(w.rowsBetween(Window.unboundedPreceding, -1))
+
+    days = per_day.select(key, day, before(Window.partitionBy(key).orderBy(*_last(day))).alias("_before_day"))
+    units = per_unit.select(*unit, before(Window.partitionBy(key, day).orderBy(*_last("_bucket"))).alias("_before_unit"))
+    within = Window.partitionBy(*unit).orderBy(*_last(order)).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_within_unit", F.sum(value).over(within))
-    return (rows.join(before, unit)
-            .withColumn(out, F.col("_before_unit") + F.col("_within_unit"))
-            .drop("_before_unit", "_within_unit", "_bucket"))
+    rows = _attach(_attach(rows, units, unit), days, [key, day])
+    parts = [F.col(c) for c in ("_before_day", "_before_unit", "_within_unit")]
+    total = sum((F.coalesce(c, zero) for c in parts[1:]), F.coalesce(parts[0], zero))
+    return (rows.withColumn(out, F.when(F.coalesce(*parts).isNotNull(), total))  # NULL before the first value
+            .drop("_before_day", "_before_unit", "_within_unit", "_bucket"))
 
 
 def previous_value(df: DataFrame, key: str, day: str, order: str, value: str,
@@ -56,13 +77,16 @@ def previous_value(df: DataFrame, key: str, day: str, order: str, value: str,
     in (``day``, ``order``) order (NULL for a key's first row)."""
     unit = [key, day, "_bucket"]
     rows = df.withColumn("_bucket", _bucket(df, order, bucket_bits))
-    last_of_unit = rows.groupBy(*unit).agg(F.max_by(value, order).alias("_last_value"))
-    units = Window.partitionBy(key).orderBy(day, "_bucket")
-    prev_unit = last_of_unit.select(*unit, F.lag("_last_value").over(units).alias("_prev_unit_last"))
-    within = Window.partitionBy(*unit).orderBy(order)
+    place = F.struct(F.col(order).isNull(), F.col(order))  # NULL comes last
+    per_unit = rows.groupBy(*unit).agg(F.max_by(F.struct(value), place).alias("_last"))
+    per_day = per_unit.groupBy(key, day).agg(
+        F.max_by("_last", F.struct(F.col("_bucket").isNull(), F.col("_bucket"))).alias("_last"))
+    days = per_day.select(key, day, F.lag("_last").over(Window.partitionBy(key).orderBy(*_last(day))).alias("_day_before"))
+    units = per_unit.select(*unit, F.lag("_last").over(Window.partitionBy(key, day).orderBy(*_last("_bucket"))).alias("_unit_before"))
+    within = Window.partitionBy(*unit).orderBy(*_last(order))
     rows = rows.withColumn("_lag_in_unit", F.lag(value).over(within)) \
         .withColumn("_first_in_unit", F.row_number().over(within) == 1)
-    return (rows.join(prev_unit, unit)
-            .withColumn(out, F.when(F.col("_first_in_unit"), F.col("_prev_unit_last"))
-                        .otherwise(F.col("_lag_in_unit")))
-            .drop("_lag_in_unit", "_first_in_unit", "_prev_unit_last", "_bucket"))
+    rows = _attach(_attach(rows, units, unit), days, [key, day])
+    earlier = F.coalesce("_unit_before", "_day_before").getField(value)
+    return (rows.withColumn(out, F.when(F.col("_first_in_unit"), earlier).otherwise(F.col("_lag_in_unit")))
+            .drop("_lag_in_unit", "_first_in_unit", "_day_before", "_unit_before", "_bucket"))

@@ -104,9 +104,10 @@ def monthly_balances(customer_transactions: DataFrame) -> DataFrame:
     Months run from each customer's first transaction month to the last
     month in the data (the reference fixes Jan-Apr 2020); months without
     transactions carry the balance with a change of 0.
+    A transaction without a date belongs to no month and is left out.
     -> customer_id, ending_month, total_monthly_change, ending_balance (decimal)
     """
-    monthly = (customer_transactions
+    monthly = (customer_transactions.filter(F.col("txn_date").isNotNull())
                .groupBy("customer_id", F.last_day("txn_date").alias("ending_month"))
                .agg(F.sum(_signed_amount()).alias("change")))
     last_month = grand(monthly, F.max(F.trunc("ending_month", "month")))
@@ -124,7 +125,7 @@ def monthly_balances(customer_transactions: DataFrame) -> DataFrame:
              .select("customer_id", "changes", F.last_day("month_start").alias("ending_month")))
     w = (Window.partitionBy("customer_id").orderBy("ending_month")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    change = F.coalesce(F.try_element_at("changes", F.col("ending_month")), F.lit(0).cast("decimal(28,2)"))
+    change = F.coalesce(F.try_element_at("changes", F.col("ending_month")), F.lit(0).cast(monthly.schema["change"].dataType))
     return (spine.select("customer_id", "ending_month", change.alias("total_monthly_change"))
             .select("customer_id", "ending_month", "total_monthly_change",
                     F.sum("total_monthly_change").over(w).alias("ending_balance")))

@@ -327,23 +327,30 @@ def ingredient_totals_delivered(clean_orders: DataFrame, clean_runner: DataFrame
 
 # ----------------------------------------------------------------------------- pricing and ratings
 def _pizza_price(prices: dict[str, int]) -> Column:
+    """Price by name; NULL for a pizza that has none."""
     expr = None
     for name, price in prices.items():
         expr = (F.when if expr is None else expr.when)(F.col("pizza_name") == name, F.lit(price))
-    return expr.otherwise(F.lit(0))
+    return expr
+
+
+def _priced_total(amount: Column) -> Column:
+    """Sum of ``amount``, NULL if any row has none (a pizza without a price): an
+    unknown price must not pass as free."""
+    return F.when(F.count(amount) == F.count(F.lit(1)), F.sum(amount))
 
 
 def revenue_fixed_prices(clean_orders: DataFrame, clean_runner: DataFrame, pizza_names: DataFrame,
                          prices: dict[str, int] = PIZZA_PRICES) -> DataFrame:
     items = _delivered_items(clean_orders, clean_runner).join(pizza_names, "pizza_id")
-    return items.agg(F.sum(_pizza_price(prices)).cast("bigint").alias("total_revenue"))
+    return items.agg(_priced_total(_pizza_price(prices)).cast("bigint").alias("total_revenue"))
 
 
 def revenue_with_extra_charge(clean_orders: DataFrame, clean_runner: DataFrame, pizza_names: DataFrame,
                               prices: dict[str, int] = PIZZA_PRICES, extra_charge: int = 1) -> DataFrame:
     items = _delivered_items(clean_orders, clean_runner).join(pizza_names, "pizza_id")
     amount = _pizza_price(prices) + F.size(_ids("extras")) * extra_charge
-    return items.agg(F.sum(amount).cast("bigint").alias("total_revenue"))
+    return items.agg(_priced_total(amount).cast("bigint").alias("total_revenue"))
 
 
 def delivery_fact_with_rating(clean_orders: DataFrame, clean_runner: DataFrame,
@@ -365,7 +372,7 @@ def profit_after_runner_pay(clean_orders: DataFrame, clean_runner: DataFrame, pi
                             prices: dict[str, int] = PIZZA_PRICES, pay_per_km: str = "0.30") -> DataFrame:
     """Revenue of delivered pizzas minus runner pay per km (one distance per order)."""
     items = _delivered_items(clean_orders, clean_runner).join(pizza_names, "pizza_id")
-    revenue = items.agg(F.sum(_pizza_price(prices)).cast("decimal(38,2)").alias("revenue"))
+    revenue = items.agg(_priced_total(_pizza_price(prices)).cast("decimal(38,2)").alias("revenue"))
     pay = (delivered(clean_runner)
            .agg(F.sum(F.col("distance").cast("decimal(12,1)") * F.lit(pay_per_km).cast("decimal(4,2)"))
                 .alias("runner_pay")))
