@@ -29,7 +29,10 @@ TABLES, FUNCTIONS, WIDTH = 3, 6, 1.5
 SAMPLE, SAMPLE_QUERIES, RECALL = 2048, 64, 0.96
 #: Below so many distinct vectors there is one bucket.
 ONE_BUCKET = 256
-BLOCK, PART_VECTORS, MOST_PROBES = 20_000, 100_000, 1500
+BLOCK, MOST_PROBES = 20_000, 1500
+#: Entries of a part: a query's results are gathered from every part that it visits, so parts are
+#: not made smaller than the first, nor larger than the second.
+PART_LEAST, PART_MOST = 5_000, 100_000
 
 
 @dataclass
@@ -166,7 +169,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
 
     entries = map_batches(distinct.select("rid", "v"), index, f"bucket bigint, rid {id_type}, v {v_type}")
     held = written(entries.groupBy("bucket").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")), "vector-buckets")
-    parts = max(parallelism(spark), -(-n * TABLES // PART_VECTORS))
+    parts = max(1, min(max(parallelism(spark), n * TABLES // PART_MOST), n * TABLES // PART_LEAST))
     # a block of a bucket lies in one part; a query goes to each part that holds one of its blocks
     part = lambda block: F.pmod(F.xxhash64("bucket", block), F.lit(parts)).cast("int").alias("part")
     stored = entries.join(held, "bucket").select(part(F.pmod(F.xxhash64("rid"), "blocks").cast("int")), "bucket", "rid", "v")
@@ -195,11 +198,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
                     continue
                 if made is None and store:
                     keys, x = np.concatenate([p[0] for p in store]), np.concatenate([p[2] for p in store])
-                    made = keys, pa.concat_arrays([p[1] for p in store]), x
+                    rids = pa.concat_arrays([p[1] for p in store])
+                    made = keys, rids, x, np.unique(rids.to_numpy(zero_copy_only=False), return_inverse=True)[1]
                     store = []
                 if made is None:
                     continue
-                keys, rids, x = made
+                keys, rids, x, codes = made
                 out_q, out_r, out_d = [], [], []
                 for i, (q, wanted) in enumerate(zip(_matrix(piece.column(3)), piece.column(1).to_pylist())):
                     wanted = np.array(wanted)
@@ -207,11 +211,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
                     at = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)] or [np.array([], int)])
                     if not len(at):
                         continue
+                    at = at[np.unique(codes[at], return_index=True)[1]]  # once, if found in several tables
                     d = np.sqrt(((x[at] - q) ** 2).sum(axis=1))
-                    most = TABLES * (k + 1)  # a vector may come from every table
-                    if len(at) > most:
-                        keep = d <= np.partition(d, most)[most]
-                        at, d = at[keep], d[keep]
+                    best = np.lexsort((codes[at], d))[:k + 1]  # codes follow the ids
+                    at, d = at[best], d[best]
                     out_q.append(np.full(len(at), i)), out_r.append(at), out_d.append(d)
                 if out_q:
                     yield pa.RecordBatch.from_arrays([piece.column(2).take(pa.array(np.concatenate(out_q))), rids.take(pa.array(np.concatenate(out_r))),
