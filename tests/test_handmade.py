@@ -89,15 +89,44 @@ def test_null_tokens_and_change_counts(spark):
     assert rows(delivery.avg_pickup_minutes(co, cr), "runner_id", "avg_pickup_minutes") == [(1, 25.0)]
 
 
+def _pizza_menu(spark):
+    recipes = spark.createDataFrame([(10, "1, 2, 3"), (20, "1, 2, 13, 14")], "pizza_id long, toppings string")
+    names = spark.createDataFrame([(10, "Meatlovers"), (20, "Supreme")], "pizza_id long, pizza_name string")
+    toppings = spark.createDataFrame([(1, "Bacon"), (2, "BBQ Sauce"), (3, "Beef"), (4, "Cheese"), (13, "anchovy")],
+                                     "topping_id int, topping_name string")
+    return recipes, names, toppings
+
+
+LINE_DDL = "order_id int, customer_id int, pizza_id long, exclusions string, extras string"
+
+
 def test_ingredient_list_with_double_topping(spark):
-    orders = spark.createDataFrame([(1, 7, 10, "3", "1, 4")],
-                                   "order_id int, customer_id int, pizza_id long, exclusions string, extras string")
-    recipes = spark.createDataFrame([(10, "1, 2, 3")], "pizza_id long, toppings string")
-    names = spark.createDataFrame([(10, "Meatlovers")], "pizza_id long, pizza_name string")
-    got = delivery.order_ingredient_list(orders, names, recipes).first()["ingredient_list"]
-    assert got == "Meatlovers: 2xBacon, BBQ Sauce, Cheese"
-    label = delivery.order_item_label(orders, names).first()["order_item"]
-    assert label == "Meatlovers - Exclude Beef - Extra Bacon, Cheese"
+    orders = spark.createDataFrame([(1, 7, 10, "3", "1, 4"), (2, 8, 10, "1,2,3", None)], LINE_DDL)
+    recipes, names, toppings = _pizza_menu(spark)
+    got = rows(delivery.order_ingredient_list(orders, names, recipes, toppings), "order_id", "ingredient_list")
+    assert got == [(1, "Meatlovers: 2xBacon, BBQ Sauce, Cheese"), (2, "Meatlovers: ")]
+    label = rows(delivery.order_item_label(orders, names, toppings), "order_id", "order_item")
+    assert label == [(1, "Meatlovers - Exclude Beef - Extra Bacon, Cheese"),
+                     (2, "Meatlovers - Exclude Bacon, BBQ Sauce, Beef")]
+
+
+def test_toppings_come_from_the_table_and_unnamed_ids_stay(spark):
+    # two equal lines, an id beyond the usual list (13) and one that the table lacks (14)
+    orders = spark.createDataFrame([(1, 7, 20, None, "1, 13"), (1, 7, 20, None, "1, 13"), (2, 8, 20, "14", "14, 2")], LINE_DDL)
+    runner = spark.createDataFrame([(1, 1, None, 5.0, 10), (2, 1, None, 5.0, 10)],
+                                   "order_id int, runner_id int, pickup_time timestamp_ntz, distance double, duration int")
+    recipes, names, toppings = _pizza_menu(spark)
+    got = rows(delivery.order_ingredient_list(orders, names, recipes, toppings), "order_id", "ingredient_list")
+    assert got == [(1, "Supreme: #14, 2xanchovy, 2xBacon, BBQ Sauce")] * 2 + [(2, "Supreme: #14, anchovy, Bacon, 2xBBQ Sauce")]
+    label = rows(delivery.order_item_label(orders, names, toppings), "order_id", "order_item")
+    assert label == [(1, "Supreme - Extra Bacon, anchovy")] * 2 + [(2, "Supreme - Exclude #14 - Extra #14, BBQ Sauce")]
+    totals = delivery.ingredient_totals_delivered(orders, runner, recipes, toppings).collect()
+    assert [tuple(r) for r in totals] == [  # most frequent first
+        (1, "Bacon", 5), (13, "anchovy", 5), (2, "BBQ Sauce", 4), (14, "#14", 3)]
+    listed = rows(delivery.standard_ingredients(recipes, names, toppings), "pizza_id", "standard_ingredients")
+    assert listed == [(10, "Bacon, BBQ Sauce, Beef"), (20, "#14, anchovy, Bacon, BBQ Sauce")]
+    assert tuple(delivery.most_common_exclusion(orders, toppings).first()) == (14, "#14", 1)
+    assert tuple(delivery.most_common_extra(orders, toppings).first()) == (1, "Bacon", 2)
 
 
 # ----------------------------------------------------------------------------- CS3

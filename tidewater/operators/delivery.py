@@ -7,19 +7,22 @@ duration, cancellation), runners(runner_id, registration_date),
 pizza_names(pizza_id, pizza_name), pizza_recipes(pizza_id, toppings),
 pizza_toppings(topping_id, topping_name).
 
-Per-pizza ingredient lists are computed row-wise with array functions
-(split / filter / transform / array_sort), so they need no line id and
-no shuffle; counts per topping explode the (at most a dozen) ids per pizza
-and aggregate with a map-side partial aggregate.
+Labels and ingredient lists depend only on a line's (pizza_id, exclusions,
+extras), so they are worked out once per distinct combination (a map-side
+partial aggregate shrinks repeated ones) and joined back null-safe.  Topping
+names come from the caller's pizza_toppings; an id that the table lacks shows
+as '#id' instead of vanishing.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.common import avg_round, nullify_tokens, parse_timestamp_ntz, pct, ratio, rounded, top_k
-from tidewater.sources.inline import PIZZA_PRICES, PIZZA_TOPPINGS
+from tidewater.sources.inline import PIZZA_PRICES
 
 SPLIT_RE = r"[,\s]+"
 
@@ -215,10 +218,21 @@ def delivery_success_pct(clean_runner: DataFrame) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- ingredients
-def _topping_name(id_col: Column) -> Column:
-    """Topping name for an id via the fixed topping list (1-based)."""
-    names = F.array(*[F.lit(name) for _, name in sorted(PIZZA_TOPPINGS)])
-    return F.element_at(names, id_col)
+_LINE = ["pizza_id", "exclusions", "extras"]
+
+
+def _named(ids: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
+    """Add topping_name by topping_id ('#id' if the table has no name for it)."""
+    names = pizza_toppings.groupBy("topping_id").agg(F.min("topping_name").alias("topping_name"))
+    unnamed = F.concat(F.lit("#"), F.col("topping_id").cast("string"))
+    return ids.join(names, "topping_id", "left").withColumn("topping_name", F.coalesce("topping_name", unnamed))
+
+
+def _per_line(lines: DataFrame, described: DataFrame) -> DataFrame:
+    """Join what was worked out per distinct (pizza_id, exclusions, extras) back to the lines."""
+    right = described.select(*[F.col(c).alias(f"_{c}") if c in _LINE else F.col(c) for c in described.columns])
+    same = reduce(lambda x, y: x & y, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in _LINE])
+    return lines.join(right, same).drop(*[f"_{c}" for c in _LINE])
 
 
 def _ids(text: str | Column) -> Column:
@@ -232,97 +246,92 @@ def ingredient_frequency(pizza_recipes: DataFrame, pizza_toppings: DataFrame) ->
     """How many recipes use each topping -> topping_id, topping_name, topping_count."""
     ids = pizza_recipes.select(F.explode(_ids("toppings")).alias("topping_id"))
     counts = ids.groupBy("topping_id").agg(F.count("topping_id").alias("topping_count"))
-    return counts.join(F.broadcast(pizza_toppings), "topping_id") \
+    return counts.join(pizza_toppings, "topping_id") \
         .select("topping_id", "topping_name", "topping_count")
 
 
-def standard_ingredients(pizza_recipes: DataFrame, pizza_names: DataFrame) -> DataFrame:
+def standard_ingredients(pizza_recipes: DataFrame, pizza_names: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
     """Alphabetical ingredient list of each pizza -> pizza_id, pizza_name, standard_ingredients."""
-    keyed = F.array_sort(F.transform(_ids("toppings"), lambda t: F.struct(
-        F.lower(_topping_name(t)).alias("k"), _topping_name(t).alias("name"))))
-    names = keyed["name"]
-    return (pizza_recipes.join(pizza_names, "pizza_id")
-            .select("pizza_id", "pizza_name", F.array_join(names, ", ").alias("standard_ingredients")))
+    ids = pizza_recipes.join(pizza_names, "pizza_id").select(
+        "pizza_id", "pizza_name", F.explode_outer(_ids("toppings")).alias("topping_id"))
+    entry = F.when(F.col("topping_name").isNotNull(), F.struct(F.lower("topping_name").alias("k"), "topping_name"))
+    names = F.array_sort(F.collect_list(entry))["topping_name"]
+    return (_named(ids, pizza_toppings).groupBy("pizza_id", "pizza_name")
+            .agg(F.array_join(names, ", ").alias("standard_ingredients")))
 
 
-def _most_common(clean_orders: DataFrame, col: str, out: str, k: int = 1) -> DataFrame:
+def _most_common(clean_orders: DataFrame, pizza_toppings: DataFrame, col: str, out: str, k: int = 1) -> DataFrame:
     ids = clean_orders.select(F.explode(_ids(col)).alias("topping_id"))
     counts = ids.groupBy("topping_id").agg(F.count(F.lit(1)).alias(out))
-    named = counts.select("topping_id", _topping_name(F.col("topping_id")).alias("topping_name"), out)
-    return top_k(named, k, [F.desc(out), F.asc("topping_id")])
+    return _named(top_k(counts, k, [F.desc(out), F.asc("topping_id")]), pizza_toppings) \
+        .select("topping_id", "topping_name", out)
 
 
-def most_common_extra(clean_orders: DataFrame, k: int = 1) -> DataFrame:
-    return _most_common(clean_orders, "extras", "extra_count", k)
+def most_common_extra(clean_orders: DataFrame, pizza_toppings: DataFrame, k: int = 1) -> DataFrame:
+    return _most_common(clean_orders, pizza_toppings, "extras", "extra_count", k)
 
 
-def most_common_exclusion(clean_orders: DataFrame, k: int = 1) -> DataFrame:
-    return _most_common(clean_orders, "exclusions", "exclusion_count", k)
+def most_common_exclusion(clean_orders: DataFrame, pizza_toppings: DataFrame, k: int = 1) -> DataFrame:
+    return _most_common(clean_orders, pizza_toppings, "exclusions", "exclusion_count", k)
 
 
-def order_item_label(clean_orders: DataFrame, pizza_names: DataFrame) -> DataFrame:
-    """'Meatlovers - Exclude Beef, Cheese - Extra Bacon' per order line."""
-    def names(col: str) -> Column:
-        return F.array_join(F.transform(_ids(col), _topping_name), ", ")
-    label = F.concat(
-        F.col("pizza_name"),
-        F.when(F.size(_ids("exclusions")) > 0, F.concat(F.lit(" - Exclude "), names("exclusions")))
-         .otherwise(F.lit("")),
-        F.when(F.size(_ids("extras")) > 0, F.concat(F.lit(" - Extra "), names("extras")))
-         .otherwise(F.lit("")))
-    return clean_orders.join(pizza_names, "pizza_id").select(
-        "order_id", "customer_id", "pizza_id", label.alias("order_item"))
-
+def order_item_label(clean_orders: DataFrame, pizza_names: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
+    """'Meatlovers - Exclude Beef, Cheese - Extra Bacon' per order line, toppings in the line's order."""
+    def changes(kind: str, col: str) -> Column:
+        return F.transform(_ids(col), lambda t, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("pos"), t.alias("topping_id")))
 
-def _with_id_arrays(df: DataFrame) -> DataFrame:
-    """Parse the recipe, exclusion and extra id texts once into arrays."""
-    return (df.withColumn("_recipe", _ids("toppings")).withColumn("_ex", _ids("exclusions"))
-            .withColumn("_extra", _ids("extras")))
+    def listed(kind: str) -> Column:
+        mine = F.collect_list(F.when(F.col("kind") == kind, F.struct("pos", "topping_name")))
+        return F.array_join(F.array_sort(mine)["topping_name"], ", ")
 
+    def part(col: str, prefix: str) -> Column:
+        return F.when(F.col(col) != "", F.concat(F.lit(prefix), F.col(col))).otherwise(F.lit(""))
 
-def _occurrences(ids: Column, topping_id: int) -> Column:
-    return F.size(ids) - F.size(F.array_remove(ids, F.lit(topping_id)))
+    combos = clean_orders.select(*_LINE).distinct()
+    ids = combos.select(*_LINE, F.explode_outer(F.concat(changes("ex", "exclusions"), changes("more", "extras"))).alias("c"))
+    texts = _named(ids.select(*_LINE, "c.*"), pizza_toppings).groupBy(*_LINE).agg(
+        listed("ex").alias("_ex"), listed("more").alias("_more"))
+    label = F.concat(F.col("pizza_name"), part("_ex", " - Exclude "), part("_more", " - Extra "))
+    return _per_line(clean_orders, texts).join(pizza_names, "pizza_id").select(
+        "order_id", "customer_id", "pizza_id", label.alias("order_item"))
 
 
-def _ingredient_count(topping_id: int) -> Column:
-    """How often a topping is in a pizza: once per recipe entry unless
-    excluded, plus once per extra.  Array built-ins only (no lambda), so the
-    projection stays in whole-stage codegen; the topping list is the fixed
-    list of the case study, so one such column per topping is a bounded set."""
-    recipe = F.when(F.array_contains(F.col("_ex"), F.lit(topping_id)), F.lit(0)) \
-        .otherwise(_occurrences(F.col("_recipe"), topping_id))
-    return recipe + _occurrences(F.col("_extra"), topping_id)
+def _used_ids() -> Column:
+    """Topping ids in a pizza: the recipe without the excluded ones, then the extras (repeats count)."""
+    excluded = _ids("exclusions")
+    return F.concat(F.filter(_ids("toppings"), lambda t: ~F.array_contains(excluded, t)), _ids("extras"))
 
 
 def order_ingredient_list(clean_orders: DataFrame, pizza_names: DataFrame,
-                          pizza_recipes: DataFrame) -> DataFrame:
+                          pizza_recipes: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
     """'Meatlovers: 2xBacon, Beef, Cheese': alphabetical (ignoring case), '2x' for a doubled topping."""
-    joined = _with_id_arrays(clean_orders.join(pizza_recipes, "pizza_id").join(pizza_names, "pizza_id"))
-    entries = []
-    for topping_id, name in sorted(PIZZA_TOPPINGS, key=lambda t: t[1].lower()):
-        n = _ingredient_count(topping_id)
-        entries.append(F.when(n > 1, F.concat(n.cast("string"), F.lit("x" + name)))
-                       .when(n == 1, F.lit(name)))
-    # concat_ws skips the NULL entries of absent toppings
-    text = F.concat_ws(", ", *entries)
-    return joined.select("order_id", "customer_id", "pizza_id",
-                         F.concat(F.col("pizza_name"), F.lit(": "), text).alias("ingredient_list"))
+    combos = clean_orders.select(*_LINE).distinct().join(pizza_recipes, "pizza_id")
+    counts = (combos.select(*_LINE, F.explode_outer(_used_ids()).alias("topping_id"))
+              .groupBy(*_LINE, "topping_id").agg(F.count("topping_id").alias("n")))
+    times = F.when(F.col("n") > 1, F.concat(F.col("n").cast("string"), F.lit("x"))).otherwise(F.lit(""))
+    entry = F.when(F.col("topping_name").isNotNull(), F.struct(
+        F.lower("topping_name").alias("k"), "topping_id", F.concat(times, F.col("topping_name")).alias("text")))
+    texts = _named(counts, pizza_toppings).groupBy(*_LINE).agg(
+        F.array_join(F.array_sort(F.collect_list(entry))["text"], ", ").alias("_list"))
+    return _per_line(clean_orders, texts).join(pizza_names, "pizza_id").select(
+        "order_id", "customer_id", "pizza_id",
+        F.concat(F.col("pizza_name"), F.lit(": "), F.col("_list")).alias("ingredient_list"))
 
 
 def ingredient_totals_delivered(clean_orders: DataFrame, clean_runner: DataFrame,
-                                pizza_recipes: DataFrame) -> DataFrame:
-    """Quantity of each ingredient over all delivered pizzas -> topping_id, topping_name, quantity.
+                                pizza_recipes: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
+    """Quantity of each ingredient over all delivered pizzas -> topping_id, topping_name,
+    quantity, most frequent first.
 
-    One global aggregate with a sum per topping: each task reduces its rows to
-    one row of partial sums, so nothing is exploded or shuffled by topping.
+    Pizzas are counted per combination first, so ids are exploded once per combination.
     """
-    joined = _with_id_arrays(_delivered_items(clean_orders, clean_runner).join(pizza_recipes, "pizza_id"))
-    sums = joined.agg(*[F.sum(_ingredient_count(t)).alias(f"q{t}") for t, _ in PIZZA_TOPPINGS])
-    rows = sums.select(F.explode(F.array(*[
-        F.struct(F.lit(t).alias("topping_id"), F.col(f"q{t}").alias("quantity")) for t, _ in PIZZA_TOPPINGS
-    ])).alias("r")).select("r.topping_id", "r.quantity")
-    return rows.filter(F.col("quantity") > 0).select(
-        "topping_id", _topping_name(F.col("topping_id")).alias("topping_name"), "quantity")
+    combos = (_delivered_items(clean_orders, clean_runner).groupBy(*_LINE).agg(F.count(F.lit(1)).alias("pizzas"))
+              .join(pizza_recipes, "pizza_id"))
+    totals = (combos.select("pizzas", F.explode(_used_ids()).alias("topping_id"))
+              .groupBy("topping_id").agg(F.sum("pizzas").alias("quantity")))
+    return _named(totals, pizza_toppings).select("topping_id", "topping_name", "quantity") \
+        .orderBy(F.desc("quantity"), F.asc("topping_id"))
 
 
 # ----------------------------------------------------------------------------- pricing and ratings
