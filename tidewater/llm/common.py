@@ -9,7 +9,7 @@ import zipfile
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Most records and bytes of one Arrow batch handed to a Python task, so a task's memory does
@@ -37,6 +37,20 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def lowest_ids(rows: DataFrame, by: str, limit: int) -> DataFrame:
+    """(id, ``by``): per value of ``by`` the ``limit`` distinct ids that hash lowest.
+
+    Only ids whose hash lies in the share of the hash range that holds about twice ``limit`` of
+    them reach the ranking, so a value with a third of all rows sends it no more than others.
+    """
+    ids = rows.select("id", by).distinct()
+    held = ids.groupBy(by).agg(F.count("*").alias("held"))
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(float(1 << 53))
+    low = ids.join(held, by).withColumn("place", place).filter(F.col("place") * F.col("held") < 2 * limit + 100)
+    nth = F.row_number().over(Window.partitionBy(by).orderBy("place", "id"))
+    return low.withColumn("nth", nth).filter(F.col("nth") <= limit).select("id", by)
+
+
 def small_batches(spark: SparkSession) -> None:
     """Lower the session's Arrow batch limits to the bounds above (never raise them)."""
     def lower(key: str, most: int) -> None:

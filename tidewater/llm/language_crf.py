@@ -19,10 +19,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import held_out, map_batches, pick
+from tidewater.llm.common import held_out, lowest_ids, map_batches, pick
 
 SEGMENT = 64
 #: Training bound: documents a language, and segments of each document.
@@ -195,9 +195,9 @@ def training_segments(docs: DataFrame, id_col: str, text_col: str, lang_col: str
     fold whose ids hash lowest, TRAIN_SEGMENTS segments spread over each whole text."""
     src = pick(docs, id_col, text_col, lang_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     src = src.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
-    nth = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id"))
-    chosen = src.select("id", "lang").withColumn("nth", nth).filter(F.col("nth") <= TRAIN_DOCS).select("id", "lang").distinct()
-    rows = src.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("id", "text", "lang")  # TRAIN_DOCS ids a language
+    chosen = lowest_ids(src, "lang", TRAIN_DOCS)
+    rows = src.join(F.broadcast(chosen), ["id", "lang"])  # TRAIN_DOCS ids a language
+    rows = rows.groupBy("id", "lang").agg(F.min("text").alias("text")).select("id", "text", "lang")  # one text of a repeated id
 
     def cut(batches):
         for batch in batches:

@@ -14,10 +14,10 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import held_out, map_batches, pick
+from tidewater.llm.common import held_out, lowest_ids, map_batches, pick
 
 FEATURES = 1 << 18
 #: Training bound: labelled documents a class; every fifth of them fits the curve.
@@ -132,10 +132,10 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     known = pick(labels, id_col, label_col).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("label").alias("label"))
-    nth = F.row_number().over(Window.partitionBy("label").orderBy(F.xxhash64("id"), "id"))
-    chosen = known.withColumn("nth", nth).filter(F.col("nth") <= TRAIN_DOCS).drop("nth")
+    chosen = lowest_ids(known, "label", TRAIN_DOCS)
     src = pick(docs, id_col, text_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = src.join(F.broadcast(chosen), "id").select("id", "label", "text")  # TRAIN_DOCS rows a class
+    rows = src.join(F.broadcast(chosen), "id")  # TRAIN_DOCS ids a class
+    rows = rows.groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "label", "text")  # one text of a repeated id
 
     def run(batches):
         for batch in batches:
