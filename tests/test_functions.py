@@ -81,24 +81,39 @@ def test_bucketed_windows_equal_single_window(spark, bits):
         sorted(want.select("order_id", "previous_value").collect())
 
 
-def _check_percentiles(spark, values, accuracy):
-    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+def _check_percentiles(spark, values, bins=4096):
+    df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
     ps = [0.25, 0.5, 0.75, 0.95]
-    got = exact_percentiles(df, "v", ps, ["a", "b", "c", "d"], scale=6, accuracy=accuracy).first()
+    got = exact_percentiles(df, "v", ps, ["a", "b", "c", "d"], scale=6, bins=bins).first()
     want = np.quantile(np.array(values, dtype=float), ps, method="linear")
     assert [round(x, 6) for x in got] == [round(float(x), 6) for x in want]
 
 
 def test_exact_percentiles_match_linear_interpolation(spark):
     rnd = random.Random(3)
-    _check_percentiles(spark, [rnd.randint(0, 500) / 4 for _ in range(2001)], accuracy=1_000_000)
+    _check_percentiles(spark, [rnd.randint(0, 500) / 4 for _ in range(2001)])
 
 
-def test_exact_percentiles_survive_a_coarse_sketch(spark):
-    # accuracy 10 gives brackets that miss the ranks; the fallback must still be exact
+def test_exact_percentiles_with_few_bins_and_an_outlier(spark):
     rnd = random.Random(5)
-    _check_percentiles(spark, [rnd.random() * 1000 for _ in range(997)], accuracy=10)
+    _check_percentiles(spark, [rnd.random() * 1000 - 500 for _ in range(997)] + [1e9], bins=3)
 
 
-def test_exact_percentiles_single_value(spark):
-    _check_percentiles(spark, [42.0], accuracy=1000)
+def test_exact_percentiles_with_most_rows_tied(spark):
+    rnd = random.Random(6)
+    _check_percentiles(spark, [100.0] * 1200 + [rnd.random() * 200 for _ in range(800)])
+
+
+def test_exact_percentiles_single_value_and_none(spark):
+    _check_percentiles(spark, [42.0])
+    none = spark.createDataFrame([(None,)], "v double")
+    assert tuple(exact_percentiles(none, "v", [0.5], ["a"]).first()) == (None,)
+
+
+def test_building_percentiles_starts_no_job(spark):
+    from tidewater.plans import registry
+    spark.sparkContext.setJobGroup("percentiles", "build only")
+    registry.queries()["revenue_percentiles"](spark, "/root/testdata/sf0.001")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("percentiles")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(jobs) == []

@@ -1,80 +1,63 @@
-"""Exact interpolated percentiles (PERCENTILE_CONT) that stay distributed.
-
-Spark's exact ``percentile`` aggregate keeps every distinct value of a
-group in one buffer; over a whole fact table that is one task holding the
-table.  Here the exact answer is found in three passes:
-
-1. ``n`` and approximate quantiles at p +/- 2/accuracy (a mergeable sketch,
-   built partially per task) -- one row of numbers;
-2. exact counts below / up to those bounds, which *check* that the ranks
-   needed (floor and ceil of p * (n - 1)) fall inside the bracket; if a
-   check fails that bracket widens to all values, so the result never
-   depends on the sketch's error bound -- one row of numbers;
-3. only the rows inside the brackets (about 4n/accuracy each) are ranked
-   and the two neighbours interpolated.
-
-Passes 1-2 bring a handful of scalars to the driver (as Spark's own range
-partitioning does with its sample); no data rows are collected.
+"""Exact interpolated percentiles (PERCENTILE_CONT) as one lazy, distributed plan.
+
+Spark's exact ``percentile`` aggregate keeps every distinct value of a group in one buffer;
+over a whole fact table that is one task holding the table.  Here values are first reduced to
+(value, count), so ties are one row however many there are.  The value range is cut into BINS
+equal bins and each bin into BINS again; the cumulated counts of the bins (at most BINS rows)
+show which of them hold the ranks asked for, the same inside those bins, and only the distinct
+values of the fine bins that are left (1 / BINS^2 of the range each) are cumulated one by one.
 """
 
 from __future__ import annotations
 
-from decimal import ROUND_FLOOR, Decimal
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.session import checkpoint_dir
+BINS = 4096
 
 
-def exact_percentiles(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str],
-                      scale: int = 4, accuracy: int = 1_000_000, materialize: bool = True) -> DataFrame:
-    """One row with the interpolated percentiles ``ps`` of ``col`` (DOUBLE,
-    rounded to ``scale`` decimals), named ``names``."""
-    x = F.col("x")
-    vals = df.select(F.col(col).cast("double").alias("x")).filter(x.isNotNull())
-    if materialize:
-        # The three passes read ``vals``; write it once to the shared
-        # checkpoint folder instead of recomputing its lineage three times
-        # (this also makes a lost executor cheap to recover from).
-        checkpoint_dir(vals.sparkSession)
-        vals = vals.checkpoint(eager=True)
-    k = len(ps)
-    eps = 2.0 / accuracy
-    probes = [max(p - eps, 0.0) for p in ps] + [min(p + eps, 1.0) for p in ps]
-    first = vals.agg(F.count(F.lit(1)).alias("n"),
-                     F.percentile_approx("x", probes, accuracy).alias("q")).first()
-    n, q = first["n"], first["q"]
-    if n == 0:
-        return vals.agg(*[F.lit(None).cast("double").alias(nm) for nm in names])
+def _before(order: str, *partition: str) -> Column:
+    """Sum of ``n`` over the rows in front."""
+    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum("n").over(w), F.lit(0))
 
-    pos = [Decimal(n - 1) * Decimal(str(p)) for p in ps]
-    lo_rank = [int(v.to_integral_value(rounding=ROUND_FLOOR)) for v in pos]
-    hi_rank = [r if Decimal(r) == v else r + 1 for r, v in zip(lo_rank, pos)]
-    frac = [float(v - r) for v, r in zip(pos, lo_rank)]
 
-    checks = vals.agg(*[F.count_if(x < q[i]).alias(f"b{i}") for i in range(k)],
-                      *[F.count_if(x <= q[k + i]).alias(f"u{i}") for i in range(k)]).first()
-    parts = []
-    for i in range(k):
-        below, upto = checks[f"b{i}"], checks[f"u{i}"]
-        if below <= lo_rank[i] and hi_rank[i] < upto:
-            part = vals.filter(x.between(q[i], q[k + i])).select(F.lit(i).alias("i"), "x",
-                                                                 F.lit(below).alias("offset"))
-        else:  # sketch bracket missed: rank all values (always correct)
-            part = vals.select(F.lit(i).alias("i"), "x", F.lit(0).alias("offset"))
-        parts.append(part)
-    cand = parts[0]
-    for part in parts[1:]:
-        cand = cand.unionByName(part)
-    ranked = cand.withColumn("r", F.row_number().over(Window.partitionBy("i").orderBy("x")) - 1 + F.col("offset"))
-    needed = F.lit(False)
-    for i in range(k):
-        needed = needed | ((F.col("i") == i) & F.col("r").between(lo_rank[i], hi_rank[i]))
-    aggs = []
-    for i in range(k):
-        v1 = F.max(F.when((F.col("i") == i) & (F.col("r") == lo_rank[i]), x))
-        v2 = F.max(F.when((F.col("i") == i) & (F.col("r") == hi_rank[i]), x))
-        aggs.append(F.round(v1 + F.lit(frac[i]) * (v2 - v1), scale).alias(names[i]))
-    return ranked.filter(needed).agg(*aggs)
+def exact_percentiles(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str],
+                      scale: int = 4, bins: int = BINS) -> DataFrame:
+    """One row with the interpolated percentiles ``ps`` of ``col`` (DOUBLE,
+    rounded to ``scale`` decimals), named ``names``; NULL values are left out,
+    and without any value all percentiles are NULL."""
+    vals = (df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+            .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
+    span = vals.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
+    place = F.when(span["hi"] > span["lo"], (F.col("x") - span["lo"]) / (span["hi"] - span["lo"]) * bins).otherwise(F.lit(0.0))
+    binned = (vals.withColumn("place", place)
+              .withColumn("b", F.least(F.floor("place"), F.lit(bins - 1)))
+              .withColumn("b2", F.least(F.floor((F.col("place") - F.col("b")) * bins), F.lit(bins - 1))).drop("place"))
+
+    pos = [(F.sum("n") - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(9,8)") for p in ps]
+    ranks = vals.agg(F.array(*[F.floor(q).cast("bigint") for q in pos], *[F.ceil(q).cast("bigint") for q in pos])).scalar()
+    fracs = vals.agg(F.array(*[(q - F.floor(q)).cast("double") for q in pos])).scalar()
+
+    def holding(rows: DataFrame) -> DataFrame:
+        """The rows that hold a wanted rank (at most two a percentile)."""
+        return (rows.withColumn("ranks", ranks)
+                .filter(F.exists("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))))
+
+    coarse = binned.groupBy("b").agg(F.sum("n").alias("n")).withColumn("before", _before("b"))
+    coarse = holding(coarse).select("b", F.col("before").alias("base"))
+    fine = (binned.join(F.broadcast(coarse), "b").groupBy("b", "b2").agg(F.sum("n").alias("n"), F.min("base").alias("base"))
+            .withColumn("before", F.col("base") + _before("b2", "b")))
+    fine = holding(fine).select("b", "b2", F.col("before").alias("base"))
+    last = binned.join(F.broadcast(fine), ["b", "b2"]).withColumn("before", F.col("base") + _before("x", "b", "b2"))
+    last = holding(last).withColumn("fracs", fracs)
+
+    k, out = len(ps), []
+    for i, name in enumerate(names):
+        def value(at: int) -> Column:
+            r = F.col("ranks")[at]
+            return F.max(F.when((r >= F.col("before")) & (r < F.col("before") + F.col("n")), F.col("x")))
+        out.append(F.round(value(i) + F.max(F.col("fracs")[i]) * (value(k + i) - value(i)), scale).alias(name))
+    return last.agg(*out)

@@ -1,15 +1,11 @@
 """Spark session settings shared by tests, the bench and the driver entry.
 
 On a cluster the session already exists and carries the operator's
-settings; ``configure`` only fills in what is missing.  In particular the
-checkpoint folder is taken from ``spark.checkpoint.dir`` when the cluster
-names one, and a scratch folder is set only where it is unset (tests).
+settings; ``configure`` only fills in what is missing.
 """
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings every query in the library relies on.  Timestamps in the test
@@ -49,17 +45,4 @@ def configure(spark: SparkSession) -> SparkSession:
     for key, value in SQL_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
-    checkpoint_dir(spark)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder: the cluster's setting, else a local scratch folder."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current is None:
-        current = sc.getConf().get("spark.checkpoint.dir", None)
-        if current is None:  # not on a cluster that names one: local scratch (tests)
-            current = tempfile.mkdtemp(prefix="tidewater-ckpt-")
-        sc.setCheckpointDir(current)
-    return current
