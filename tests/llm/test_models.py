@@ -77,3 +77,16 @@ def test_quality_traps(spark, trap_docs):
     assert out.count() == trap_docs.count()
     assert quality_nbsvm.quality(trap_docs, labels.limit(0)).count() == trap_docs.count()
     assert quality_nbsvm.quality(trap_docs.limit(0), labels).count() == 0
+
+
+def test_training_ids_are_the_lowest_hashes_once_each(spark):
+    from pyspark.sql import functions as F
+
+    from tidewater.llm.common import lowest_ids
+    rows = spark.range(6000).select("id", F.when(F.col("id") % 3 == 0, "a").otherwise("b").alias("by"))
+    many = rows.union(rows.filter("id = 9").crossJoin(spark.range(2000).select()))  # an id held by a quarter of the rows
+    got = {(r.by, r.id) for r in lowest_ids(many, "by", 50).collect()}
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11)
+    ranked = sorted((r.by, r.place, r.id) for r in rows.withColumn("place", place).collect())
+    want = {(b, i) for name in "ab" for b, _, i in [r for r in ranked if r[0] == name][:50]}
+    assert got == want and lowest_ids(many.limit(0), "by", 50).count() == 0
