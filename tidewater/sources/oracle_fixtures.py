@@ -218,10 +218,9 @@ SELECT p.p_partkey AS id, p.p_name AS name, {_case("p.p_size % 4", SIZES)} AS si
   t.type_id * 100 + CAST(regexp_extract(p.p_brand, '[0-9]+') AS INTEGER) AS category_id
 FROM part p JOIN part_types t ON p.p_type = t.type_name"""),
     "clothing_order": ((), """
-SELECT l.l_orderkey AS id, o.o_custkey AS customer_id, l.l_partkey AS clothing_id,
+SELECT l.l_orderkey AS id, o.o_custkey - o.o_custkey % 3 AS customer_id, l.l_partkey AS clothing_id,
   CAST(l.l_quantity AS INTEGER) AS items, CAST(o.o_orderdate AS DATE) AS order_date
-FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
-WHERE o.o_orderpriority = '1-URGENT'"""),
+FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey"""),
 
     # ------------------------------------------------------------------ S2
     "club_runner": ((), f"""
