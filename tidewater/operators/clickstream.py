@@ -8,8 +8,8 @@ Event types: 1 page view, 2 add to cart, 3 purchase, 4 ad impression,
 Plan shape of the funnel: events are reduced to one row per visit and
 product (map-side partial aggregate, so a very busy visit shrinks before
 the shuffle), purchase visits to one row per visit, and the two meet in
-one equi-join on visit_id.  The page and campaign tables are small fixed
-dimensions and are broadcast.
+one equi-join on visit_id.  How page and campaign tables are joined is left
+to the planner.
 """
 
 from __future__ import annotations
@@ -45,14 +45,14 @@ def visits_by_month(users: DataFrame, events: DataFrame) -> DataFrame:
 
 def events_by_type(events: DataFrame, event_identifier: DataFrame) -> DataFrame:
     counts = events.groupBy("event_type").agg(F.count("event_type").alias("event_count"))
-    return counts.join(F.broadcast(event_identifier), "event_type") \
+    return counts.join(event_identifier, "event_type") \
         .select("event_type", "event_name", "event_count")
 
 
 def purchase_visit_pct(events: DataFrame) -> DataFrame:
     """Share of visits with at least one purchase (distinct visits, not events)."""
-    return events.agg(pct(F.count_distinct(F.when(_is(PURCHASE), F.col("visit_id"))),
-                          F.count_distinct("visit_id"), 2).alias("purchased_percentage"))
+    visits = _visit_flags(events.filter(F.col("visit_id").isNotNull()))
+    return visits.agg(pct(F.sum("purchase"), F.count("visit_id"), 2).alias("purchased_percentage"))
 
 
 def _visit_flags(events: DataFrame) -> DataFrame:
@@ -71,22 +71,21 @@ def checkout_no_purchase_pct(events: DataFrame) -> DataFrame:
 
 def top_pages_by_views(events: DataFrame, page_hierarchy: DataFrame, k: int = 3) -> DataFrame:
     views = (events.filter(_is(VIEW)).groupBy("page_id").agg(F.count(F.lit(1)).alias("views_count"))
-             .join(F.broadcast(page_hierarchy), "page_id"))
+             .join(page_hierarchy, "page_id"))
     return top_k(views, k, [F.desc("views_count"), F.asc("page_id")]).select("page_name", "views_count")
 
 
 def views_and_carts_by_category(events: DataFrame, page_hierarchy: DataFrame) -> DataFrame:
     per_page = events.groupBy("page_id").agg(F.count_if(_is(VIEW)).alias("v"), F.count_if(_is(CART_ADD)).alias("c"))
-    joined = per_page.join(F.broadcast(page_hierarchy), "page_id").filter(F.col("product_category").isNotNull())
+    joined = per_page.join(page_hierarchy, "page_id").filter(F.col("product_category").isNotNull())
     return joined.groupBy("product_category").agg(F.sum("v").alias("views_count"),
                                                    F.sum("c").alias("add_to_cart_count"))
 
 
 def visit_product_events(events: DataFrame, page_hierarchy: DataFrame) -> DataFrame:
     """One row per visit and product with views, cart adds and the visit's purchase flag."""
-    products = F.broadcast(page_hierarchy.filter(F.col("product_id").isNotNull())
-                           .select("page_id", "product_id", F.col("page_name").alias("product_name"),
-                                   "product_category"))
+    products = (page_hierarchy.filter(F.col("product_id").isNotNull())
+                .select("page_id", "product_id", F.col("page_name").alias("product_name"), "product_category"))
     # One scan: counts per (visit, page), including the purchase events of
     # the visit, reduced map-side.  The visit's purchase flag is then a
     # window over that visit's page rows (at most one per page, so bounded
@@ -164,12 +163,14 @@ def visit_campaign_summary(users: DataFrame, events: DataFrame, page_hierarchy:
     start, and the products added to the cart in the order they were added.
 
     Where campaigns overlap, the visit goes to the one that started last.
+    Events are reduced to one row per visit and cookie before users are
+    joined; a campaign has one row per day it runs, so visits meet the
+    campaigns of their day by equality.
     """
-    pages = F.broadcast(page_hierarchy.select("page_id", "page_name", "product_id"))
-    ev = events.join(users, "cookie_id").join(pages, "page_id", "left")
+    pages = page_hierarchy.select("page_id", "page_name", "product_id")
     cart_item = F.when(_is(CART_ADD) & F.col("product_id").isNotNull(),
                        F.struct(F.col("sequence_number").alias("seq"), F.col("page_name").alias("name")))
-    visits = ev.groupBy("user_id", "visit_id").agg(
+    per_cookie = events.join(pages, "page_id", "left").groupBy("cookie_id", "visit_id").agg(
         F.min("event_time").alias("visit_start_time"),
         F.count_if(_is(VIEW)).alias("page_views"),
         F.count_if(_is(CART_ADD)).alias("cart_adds"),
@@ -177,12 +178,19 @@ def visit_campaign_summary(users: DataFrame, events: DataFrame, page_hierarchy:
         F.count_if(_is(IMPRESSION)).alias("impression"),
         F.count_if(_is(AD_CLICK)).alias("click"),
         F.collect_list(cart_item).alias("cart_items"))
-    camps = F.broadcast(campaign_identifier.select("campaign_id", "campaign_name",
-                                                   F.col("start_date").alias("c_start"),
-                                                   F.col("end_date").alias("c_end")))
-    matched = visits.join(camps, F.col("visit_start_time").between(F.col("c_start"), F.col("c_end")), "left")
-    # The broadcast range join keeps the (user_id, visit_id) partitioning of
-    # ``visits``, so picking one campaign per visit needs no new shuffle.
+    visits = per_cookie.join(users, "cookie_id").groupBy("user_id", "visit_id").agg(
+        F.min("visit_start_time").alias("visit_start_time"),
+        *[F.sum(c).alias(c) for c in ("page_views", "cart_adds")],
+        F.max("purchase").alias("purchase"),
+        *[F.sum(c).alias(c) for c in ("impression", "click")],
+        F.flatten(F.collect_list("cart_items")).alias("cart_items"))
+    visits = visits.withColumn("visit_day", F.to_date("visit_start_time"))
+    first, last = F.to_date("start_date"), F.to_date("end_date")
+    camps = (campaign_identifier.filter(F.col("start_date") <= F.col("end_date"))
+             .select("campaign_id", "campaign_name", F.col("start_date").alias("c_start"), F.col("end_date").alias("c_end"),
+                     F.explode(F.sequence(first, last)).alias("visit_day")))
+    runs = F.col("visit_start_time").between(F.col("c_start"), F.col("c_end"))
+    matched = visits.join(camps, (visits["visit_day"] == camps["visit_day"]) & runs, "left")
     same = ["visit_start_time", "page_views", "cart_adds", "purchase", "impression", "click", "cart_items"]
     picked = matched.groupBy("user_id", "visit_id").agg(
         *[F.any_value(c).alias(c) for c in same],
