@@ -215,6 +215,8 @@ def monthly_report(sales: DataFrame, product_details: DataFrame, month: str) ->
         "revenue_share_by_category": revenue_share_by_category(in_month, product_details),
         "product_penetration": product_penetration(in_month, product_details),
         "top_product_triple": top_product_triple(in_month, product_details),
+        "avg_unique_products_per_txn": avg_unique_products_per_txn(in_month),
+        "revenue_percentiles": revenue_percentiles(in_month),
     }
 
 

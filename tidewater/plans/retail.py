@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
+
 from tidewater.operators import retail as op
-from tidewater.plans.registry import query
+from tidewater.plans.registry import REGISTRY, query
 from tidewater.plans.sqlfrag import rdiv, rpct
 
 T = ("retail_sales", "product_details")
@@ -207,3 +209,25 @@ FROM style JOIN seg ON style.segment_id = seg.segment_id JOIN cat ON seg.categor
 JOIN product_prices pp ON style.style_id = pp.product_id""")
 def product_details_from_hierarchy(fx):
     return op.product_details_from_hierarchy(fx.product_hierarchy, fx.product_prices)
+
+
+# ----------------------------------------------------------------------------- the other tables of the monthly report
+_MONTH_SALES = (f"(SELECT * FROM retail_sales WHERE start_txn_time >= DATE '{REPORT_MONTH}-01' "
+                f"AND start_txn_time < DATE '{REPORT_MONTH}-01' + INTERVAL 1 MONTH)")
+REPORT_TABLES = ("qty_by_product", "revenue_by_product", "discount_by_product", "member_txn_split", "member_avg_revenue",
+                 "top_products_by_revenue", "segment_totals", "category_totals", "top_product_per_segment",
+                 "top_product_per_category", "revenue_share_product_in_segment", "revenue_share_segment_in_category",
+                 "revenue_share_by_category", "product_penetration", "top_product_triple",
+                 "avg_unique_products_per_txn", "revenue_percentiles")
+
+
+def _report_table(name: str) -> None:
+    sql = re.sub(r"\bretail_sales\b", _MONTH_SALES, REGISTRY[name].sql)
+
+    @query(f"monthly_{name}", T, sql)
+    def table(fx):
+        return op.monthly_report(fx.retail_sales, fx.product_details, REPORT_MONTH)[name]
+
+
+for _name in REPORT_TABLES:
+    _report_table(_name)
