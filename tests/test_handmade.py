@@ -259,3 +259,41 @@ def test_revenue_and_discount_definitions(spark):
     r = retail.segment_totals(sales, details).first()
     # revenue = sum(price * qty) = 31.50; discount = 21.00 * 10% + 10.50 * 5% = 2.625 -> 2.63
     assert (r["total_quantity"], r["total_revenue"], r["total_discount"]) == (3, 31.5, 2.63)
+
+
+def test_missing_weeks_are_those_without_sales(spark):
+    clean = spark.createDataFrame([(1,), (3,), (3,), (5,), (None,)], "week_number int")
+    assert rows(weekly_sales.missing_weeks(clean, weeks_in_year=5), "week_number") == [(2,), (4,)]
+
+
+def test_business_areas_worst_first(spark):
+    clean = spark.createDataFrame(
+        [(D(2020, 6, 8), "A", 100), (D(2020, 6, 15), "A", 50), (D(2020, 6, 8), "B", 100), (D(2020, 6, 15), "B", 120),
+         (D(2020, 6, 15), "C", 10)], "week_date date, region string, sales bigint")
+    got = weekly_sales.business_area_impact(clean, "2020-06-15", 12, areas=("region",)).collect()
+    assert [(r.area_value, r.variance_percentage) for r in got] == [("A", -50.0), ("B", 20.0), ("C", None)]
+
+
+def test_width_bucket_histogram(spark):
+    days = [0, 30, 31, 364, 365]
+    subs = spark.createDataFrame(
+        [(i, p, D(2020, 1, 1) + dt.timedelta(days=d if p == 3 else 0)) for i, d in enumerate(days) for p in (0, 3)],
+        "customer_id int, plan_id int, start_date date")
+    got = [tuple(r) for r in subscriptions.days_to_annual_histogram(subs, method="width_bucket").collect()]
+    assert got == [("0 - 30 days", 2), ("30 - 60 days", 1), ("330 - 360 days", 1), ("360 - 390 days", 1)]
+
+
+def test_visit_summary_counts_a_visit_over_several_cookies_and_long_campaigns(spark):
+    users = spark.createDataFrame([(1, "a"), (1, "b")], "user_id int, cookie_id string")
+    events = spark.createDataFrame(
+        [("v", "a", 1, 1, 1, TS(2020, 2, 1, 0, 0)), ("v", "b", 2, 2, 2, TS(2020, 2, 1, 0, 1)),
+         ("v", "a", 2, 2, 3, TS(2020, 2, 1, 0, 2)), ("w", "a", 1, 1, 1, TS(2020, 3, 2, 0, 0)),
+         ("x", "none", 1, 1, 1, TS(2020, 3, 2, 0, 0))],
+        "visit_id string, cookie_id string, page_id int, event_type int, sequence_number int, event_time timestamp_ntz")
+    pages = spark.createDataFrame([(1, "Home", None), (2, "Tea", 7)], "page_id int, page_name string, product_id int")
+    camps = spark.createDataFrame(
+        [(1, "Long", TS(2020, 1, 1), TS(2020, 3, 1)), (2, "Backwards", TS(2020, 3, 3), TS(2020, 3, 1)), (3, "Open", None, TS(2020, 4, 1))],
+        "campaign_id int, campaign_name string, start_date timestamp_ntz, end_date timestamp_ntz")
+    got = clickstream.visit_campaign_summary(users, events, pages, camps)
+    assert rows(got, "visit_id", "page_views", "cart_adds", "campaign_name", "cart_products") == [
+        ("v", 1, 2, "Long", "Tea, Tea"), ("w", 1, 0, None, None)]

@@ -25,13 +25,13 @@ def unique_nodes(customer_nodes: DataFrame) -> DataFrame:
 
 
 def nodes_per_region(customer_nodes: DataFrame, regions: DataFrame) -> DataFrame:
-    return (customer_nodes.join(F.broadcast(regions), "region_id")
+    return (customer_nodes.join(regions, "region_id")
             .groupBy("region_id", "region_name").agg(F.count_distinct("node_id").alias("node_counts")))
 
 
 def customers_per_region(customer_nodes: DataFrame, regions: DataFrame) -> DataFrame:
     """Distinct customers per region (the reference counts allocation rows)."""
-    return (customer_nodes.join(F.broadcast(regions), "region_id")
+    return (customer_nodes.join(regions, "region_id")
             .groupBy("region_id", "region_name").agg(F.count_distinct("customer_id").alias("customer_counts")))
 
 

@@ -192,7 +192,7 @@ def avg_distance_per_customer(clean_orders: DataFrame, clean_runner: DataFrame)
     per_order = (_delivered_items(clean_orders, clean_runner)
                  .select("customer_id", "order_id", "distance").distinct())
     return per_order.groupBy("customer_id").agg(
-        avg_round(F.col("distance").cast("decimal(12,1)")).alias("avg_distance"))
+        avg_round(F.col("distance").cast("decimal(14,3)")).alias("avg_distance"))
 
 
 def delivery_time_spread(clean_runner: DataFrame) -> DataFrame:
@@ -205,7 +205,7 @@ def delivery_speed(clean_orders: DataFrame, clean_runner: DataFrame) -> DataFram
     per_order = (_delivered_items(clean_orders, clean_runner)
                  .groupBy("runner_id", "customer_id", "order_id", "distance", "duration")
                  .agg(F.count("order_id").alias("pizza_count")))
-    km = F.col("distance").cast("decimal(12,1)")
+    km = F.col("distance").cast("decimal(14,3)")
     return per_order.select(
         "runner_id", "customer_id", "order_id", "pizza_count", "distance", "duration",
         ratio(F.col("duration"), F.lit(60)).alias("duration_hr"),
@@ -373,7 +373,7 @@ def delivery_fact_with_rating(clean_orders: DataFrame, clean_runner: DataFrame,
         "customer_id", "order_id", "runner_id", "rating", "order_time", "pickup_time",
         ratio(_seconds_between("order_time", "pickup_time"), F.lit(60)).alias("minutes_to_pickup"),
         "duration",
-        ratio(F.col("distance").cast("decimal(12,1)") * 60, F.col("duration")).alias("avg_speed"),
+        ratio(F.col("distance").cast("decimal(14,3)") * 60, F.col("duration")).alias("avg_speed"),
         "total_pizzas")
 
 
@@ -383,7 +383,7 @@ def profit_after_runner_pay(clean_orders: DataFrame, clean_runner: DataFrame, pi
     items = _delivered_items(clean_orders, clean_runner).join(pizza_names, "pizza_id")
     revenue = items.agg(_priced_total(_pizza_price(prices)).cast("decimal(38,2)").alias("revenue"))
     pay = (delivered(clean_runner)
-           .agg(F.sum(F.col("distance").cast("decimal(12,1)") * F.lit(pay_per_km).cast("decimal(4,2)"))
+           .agg(F.sum(F.col("distance").cast("decimal(14,3)") * F.lit(pay_per_km).cast("decimal(4,2)"))
                 .alias("runner_pay")))
     pay_total = pay.scalar()
     return revenue.select(rounded("revenue").alias("revenue"), rounded(pay_total).alias("runner_pay"),

@@ -26,7 +26,7 @@ def items_in_favourite_colour(clothing_order: DataFrame, customer: DataFrame, cl
     """Items bought in the buyer's favourite colour -> clothes, color, last_name, first_name."""
     items = clothing.select(F.col("id").alias("clothing_id"), F.col("name").alias("clothes"), "color_id")
     buyers = customer.select(F.col("id").alias("customer_id"), "last_name", "first_name", "favorite_color_id")
-    colours = F.broadcast(colour.select(F.col("id").alias("color_id"), F.col("name").alias("color")))
+    colours = colour.select(F.col("id").alias("color_id"), F.col("name").alias("color"))
     return (clothing_order.select("customer_id", "clothing_id")
             .join(items, "clothing_id").join(buyers, "customer_id")
             .filter(F.col("color_id") == F.col("favorite_color_id"))
@@ -37,8 +37,7 @@ def items_in_favourite_colour(clothing_order: DataFrame, customer: DataFrame, cl
 def non_buying_customers(customer: DataFrame, clothing_order: DataFrame, colour: DataFrame) -> DataFrame:
     """Customers without any order, with their favourite colour."""
     buyers = clothing_order.select(F.col("customer_id").alias("id"))
-    colours = F.broadcast(colour.select(F.col("id").alias("favorite_color_id"),
-                                        F.col("name").alias("favorite_color")))
+    colours = colour.select(F.col("id").alias("favorite_color_id"), F.col("name").alias("favorite_color"))
     return (customer.join(buyers, "id", "left_anti").join(colours, "favorite_color_id", "left")
             .select("last_name", "first_name", "favorite_color"))
 

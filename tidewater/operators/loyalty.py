@@ -1,7 +1,7 @@
 """Restaurant loyalty questions over sales(customer_id, order_date, product_id),
 menu(product_id, product_name, price) and members(customer_id, join_date).
 
-The menu is a small lookup (broadcast); sales is the fact table and is only
+The menu is a lookup whose join the planner picks; sales is the fact table and is
 shuffled by customer for the per-customer aggregates and ranks.
 """
 
@@ -14,7 +14,7 @@ from tidewater.functions.common import top_k, top_per_group
 
 
 def _priced(sales: DataFrame, menu: DataFrame) -> DataFrame:
-    return sales.join(F.broadcast(menu), "product_id")
+    return sales.join(menu, "product_id")
 
 
 def customer_spend(sales: DataFrame, menu: DataFrame) -> DataFrame:

@@ -23,7 +23,7 @@ def _journey_window() -> Window:
 
 
 def _named(subscriptions: DataFrame, plans: DataFrame) -> DataFrame:
-    return subscriptions.join(F.broadcast(plans.select("plan_id", "plan_name")), "plan_id")
+    return subscriptions.join(plans.select("plan_id", "plan_name"), "plan_id")
 
 
 def _customers(subscriptions: DataFrame) -> Column:
@@ -119,7 +119,7 @@ def avg_days_to_annual(subscriptions: DataFrame) -> DataFrame:
 
 def days_to_annual_histogram(subscriptions: DataFrame, width: int = 30,
                              method: str = "bins") -> DataFrame:
-    """Customers per ``width``-day period to upgrade: '0 - 30 days', '31 - 60 days', ...
+    """Customers per ``width``-day period to upgrade, shortest first: '0 - 30 days', '31 - 60 days', ...
 
     ``method='width_bucket'`` reproduces the reference's 12 buckets over
     365 days (labels then are approximate, see SURVEY D14).
@@ -135,7 +135,7 @@ def days_to_annual_histogram(subscriptions: DataFrame, width: int = 30,
         label = F.concat(lo.cast("string"), F.lit(" - "), (b * width).cast("string"), F.lit(" days"))
     return (days.groupBy(b.alias("bin"), label.alias("bucket"))
             .agg(F.count(F.lit(1)).alias("num_of_customers"))
-            .select("bucket", "num_of_customers"))
+            .orderBy("bin").select("bucket", "num_of_customers"))
 
 
 def downgrades(subscriptions: DataFrame, year: int) -> DataFrame:

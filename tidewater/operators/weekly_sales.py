@@ -151,5 +151,6 @@ def business_area_impact(clean: DataFrame, pivot: str, weeks: int = 12,
     for a in areas[1:]:
         area = area.when(F.col(f"g_{a}") == 0, F.lit(a))
         value = value.when(F.col(f"g_{a}") == 0, F.col(a))
-    return agg.select(area.alias("area"), value.alias("area_value"), "before_sales", "after_sales",
-                      *_variance(F.col("before_sales"), F.col("after_sales")))
+    impact = agg.select(area.alias("area"), value.alias("area_value"), "before_sales", "after_sales",
+                        *_variance(F.col("before_sales"), F.col("after_sales")))
+    return impact.orderBy(F.asc_nulls_last("variance_percentage"), "area", "area_value")
