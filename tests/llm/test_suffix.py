@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from tests.conftest import SMALL
@@ -86,3 +87,34 @@ def test_merge_never_compares_known_prefixes(monkeypatch):
     monkeypatch.setattr(suffix_dedup, "common_prefix", counting)
     assert len(list(suffix_dedup.merge_runs([suffix_dedup.front_decode(r) for r in runs]))) == 64
     assert looked[0] < 90 * 8 + 64 * 8  # a plain merge would look at 64 * 3 * 90
+
+
+@pytest.mark.parametrize("hot", [3, 40])
+def test_line_that_most_documents_hold(docs_of, monkeypatch, hot):
+    """Grams above the bound reach no group, and the result stays exact, also across batches."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    real = suffix_dedup.repeated_spans
+
+    def bounded(group, length):
+        assert len(group) <= hot
+        return real(group, length)
+
+    monkeypatch.setattr(suffix_dedup, "repeated_spans", bounded)
+    rng = random.Random(8)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line, few = prose(260), prose(150)
+    rows = [(i, prose(rng.randrange(90)) + line + prose(rng.randrange(90))) for i in range(300)]
+    rows += [(300 + i, prose(50) + few + prose(rng.randrange(30))) for i in range(3)]
+    rows += [(400, " ".join(line + str(i) for i in range(50))), (401, "x" * 900), (402, None), (403, line[5:])]
+    rng.shuffle(rows)
+    assert digests(suffix_dedup.suffix_dedup(docs_of(rows).repartition(7))) == brute(rows)
+
+
+def test_window_hashes_follow_the_bytes(monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", 64)
+    monkeypatch.setattr(suffix_dedup, "_powers", [])
+    buf = np.frombuffer(random.Random(2).randbytes(150) * 4, dtype=np.uint8)
+    p = np.arange(len(buf) - 99)
+    keys = list(zip(*(h.tolist() for h in suffix_dedup.window_hashes(buf, p, 100))))
+    windows = [buf[i:i + 100].tobytes() for i in p]
+    assert len(set(keys)) == len(set(windows)) == len(set(zip(keys, windows)))

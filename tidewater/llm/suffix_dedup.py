@@ -15,6 +15,9 @@ of a corpus would move a hundred times its size, so suffixes are sorted where it
    looking at bytes, and equal ones are compared from there on.
 4. Suffixes whose common prefix reaches the gram form a group; in it, equal windows are found
    from the common prefixes to the right and the bytes to the left, and all but the earliest go.
+5. A gram with more than HOT occurrences takes no part in 2 to 4: the hashes (128 bits) of its
+   windows are reduced to the earliest per batch, the others go at once, and what is left is sorted
+   by hash, where again all but the earliest go, one row after the other, so no group is held.
 
 Copies of a whole text need none of this: they are removed by their digest.
 """
@@ -35,11 +38,16 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import map_batches, parallelism, pick, written
 
 LENGTH, GRAM = 100, 32
+LONGEST = 127 + GRAM
 #: Bytes of text worked on at once, and documents and places that the splitters are taken from
 #: (they balance the ranges; the result does not depend on them).
 CHUNK_BYTES, SPLIT_DOCS, SPLIT_PLACES = 1 << 20, 512, 32
 #: Groups up to this size are compared by pairs.
 FEW = 5
+#: Grams that occur more often are settled by the hashes of their windows.
+HOT = 8192
+#: Windows of such grams that a task reduces at once.
+WINDOWS = 1 << 20
 _NULL_ID = (1 << 63) - 1
 
 
@@ -104,7 +112,7 @@ def _texts(column) -> list[bytes]:
 
 def repeated_grams(docs: DataFrame, length: int) -> DataFrame:
     """(t, h): anchor gram hashes that occur at two places at least, for each text digest that
-    holds them.  ``docs`` has (t, raw)."""
+    holds them, and a row with a null t for each that occurs at more than HOT.  ``docs`` has (t, raw)."""
     parts = parallelism(docs.sparkSession)
 
     def gather(batches):
@@ -122,21 +130,21 @@ def repeated_grams(docs: DataFrame, length: int) -> DataFrame:
             new = np.r_[True, h[1:] != h[:-1]]
             group = np.cumsum(new) - 1
             # settled here: a gram at two places of a text or in two texts
-            again = np.bincount(group) > 1
+            times = np.bincount(group)
             same_text = np.r_[False, (h[1:] == h[:-1]) & (d[1:] == d[:-1])]
-            known = again[group] & ~same_text
+            known = (times > 1)[group] & ~same_text
             own = (TaskContext.get().partitionId() * 31 + nth) % parts
             rows = [(own, h[known].tobytes(), d[known].tobytes(), b"")] if known.any() else []
-            one_h, one_d, one_again = h[new], d[new], again
+            one_h, one_d, one_times = h[new], d[new], times.astype(np.int64)
             to = (one_h % np.uint64(parts)).astype(np.int64)
             order = np.argsort(to, kind="stable")
             cuts = np.searchsorted(to[order], np.arange(parts + 1))
             for r in range(parts):
                 pickd = order[cuts[r]:cuts[r + 1]]
                 if len(pickd):
-                    rows.append((r, one_h[pickd].tobytes(), one_d[pickd].tobytes(), one_again[pickd].tobytes()))
+                    rows.append((r, one_h[pickd].tobytes(), one_d[pickd].tobytes(), one_times[pickd].tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in rows], pa.int32()), *(
-                pa.array([x[i] for x in rows], pa.binary()) for i in (1, 2, 3))], names=["part", "h", "t", "known"])
+                pa.array([x[i] for x in rows], pa.binary()) for i in (1, 2, 3))], names=["part", "h", "t", "times"])
 
     def meet(batches):
         hs, ts, ks = [], [], []
@@ -144,21 +152,25 @@ def repeated_grams(docs: DataFrame, length: int) -> DataFrame:
             for h, t, k in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 h, t = np.frombuffer(h, np.uint64), np.frombuffer(t, np.int64)
                 if k:
-                    hs.append(h), ts.append(t), ks.append(np.frombuffer(k, bool))
+                    hs.append(h), ts.append(t), ks.append(np.frombuffer(k, np.int64))
                 else:  # settled where it was found
                     yield pa.RecordBatch.from_arrays([pa.array(t), pa.array(h.view(np.int64))], names=["t", "h"])
         if hs:
             h, t, k = map(np.concatenate, (hs, ts, ks))
-            _, group = np.unique(h, return_inverse=True)
+            names, group = np.unique(h, return_inverse=True)
             lo, hi = np.full(group.max() + 1, np.iinfo(np.int64).max), np.full(group.max() + 1, np.iinfo(np.int64).min)
             np.minimum.at(lo, group, t)
             np.maximum.at(hi, group, t)
-            known = np.bincount(group, weights=k) > 0
-            out = ((lo != hi) | known)[group] & ~k
+            known = np.bincount(group, weights=k > 1) > 0
+            out = ((lo != hi) | known)[group] & (k == 1)
             # a text whose gram is settled in another batch only
             yield pa.RecordBatch.from_arrays([pa.array(t[out]), pa.array(h[out].view(np.int64))], names=["t", "h"])
+            total = np.zeros(len(names), np.int64)
+            np.add.at(total, group, k)
+            often = names[total > HOT].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(often), pa.int64()), pa.array(often)], names=["t", "h"])
 
-    sent = map_batches(docs.select("t", "raw"), gather, "part int, h binary, t binary, known binary")
+    sent = map_batches(docs.select("t", "raw"), gather, "part int, h binary, t binary, times binary")
     return map_batches(sent.repartition(parts, "part"), meet, "t bigint, h bigint")
 
 
@@ -301,6 +313,101 @@ def repeated_spans(group: list[tuple], length: int) -> Iterator[tuple[int, int,
             yield int(ids[e]), int(places[e] - hi), int(places[e] - lo + length)
 
 
+# --- grams that occur very often ---------------------------------------------------------------------
+
+_BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
+
+
+def window_hashes(buf: np.ndarray, p: np.ndarray, length: int) -> list[np.ndarray]:
+    """Two independent 64-bit hashes of the windows that start at ``p`` (rising): polynomials modulo
+    2^64 in odd bases, as differences of sums over a piece of the buffer, shifted back by inverse
+    powers."""
+    size = CHUNK_BYTES + LONGEST
+    if not _powers:
+        _powers.extend(tuple(np.cumprod(np.r_[np.uint64(1), np.full(size - 1, x, np.uint64)]) for x in (b, pow(b, -1, 1 << 64))) for b in _BASES)
+    out = [np.empty(len(p), np.uint64) for _ in _powers]
+    cuts = np.searchsorted(p, np.arange(0, len(buf) + CHUNK_BYTES, CHUNK_BYTES))
+    for nth, (lo, hi) in enumerate(zip(cuts[:-1], cuts[1:])):
+        if lo == hi:
+            continue
+        values = buf[nth * CHUNK_BYTES:nth * CHUNK_BYTES + size].astype(np.uint64) + np.uint64(1)
+        at = p[lo:hi] - nth * CHUNK_BYTES
+        for h, (up, down) in zip(out, _powers):
+            sums = np.r_[np.uint64(0), np.cumsum(values * up[:len(values)])]
+            h[lo:hi] = (sums[at + length] - sums[at]) * down[at]
+    for h in out:
+        h ^= h >> np.uint64(29)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+    return [h.view(np.int64) for h in out]
+
+
+def hot_spans(docs: DataFrame, length: int) -> DataFrame:
+    """(ord, start, end) of repeated windows whose anchor's gram occurs very often.  ``docs`` has
+    (ord, raw, hot), the hashes of the text's grams of this kind."""
+    names = ["k1", "k2", "ord", "start", "end"]
+
+    def reduce(batches):
+        found, held = [], 0
+        for batch in batches:
+            order, raws = batch.column(0).to_numpy(), _texts(batch.column(1))
+            wanted = np.unique(batch.column(2).flatten().to_numpy()).view(np.uint64)
+            for buf, doc, start, _, first, last, h in anchors(raws, length):
+                at = np.flatnonzero(np.isin(h, wanted))
+                many = (last - first + 1)[at]
+                of = np.repeat(at, many)
+                p = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
+                found.append((*window_hashes(buf, p, length), order[doc[of]], p - start[of]))
+                held += len(p)
+                if held >= WINDOWS:
+                    yield from earliest(found)
+                    found, held = [], 0
+        if held:
+            yield from earliest(found)
+
+    def earliest(found):
+        k1, k2, order, place = map(np.concatenate, zip(*found))
+        by = np.lexsort((place, order, k2, k1))
+        k1, k2, order, place = (x[by] for x in (k1, k2, order, place))
+        new = np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
+        head = np.maximum.accumulate(np.where(new, np.arange(len(k1)), 0))
+        stays = (order == order[head]) & (place == place[head])
+        yield pa.RecordBatch.from_arrays([*(pa.array(x[stays]) for x in (k1, k2, order, place)), pa.nulls(int(stays.sum()), pa.int64())], names=names)
+        if not stays.all():
+            order, place = order[~stays], place[~stays]
+            by = np.lexsort((place, order))
+            order, place = order[by], place[by]
+            first = np.flatnonzero(np.r_[True, (order[1:] != order[:-1]) | (place[1:] > place[:-1] + 1)])
+            last = np.r_[first[1:], len(place)] - 1
+            order, start, end = order[first], place[first], place[last] + length
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (order, start, order, start, end)], names=names)  # dealt by place
+
+    def settle(batches):
+        head = None  # the earliest place of the hash at hand, over the batches
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            done = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
+            k1, k2, order, place = (batch.column(i).to_numpy() for i in range(4))
+            out = [batch.filter(pa.array(done)).select(["ord", "start", "end"])]
+            k1, k2, order, place = (x[~done] for x in (k1, k2, order, place))
+            if len(k1):
+                new = np.r_[head is None or head[:2] != (k1[0], k2[0]), (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
+                at = np.maximum.accumulate(np.where(new, np.arange(len(k1)), -1))
+                # entries before the first new hash belong to the head carried over
+                first_o, first_p = np.where(at < 0, head[2] if head else 0, order[at]), np.where(at < 0, head[3] if head else 0, place[at])
+                gone = (order != first_o) | (place != first_p)
+                head = k1[-1], k2[-1], first_o[-1], first_p[-1]
+                out.append(pa.RecordBatch.from_arrays([pa.array(order[gone]), pa.array(place[gone]), pa.array(place[gone] + length)],
+                                                      names=["ord", "start", "end"]))
+            yield from out
+
+    rows = map_batches(docs.select("ord", "raw", "hot"), reduce, "k1 bigint, k2 bigint, ord bigint, start bigint, end bigint")
+    rows = rows.repartition(parallelism(docs.sparkSession), "k1", "k2").sortWithinPartitions("k1", "k2", "ord", "start")
+    return map_batches(rows, settle, "ord bigint, start bigint, end bigint")
+
+
 # --- the distributed sort ------------------------------------------------------------------------
 
 def _splitters(docs: DataFrame, parts: int) -> list[bytes]:
@@ -317,7 +424,11 @@ def removed_spans(docs: DataFrame, length: int) -> DataFrame:
     spark = docs.sparkSession
     parts = parallelism(spark)
     grams = written(repeated_grams(docs, length), "suffix-grams")
-    lists = grams.groupBy("t").agg(F.collect_set("h").alias("hs"))  # at most a text's own anchors
+    often = written(grams.filter("t is null").select("h", F.lit(True).alias("often")), "suffix-hot")
+    # at most a text's own anchors
+    lists = written(grams.filter("t is not null").join(often, "h", "left").groupBy("t")
+                    .agg(F.collect_set(F.when(F.col("often").isNull(), F.col("h"))).alias("hs"),
+                         F.collect_set(F.when(F.col("often"), F.col("h"))).alias("hot")), "suffix-lists")
     splits = _splitters(docs, parts)
 
     def sort(batches):
@@ -367,9 +478,11 @@ def removed_spans(docs: DataFrame, length: int) -> DataFrame:
     def table(spans):
         return pa.RecordBatch.from_arrays([pa.array([s[i] for s in spans], pa.int64()) for i in range(3)], names=["ord", "start", "end"])
 
-    full = docs.join(lists, "t").select("ord", "raw", "hs")
+    full = docs.join(lists.filter("size(hs) > 0"), "t").select("ord", "raw", "hs")
+    hot = docs.join(lists.filter("size(hot) > 0"), "t").select("ord", "raw", "hot")
     sent = map_batches(full, sort, "part int, run binary, spans binary")
-    return map_batches(sent.repartition(parts, "part"), merge, "ord bigint, start bigint, end bigint")
+    spans = map_batches(sent.repartition(parts, "part"), merge, "ord bigint, start bigint, end bigint")
+    return spans.unionByName(hot_spans(hot, length))
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -380,8 +493,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     with a null id come after all others and, like rows that repeat an id, do not match each
     other at the same place; an empty table gives an empty result; other columns are ignored.
     """
-    if not GRAM < length <= 127 + GRAM:
-        raise ValueError(f"length must lie between {GRAM + 1} and {127 + GRAM}")
+    if not GRAM < length <= LONGEST:
+        raise ValueError(f"length must lie between {GRAM + 1} and {LONGEST}")
     kind = docs.schema[id_col].dataType
     src = pick(docs, id_col, text_col)
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
