@@ -118,3 +118,21 @@ def test_window_hashes_follow_the_bytes(monkeypatch):
     keys = list(zip(*(h.tolist() for h in suffix_dedup.window_hashes(buf, p, 100))))
     windows = [buf[i:i + 100].tobytes() for i in p]
     assert len(set(keys)) == len(set(windows)) == len(set(zip(keys, windows)))
+
+
+@pytest.mark.parametrize("hot", [2, 1 << 15])
+def test_null_and_repeated_ids_with_different_texts(docs_of, monkeypatch, hot):
+    """What one row loses costs no other row of its id; equal places of one id do not match."""
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    rng = random.Random(4)
+    prose = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    whole, line, head = prose(300), prose(120), prose(110)
+    clean, other, own = prose(400), prose(400), prose(400)
+    rows = [(1, whole), (2, "A" + line + prose(90)), (None, whole), (None, clean), (None, other[:50] + line + other[50:]),
+            (7, whole), (7, own), (7, own[:200] + line + "!"), (8, head + "1" + prose(60)), (8, head + "2" + prose(60)), (None, clean), (None, None)]
+    out = suffix_dedup.suffix_dedup(docs_of(rows).repartition(3)).collect()
+    got = sorted((r.doc_id or 0, r.n_bytes, r.n_removed, r.kept_bytes.decode()) for r in out)
+    want = [(i, t or "", t or "") for i, t in rows[:2] + rows[8:10]] + [
+        (None, whole, ""), (None, clean, clean), (None, clean, clean), (None, rows[4][1], other), (None, "", ""),
+        (7, whole, ""), (7, own, own), (7, rows[7][1], own[:200] + "!")]
+    assert got == sorted((i or 0, len(t), len(t) - len(kept), kept) for i, t, kept in want)

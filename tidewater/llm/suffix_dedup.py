@@ -45,10 +45,13 @@ CHUNK_BYTES, SPLIT_DOCS, SPLIT_PLACES = 1 << 20, 512, 32
 #: Groups up to this size are compared by pairs.
 FEW = 5
 #: Grams that occur more often are settled by the hashes of their windows.
-HOT = 8192
+HOT = 1 << 15
 #: Windows of such grams that a task reduces at once.
 WINDOWS = 1 << 20
 _NULL_ID = (1 << 63) - 1
+#: What names a text, as rows with a null or repeated id share their id; and the found spans.
+ROW = ("ord", "t", "t2")
+SPANS = "ord bigint, t bigint, t2 bigint, start bigint, end bigint"
 
 
 # --- anchors -------------------------------------------------------------------------------
@@ -183,27 +186,28 @@ def common_prefix(a: bytes, b: bytes, start: int = 0) -> int:
     return n - (x.bit_length() + 7) // 8
 
 
-def front_code(entries: list[tuple[bytes, bytes, int, int]]) -> bytes:
-    """A sorted run of (suffix, bytes before, id, place): each suffix as the length of the prefix
-    shared with the one before, and the rest."""
+def front_code(entries: list[tuple]) -> bytes:
+    """A sorted run of (suffix, bytes before, id, place, further integers): each suffix as the
+    length of the prefix shared with the one before, and the rest."""
     shared, rest, last = bytearray(), [], b""
-    for s, _, _, _ in entries:
+    for s, *_ in entries:
         k = common_prefix(last, s)
         shared.append(k)
         rest.append(s[k:])
         last = s
     return pickle.dumps((
         bytes(shared), bytes(map(len, rest)), b"".join(rest), bytes(len(e[1]) for e in entries), b"".join(e[1] for e in entries),
-        np.array([e[2] for e in entries], np.int64).tobytes(), np.array([e[3] for e in entries], np.int64).tobytes()))
+        [np.array(c, np.int64).tobytes() for c in zip(*(e[2:] for e in entries))]))
 
 
-def front_decode(blob: bytes) -> Iterator[tuple[int, bytes, bytes, int, int]]:
-    """(common prefix with the suffix before, suffix, bytes before, id, place) in order."""
-    shared, rests, rest, befores, before, ids, places = pickle.loads(blob)
+def front_decode(blob: bytes) -> Iterator[tuple]:
+    """(common prefix with the suffix before, suffix, bytes before, id, place, further integers) in
+    order."""
+    shared, rests, rest, befores, before, numbers = pickle.loads(blob)
     last, r, b = b"", 0, 0
-    for k, n, m, i, p in zip(shared, rests, befores, np.frombuffer(ids, np.int64).tolist(), np.frombuffer(places, np.int64).tolist()):
+    for k, n, m, *at in zip(shared, rests, befores, *(np.frombuffer(c, np.int64).tolist() for c in numbers)):
         last = last[:k] + rest[r:r + n]
-        yield k, last, before[b:b + m], i, p
+        yield k, last, before[b:b + m], *at
         r, b = r + n, b + m
 
 
@@ -260,9 +264,10 @@ def merge_runs(runs: list[Iterator[tuple]]) -> Iterator[tuple]:
 
 # --- equal windows in a group --------------------------------------------------------------------
 
-def repeated_spans(group: list[tuple], length: int) -> Iterator[tuple[int, int, int]]:
-    """(id, start, end) of windows that also start earlier, for suffixes (common prefix with the
-    one before, suffix, bytes before, id, place) in sorted order that share the anchor's gram."""
+def repeated_spans(group: list[tuple], length: int) -> Iterator[tuple[int, ...]]:
+    """(id, two digests, start, end) of windows that also start earlier, for suffixes (common prefix
+    with the one before, suffix, bytes before, id, place, two digests) in sorted order that share
+    the anchor's gram."""
     g = len(group)
     if g < 2:
         return
@@ -278,7 +283,7 @@ def repeated_spans(group: list[tuple], length: int) -> Iterator[tuple[int, int,
                 lo = max(length - right, length - len(a[1]), length - len(b[1]), 0)
                 if lo <= left:
                     late = max(a, b, key=lambda e: (e[3], e[4]))
-                    yield late[3], late[4] - left, late[4] - lo + length
+                    yield late[3], late[5], late[6], late[4] - left, late[4] - lo + length
         return
     reach = length - GRAM + 1  # offsets of the anchor in its windows: 0 .. reach - 1
     before = np.zeros((g, reach), dtype=np.uint64)  # hash of the nearest d bytes before the anchor
@@ -310,7 +315,7 @@ def repeated_spans(group: list[tuple], length: int) -> Iterator[tuple[int, int,
         breaks = np.flatnonzero((np.diff(gone_at) != 1) | (gone_at[1:] % reach == 0)) + 1
         for part in np.split(gone_at, breaks):
             e, lo, hi = part[0] // reach, part[0] % reach, part[-1] % reach
-            yield int(ids[e]), int(places[e] - hi), int(places[e] - lo + length)
+            yield int(ids[e]), *group[e][5:7], int(places[e] - hi), int(places[e] - lo + length)
 
 
 # --- grams that occur very often ---------------------------------------------------------------------
@@ -344,21 +349,21 @@ def window_hashes(buf: np.ndarray, p: np.ndarray, length: int) -> list[np.ndarra
 
 
 def hot_spans(docs: DataFrame, length: int) -> DataFrame:
-    """(ord, start, end) of repeated windows whose anchor's gram occurs very often.  ``docs`` has
-    (ord, raw, hot), the hashes of the text's grams of this kind."""
-    names = ["k1", "k2", "ord", "start", "end"]
+    """(ord, t, t2, start, end) of repeated windows whose anchor's gram occurs very often.  ``docs``
+    has (ord, t, t2, raw, hot), the hashes of the text's grams of this kind."""
+    names = ["k1", "k2", *ROW, "start", "end"]
 
     def reduce(batches):
         found, held = [], 0
         for batch in batches:
-            order, raws = batch.column(0).to_numpy(), _texts(batch.column(1))
-            wanted = np.unique(batch.column(2).flatten().to_numpy()).view(np.uint64)
+            row, raws = [batch.column(i).to_numpy() for i in range(3)], _texts(batch.column(3))
+            wanted = np.unique(batch.column(4).flatten().to_numpy()).view(np.uint64)
             for buf, doc, start, _, first, last, h in anchors(raws, length):
                 at = np.flatnonzero(np.isin(h, wanted))
                 many = (last - first + 1)[at]
                 of = np.repeat(at, many)
                 p = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
-                found.append((*window_hashes(buf, p, length), order[doc[of]], p - start[of]))
+                found.append((*window_hashes(buf, p, length), *(x[doc[of]] for x in row), p - start[of]))
                 held += len(p)
                 if held >= WINDOWS:
                     yield from earliest(found)
@@ -367,31 +372,32 @@ def hot_spans(docs: DataFrame, length: int) -> DataFrame:
             yield from earliest(found)
 
     def earliest(found):
-        k1, k2, order, place = map(np.concatenate, zip(*found))
+        k1, k2, order, t, t2, place = map(np.concatenate, zip(*found))
         by = np.lexsort((place, order, k2, k1))
-        k1, k2, order, place = (x[by] for x in (k1, k2, order, place))
+        k1, k2, order, t, t2, place = (x[by] for x in (k1, k2, order, t, t2, place))
         new = np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
         head = np.maximum.accumulate(np.where(new, np.arange(len(k1)), 0))
         stays = (order == order[head]) & (place == place[head])
-        yield pa.RecordBatch.from_arrays([*(pa.array(x[stays]) for x in (k1, k2, order, place)), pa.nulls(int(stays.sum()), pa.int64())], names=names)
+        yield pa.RecordBatch.from_arrays([*(pa.array(x[stays]) for x in (k1, k2, order, t, t2, place)), pa.nulls(int(stays.sum()), pa.int64())],
+                                         names=names)
         if not stays.all():
-            order, place = order[~stays], place[~stays]
-            by = np.lexsort((place, order))
-            order, place = order[by], place[by]
-            first = np.flatnonzero(np.r_[True, (order[1:] != order[:-1]) | (place[1:] > place[:-1] + 1)])
+            order, t, t2, place = (x[~stays] for x in (order, t, t2, place))
+            by = np.lexsort((place, t2, t, order))
+            order, t, t2, place = (x[by] for x in (order, t, t2, place))
+            other = (order[1:] != order[:-1]) | (t[1:] != t[:-1]) | (t2[1:] != t2[:-1])
+            first = np.flatnonzero(np.r_[True, other | (place[1:] > place[:-1] + 1)])
             last = np.r_[first[1:], len(place)] - 1
-            order, start, end = order[first], place[first], place[last] + length
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (order, start, order, start, end)], names=names)  # dealt by place
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t[first], place[first], order[first], t[first], t2[first], place[first],
+                                                                    place[last] + length)], names=names)  # dealt by text
 
     def settle(batches):
         head = None  # the earliest place of the hash at hand, over the batches
         for batch in batches:
             if not batch.num_rows:
                 continue
-            done = batch.column(4).is_valid().to_numpy(zero_copy_only=False)
-            k1, k2, order, place = (batch.column(i).to_numpy() for i in range(4))
-            out = [batch.filter(pa.array(done)).select(["ord", "start", "end"])]
-            k1, k2, order, place = (x[~done] for x in (k1, k2, order, place))
+            done = batch.column(6).is_valid().to_numpy(zero_copy_only=False)
+            out = [batch.filter(pa.array(done)).select(names[2:])]
+            k1, k2, order, t, t2, place = (batch.column(i).to_numpy()[~done] for i in range(6))
             if len(k1):
                 new = np.r_[head is None or head[:2] != (k1[0], k2[0]), (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
                 at = np.maximum.accumulate(np.where(new, np.arange(len(k1)), -1))
@@ -399,13 +405,12 @@ def hot_spans(docs: DataFrame, length: int) -> DataFrame:
                 first_o, first_p = np.where(at < 0, head[2] if head else 0, order[at]), np.where(at < 0, head[3] if head else 0, place[at])
                 gone = (order != first_o) | (place != first_p)
                 head = k1[-1], k2[-1], first_o[-1], first_p[-1]
-                out.append(pa.RecordBatch.from_arrays([pa.array(order[gone]), pa.array(place[gone]), pa.array(place[gone] + length)],
-                                                      names=["ord", "start", "end"]))
+                out.append(pa.RecordBatch.from_arrays([pa.array(x[gone]) for x in (order, t, t2, place, place + length)], names=names[2:]))
             yield from out
 
-    rows = map_batches(docs.select("ord", "raw", "hot"), reduce, "k1 bigint, k2 bigint, ord bigint, start bigint, end bigint")
+    rows = map_batches(docs.select(*ROW, "raw", "hot"), reduce, f"k1 bigint, k2 bigint, {SPANS}")
     rows = rows.repartition(parallelism(docs.sparkSession), "k1", "k2").sortWithinPartitions("k1", "k2", "ord", "start")
-    return map_batches(rows, settle, "ord bigint, start bigint, end bigint")
+    return map_batches(rows, settle, SPANS)
 
 
 # --- the distributed sort ------------------------------------------------------------------------
@@ -419,8 +424,8 @@ def _splitters(docs: DataFrame, parts: int) -> list[bytes]:
 
 
 def removed_spans(docs: DataFrame, length: int) -> DataFrame:
-    """(ord, start, end): covered byte ranges of repeated windows; they may overlap.  ``docs`` has
-    (ord, t, raw), the first row of every distinct text."""
+    """(ord, t, t2, start, end): covered byte ranges of repeated windows; they may overlap.  ``docs``
+    has (ord, t, t2, raw), the first rows of every distinct text."""
     spark = docs.sparkSession
     parts = parallelism(spark)
     grams = written(repeated_grams(docs, length), "suffix-grams")
@@ -433,22 +438,29 @@ def removed_spans(docs: DataFrame, length: int) -> DataFrame:
 
     def sort(batches):
         for nth, batch in enumerate(batches):
-            order, raws = batch.column(0).to_numpy(), _texts(batch.column(1))
-            wanted = np.unique(batch.column(2).flatten().to_numpy()).view(np.uint64)
-            context: dict[tuple[bytes, bytes], tuple[int, int]] = {}
+            row, raws = list(zip(*(batch.column(i).to_pylist() for i in range(3)))), _texts(batch.column(3))
+            wanted = np.unique(batch.column(4).flatten().to_numpy()).view(np.uint64)
+            context: dict[tuple[bytes, bytes], dict[tuple[int, ...], None]] = {}
             spans = []
             for buf, doc, start, anchor, first, last, h in anchors(raws, length):
                 whole = buf.tobytes()
                 for i in np.flatnonzero(np.isin(h, wanted)).tolist():
                     a, lo, hi = int(anchor[i]), int(first[i]), int(last[i])
-                    here = int(order[doc[i]]), a - int(start[i])
-                    there = context.setdefault((whole[a:hi + length], whole[lo:a]), here)
-                    if there != here:  # the whole context occurs twice in the batch
-                        late = max(there, here)
-                        context[whole[a:hi + length], whole[lo:a]] = min(there, here)
-                        spans.append((late[0], late[1] - (a - lo), late[1] + hi - a + length))
+                    order, t, t2 = row[doc[i]]
+                    here = order, a - int(start[i]), t, t2
+                    held = context.setdefault((whole[a:hi + length], whole[lo:a]), {})
+                    there = next(iter(held), here)
+                    if here[:2] == there[:2]:  # texts of one id may share a place
+                        held[here] = None
+                        continue
+                    late = [here]  # the whole context occurs twice in the batch
+                    if here < there:
+                        late = list(held)
+                        held.clear()
+                        held[here] = None
+                    spans.extend((o, t, t2, p - (a - lo), p + hi - a + length) for o, p, t, t2 in late)
             rows = [((TaskContext.get().partitionId() * 31 + nth) % parts, None, pickle.dumps(spans))] if spans else []
-            run = sorted((s, b, i, p) for (s, b), (i, p) in context.items())
+            run = sorted((s, b, *at) for (s, b), held in context.items() for at in held)
             for part, some in groupby(run, key=lambda e: bisect_right(splits, e[0][:8])):
                 rows.append((part, front_code(list(some)), None))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
@@ -476,12 +488,12 @@ def removed_spans(docs: DataFrame, length: int) -> DataFrame:
             yield table(out)
 
     def table(spans):
-        return pa.RecordBatch.from_arrays([pa.array([s[i] for s in spans], pa.int64()) for i in range(3)], names=["ord", "start", "end"])
+        return pa.RecordBatch.from_arrays([pa.array([s[i] for s in spans], pa.int64()) for i in range(5)], names=[*ROW, "start", "end"])
 
-    full = docs.join(lists.filter("size(hs) > 0"), "t").select("ord", "raw", "hs")
-    hot = docs.join(lists.filter("size(hot) > 0"), "t").select("ord", "raw", "hot")
+    full = docs.join(lists.filter("size(hs) > 0"), "t").select(*ROW, "raw", "hs")
+    hot = docs.join(lists.filter("size(hot) > 0"), "t").select(*ROW, "raw", "hot")
     sent = map_batches(full, sort, "part int, run binary, spans binary")
-    spans = map_batches(sent.repartition(parts, "part"), merge, "ord bigint, start bigint, end bigint")
+    spans = map_batches(sent.repartition(parts, "part"), merge, SPANS)
     return spans.unionByName(hot_spans(hot, length))
 
 
@@ -503,12 +515,12 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     firsts = written(src.select("ord", *digest).groupBy("t", "t2").agg(F.min("ord").alias("first"), F.count("*").alias("copies")), "suffix-firsts")
     copies = written(src.select("ord", F.octet_length("raw").alias("n"), *digest)
                      .join(firsts.filter("copies > 1"), ["t", "t2"]).filter((F.col("ord") > F.col("first")) & (F.col("n") >= length))
-                     .select("ord").distinct(), "suffix-copies")
-    texts = src.select("ord", F.xxhash64("raw").alias("t"), "raw")
-    spans = written(removed_spans(texts.join(copies, "ord", "left_anti"), length), "suffix-spans")
-    lists = spans.groupBy("ord").agg(F.collect_list(F.struct("start", "end")).alias("cut")).unionByName(
-        copies.select("ord", F.expr("cast(null as array<struct<start:bigint,end:bigint>>)").alias("cut")))
-    full = src.join(lists.withColumn("hit", F.lit(True)), "ord", "left").select("ord", "raw", "cut", F.coalesce("hit", F.lit(False)).alias("hit"))
+                     .select(*ROW).distinct(), "suffix-copies")
+    texts = src.select("ord", *digest, "raw")
+    spans = written(removed_spans(texts.join(copies, list(ROW), "left_anti"), length), "suffix-spans")
+    lists = spans.groupBy(*ROW).agg(F.collect_list(F.struct("start", "end")).alias("cut")).unionByName(
+        copies.select(*ROW, F.expr("cast(null as array<struct<start:bigint,end:bigint>>)").alias("cut")))
+    full = texts.join(lists.withColumn("hit", F.lit(True)), list(ROW), "left").select("ord", "raw", "cut", F.coalesce("hit", F.lit(False)).alias("hit"))
 
     def cut(batches):
         for batch in batches:
