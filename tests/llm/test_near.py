@@ -111,3 +111,23 @@ def test_components(spark, seed):
         up[max(x, y)] = min(x, y)
     got = components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     assert {r.node: r.comp for r in got} == {i: root(i) for i in up}
+
+
+def test_every_bucket_is_read_and_no_register_twice():
+    rng = np.random.default_rng(1)
+    hashes = np.unique(rng.integers(0, 1 << 63, 4000, dtype=np.uint64) << np.uint64(1))
+    full = near_dedup.registers(hashes)
+    for b in range(near_dedup.BUCKETS):
+        changed = near_dedup.registers(hashes[hashes >> np.uint64(58) != b]) != full
+        assert set(np.flatnonzero(changed)) <= {b}
+    assert (near_dedup._DONORS[:, 0] == np.arange(near_dedup.BUCKETS)).all()
+
+
+def test_low_estimate_does_not_drop_a_link():
+    """A pair that shares one band only is still decided by its full sets."""
+    words = [f"w{i}" for i in range(60)]
+    texts = np.array([" ".join(words), " ".join(words[:52])], dtype=object)
+    regs = np.stack([np.arange(64), np.r_[np.arange(3), np.arange(100, 161)]]).astype(np.uint16)
+    both = np.arange(2)
+    args = both + 5, both, np.array([56, 48]), regs, 0, both, both, texts, 5, 75
+    assert near_dedup._cell_links(*args) == [(6, 5)]

@@ -2,9 +2,9 @@
 
 A set's 64-bit hashes are dealt into buckets by their top bits; a bucket's register holds the
 leading-zero count and a few mantissa bits of its smallest hash.  Registers of empty buckets are
-borrowed along a fixed random order.  Bands of registers give candidates, the share of equal
-registers, corrected for accidental collisions, estimates their Jaccard similarity, and the full
-sets of the texts decide.
+borrowed along a fixed random order.  Bands of registers give candidates, and the full sets of
+the texts decide on each whose set sizes allow a link.  (The share of equal registers, corrected for
+accidental collisions, estimates the Jaccard similarity; no pair is dropped by it.)
 
 Equal sets are one class from the start.  Candidates are first compared with the most widely
 shared class of each band bucket (a star, never all pairs); only buckets that still hold several components
@@ -28,13 +28,12 @@ WORDS = 5
 #: probability 1 - (1 - 0.75^3)^21 > 0.99998.
 BUCKETS, MANTISSA, ROWS = 64, 10, 3
 BANDS = BUCKETS // ROWS
-#: Pairs whose estimate is lower than the threshold by this (4 standard deviations) are not verified.
-SLACK = 0.22
 #: About so many classes, and shingles, make up a block.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
 
 _M = np.uint64(0x9E3779B97F4A7C15)
-_DONORS = np.stack([np.random.default_rng(1000 + i).permutation(BUCKETS) for i in range(BUCKETS)])
+#: Register i reads bucket i, and others in a fixed random order only if that is empty.
+_DONORS = np.stack([np.r_[i, (p := np.random.default_rng(1000 + i).permutation(BUCKETS))[p != i]] for i in range(BUCKETS)])
 _word_hash: dict[bytes, int] = {}
 
 
@@ -113,17 +112,11 @@ def _bands(classes: DataFrame) -> DataFrame:
     return map_batches(classes.select("rep", "regs"), run, "bucket bigint, rep bigint")
 
 
-def _likely(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose estimated similarity is at least ``least``."""
-    side = lambda s: classes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"), F.col("regs").alias(f"regs_{s}"))
-    full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "n_a", "n_b", "regs_a", "regs_b")
-
-    def run(batches):
-        for batch in batches:
-            same = (_matrix(batch.column(4)) == _matrix(batch.column(5))).mean(axis=1)
-            ok = estimate(same, batch.column(2).to_numpy(), batch.column(3).to_numpy()) >= least
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(pa.array(ok)), batch.column(1).filter(pa.array(ok))], names=["a", "b"])
-    return map_batches(full, run, "a bigint, b bigint")
+def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose set sizes allow the similarity."""
+    side = lambda s: classes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"))
+    full = pairs.join(side("a"), "a").join(side("b"), "b")
+    return full.filter(F.least("n_a", "n_b") * 100 >= percent * F.greatest("n_a", "n_b")).select("a", "b")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -150,11 +143,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> D
     return map_batches(full, run, "a bigint, b bigint")
 
 
-def _cell_links(rep, comp, n, regs, band, left, right, texts, words, percent, least):
+def _cell_links(rep, comp, n, regs, band, left, right, texts, words, percent):
     """Links between different components of one cell: members ``left`` against ``right``.
 
     A pair is looked at in its first common band only, not at all once its two components have
-    met here, and by its full sets if sizes and estimate allow a link.
+    met here, and by its full sets if the sizes allow a link.
     """
     sets = [shingles(t, words) for t in texts]
     vocabulary, ids = np.unique(np.concatenate(sets), return_inverse=True)
@@ -167,8 +160,7 @@ def _cell_links(rep, comp, n, regs, band, left, right, texts, words, percent, le
         if not len(other):
             continue
         same = regs[other] == regs[x]
-        ok = estimate(same.mean(axis=1), np.full(len(other), n[x]), n[other]) >= least
-        ok &= same[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+        ok = same[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band
         mark[ids[x]] = True
         for y in other[ok].tolist():
             if comp[y] != comp[x]:
@@ -180,7 +172,7 @@ def _cell_links(rep, comp, n, regs, band, left, right, texts, words, percent, le
     return out
 
 
-def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int, least: float) -> DataFrame:
+def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between different components inside band buckets.  The (bucket, rep, comp) rows are
     split into blocks of bounded size, every two blocks of a bucket meet in one cell, and a cell
     gives its links, not its pairs."""
@@ -203,7 +195,7 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int
             mine, rep, comp, n, regs, texts = (np.concatenate(x) for x in zip(*held))
             left = np.flatnonzero(mine == cell[1])
             right = left if cell[1] == cell[2] else np.flatnonzero(mine == cell[2])
-            links = _cell_links(rep, comp, n, regs, cell[0] >> 48, left, right, texts, words, percent, least)
+            links = _cell_links(rep, comp, n, regs, cell[0] >> 48, left, right, texts, words, percent)
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in links], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
         for batch in batches:
@@ -235,7 +227,6 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = 75, id_col: s
     """
     spark = docs.sparkSession
     src = pick(docs, id_col, text_col).select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
-    least = percent / 100 - SLACK
     sketches = written(sketch(src, words), "near-sketches")
     classes = written(sketches.filter("id is not null and n > 0").groupBy("key")
                       .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")), "near-classes")
@@ -250,7 +241,7 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = 75, id_col: s
     members = written(members.drop("held").join(leaders.select("bucket", (-F.col("top.neg")).alias("leader")), "bucket"), "near-members")
 
     star = members.filter("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
-    star = written(_likely(star, classes, least), "near-star")
+    star = written(_possible(star, classes, percent), "near-star")
     reps = members.select(F.col("rep").alias("id")).distinct()
     texts = written(src.join(reps, "id", "left_semi"), "near-texts")
     links = written(_verified(star, texts, words, percent), "near-links")
@@ -259,7 +250,7 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = 75, id_col: s
     named = members.join(labels, members["rep"] == labels["node"], "left").select("bucket", "rep", F.coalesce("comp", "rep").alias("comp"))
     mixed = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
     open_ = written(named.join(mixed.select("bucket"), "bucket"), "near-open")
-    found = _across(open_, classes, texts, words, percent, least)
+    found = _across(open_, classes, texts, words, percent)
     name = lambda s: labels.select(F.col("node").alias(s), F.col("comp").alias(f"comp_{s}"))
     merged = components(written(found.join(name("a"), "a", "left").join(name("b"), "b", "left")
                                 .select(F.coalesce("comp_a", "a").alias("a"), F.coalesce("comp_b", "b").alias("b"))
