@@ -44,9 +44,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: the smallest id of every group of near copies stays."""
+    """Operator 4: the smallest id of every group of near copies stays, and documents without an
+    id, which take no part."""
     docs = pick(docs, *COLUMNS)
-    return _kept(docs, near_dedup(docs))
+    return _kept(docs, near_dedup(docs).select("doc_id", (F.col("kept") | F.col("doc_id").isNull()).alias("kept")))
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

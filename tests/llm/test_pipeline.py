@@ -38,3 +38,9 @@ def test_traps(spark, trap_docs):
     for _, stage in cp.STAGES:
         assert stage(spark, trap_docs.withColumn("kept", trap_docs.doc_id), SMALL).count() >= 0
         assert stage(spark, trap_docs.limit(0), SMALL).count() == 0
+
+
+def test_near_copies_without_an_id_stay(spark, docs_of):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "clean words of its own")]
+    left = cp.drop_near_copies(spark, docs_of(rows), SMALL).collect()
+    assert sorted((r.doc_id or 0, r.text) for r in left) == sorted((i or 0, t) for i, t in rows if i != 2)
