@@ -215,12 +215,12 @@ def drawn_ranks(scored: DataFrame, percent: int, least_words: int) -> DataFrame:
         if ahead < draw:
             before[r["range"]] = ahead
         ahead += r["count"]
-    wanted = F.col("range").isin(list(before)) if before else F.lit(False)
-    offset = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("range")] if before else F.lit(0)
-    place = F.row_number().over(Window.partitionBy("range").orderBy(*order)) + offset.cast("bigint")
-    ranked = ranged.filter(wanted).repartition(parts, "range").withColumn("rank", place)
+    spark = scored.sparkSession
+    fronts = F.broadcast(spark.createDataFrame(list(before.items()), "`range` int, ahead bigint"))
+    place = F.row_number().over(Window.partitionBy("range").orderBy(*order)) + F.col("ahead")
+    ranked = ranged.join(fronts, "range").repartition(parts, "range").withColumn("rank", place).drop("ahead")
     ranked = ranked.withColumn("rank", F.when(F.col("rank") <= draw, F.col("rank")))
-    others = ranged.filter(~wanted).unionByName(scored.filter(F.col("n_words") < least_words), allowMissingColumns=True)
+    others = ranged.join(fronts, "range", "left_anti").unionByName(scored.filter(F.col("n_words") < least_words), allowMissingColumns=True)
     return ranked.unionByName(others.withColumn("rank", F.lit(None).cast("bigint")))
 
 

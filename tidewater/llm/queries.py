@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import (bytebpe, exact_dedup, filter_audit, importance, language_crf, near_dedup, packing, quality_nbsvm,
-                           sharding, suffix_dedup, token_counts, vector_search)
+from tidewater.llm import (bytebpe, exact_dedup, filter_audit, importance, language_crf, near_dedup, packing, passage_dedup,
+                           quality_nbsvm, sharding, suffix_dedup, token_counts, vector_search)
 from tidewater.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -131,6 +131,31 @@ FROM counted
 """
 
 
+@_query
+def op12_passage_dedup(spark, sf_dir):
+    out = passage_dedup.passage_dedup(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE_SQL["op12_passage_dedup"] = r"""
+WITH words AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT row, doc_id, p, sha256(array_to_string(w[p:p + 49], ' ')) AS h
+  FROM (SELECT *, unnest(range(1, len(w) - 48)) AS p FROM words WHERE len(w) >= 50)
+), late AS (
+  SELECT row, p FROM (SELECT row, p, doc_id > min(doc_id) OVER (PARTITION BY h) AS gone FROM windows) WHERE gone
+), covered AS (
+  SELECT DISTINCT row, p + k AS pos FROM late, (SELECT unnest(range(0, 50)) AS k)
+), removed AS (
+  SELECT row, list(pos) AS gone FROM covered GROUP BY row
+)
+SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(coalesce(array_to_string(list_select(w, list_filter(range(1, len(w) + 1), lambda i: gone IS NULL OR NOT list_contains(gone, i))), ' '), '')) AS kept_sha256
+FROM words LEFT JOIN removed USING (row)
+"""
+
+
 @_query
 def op13_importance_resampling(spark, sf_dir):
     out = importance.importance_resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
