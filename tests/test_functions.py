@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.percentile import exact_percentiles
+from tidewater.functions.percentile import exact_percentiles, rank_candidates
 from tidewater.functions.windows import previous_value, running_total
 
 
@@ -81,22 +81,48 @@ def test_bucketed_windows_equal_single_window(spark, bits):
         sorted(want.select("order_id", "previous_value").collect())
 
 
-def _check_percentiles(spark, values, bins=4096):
+def _check_percentiles(spark, values, accuracy=10_000):
     df = spark.createDataFrame([(float(v),) for v in values] + [(None,)], "v double")
     ps = [0.25, 0.5, 0.75, 0.95]
-    got = exact_percentiles(df, "v", ps, ["a", "b", "c", "d"], scale=6, bins=bins).first()
+    got = exact_percentiles(df, "v", ps, ["a", "b", "c", "d"], scale=6, accuracy=accuracy).first()
     want = np.quantile(np.array(values, dtype=float), ps, method="linear")
     assert [round(x, 6) for x in got] == [round(float(x), 6) for x in want]
 
 
-def test_exact_percentiles_match_linear_interpolation(spark):
+@pytest.mark.parametrize("accuracy", [2, 10, 10_000])
+def test_exact_percentiles_match_linear_interpolation(spark, accuracy):
     rnd = random.Random(3)
-    _check_percentiles(spark, [rnd.randint(0, 500) / 4 for _ in range(2001)])
+    _check_percentiles(spark, [rnd.randint(0, 500) / 4 for _ in range(2001)], accuracy)
 
 
-def test_exact_percentiles_with_few_bins_and_an_outlier(spark):
+def test_exact_percentiles_with_an_outlier(spark):
     rnd = random.Random(5)
-    _check_percentiles(spark, [rnd.random() * 1000 - 500 for _ in range(997)] + [1e9], bins=3)
+    _check_percentiles(spark, [rnd.random() * 1000 - 500 for _ in range(997)] + [1e13], accuracy=20)
+
+
+def _largest_window(df, col, ps, by=(), accuracy=10_000):
+    rows = rank_candidates(df, col, ps, by, accuracy).groupBy(*by, "i").count()
+    return rows.agg(F.max("count")).first()[0]
+
+
+def test_an_outlier_leaves_the_last_window_small(spark):
+    df = spark.range(200_000).select((F.col("id") * 7919 % 200_003).cast("double").alias("v")) \
+        .unionByName(spark.createDataFrame([(1e7 * 200_003,)], "v double"))
+    assert _largest_window(df, "v", [0.25, 0.5, 0.95], accuracy=1000) <= 200_000 * 6 // 1000
+    assert exact_percentiles(df, "v", [0.5], ["m"]).first().m == np.quantile(
+        np.r_[np.arange(200_000, dtype=np.int64) * 7919 % 200_003, 1e7 * 200_003], 0.5)
+
+
+def test_percentiles_of_a_group_of_millions_of_distinct_values(spark):
+    n = 2_000_000
+    big = spark.range(n).select(F.lit("big").alias("g"), (F.col("id") * 7919 % 2_000_003).alias("v"))
+    df = big.unionByName(spark.createDataFrame([("few", 1), ("few", 2), ("few", 4), (None, 5), (None, 7), ("none", None)], "g string, v bigint"))
+    ps, names = [0.5, 0.8, 0.95], ["a", "b", "c"]
+    got = {r.g: tuple(r)[1:] for r in exact_percentiles(df, "v", ps, names, by=["g"]).collect()}
+    want = np.quantile(np.arange(n, dtype=np.int64) * 7919 % 2_000_003, ps)
+    assert got.pop("big") == tuple(round(float(x), 4) for x in want)
+    assert got == {"few": (2.0, 3.2, 3.8), None: (6.0, 6.6, 6.9)}
+    assert _largest_window(df, "v", ps, ["g"]) <= n * 6 // 10_000
 
 
 def test_exact_percentiles_with_most_rows_tied(spark):

@@ -1,11 +1,14 @@
-"""Exact interpolated percentiles (PERCENTILE_CONT) as one lazy, distributed plan.
-
-Spark's exact ``percentile`` aggregate keeps every distinct value of a group in one buffer;
-over a whole fact table that is one task holding the table.  Here values are first reduced to
-(value, count), so ties are one row however many there are.  The value range is cut into BINS
-equal bins and each bin into BINS again; the cumulated counts of the bins (at most BINS rows)
-show which of them hold the ranks asked for, the same inside those bins, and only the distinct
-values of the fine bins that are left (1 / BINS^2 of the range each) are cumulated one by one.
+"""Exact interpolated percentiles (PERCENTILE_CONT), global or per group, as one lazy, distributed plan.
+
+Spark's exact ``percentile`` aggregate keeps every distinct value of a group in one buffer.  Here a
+rank is located in two steps, whatever the distribution and however large a group is:
+
+1. *Sketch.*  A mergeable quantile sketch per group (``percentile_approx``, aggregated on the map side)
+   gives for each percentile two values with ranks a little below and above the wanted one.
+2. *Count.*  Values are reduced to (group, value, count), so ties are one row.  One aggregate counts
+   what lies below the bracket, exactly; only the distinct values inside it, about 4 / ``accuracy`` of a
+   group, are cumulated one by one.  Where the exact counts show that a bracket misses its rank, the
+   bracket is the whole group, so the sketch never decides a result.
 """
 
 from __future__ import annotations
@@ -15,49 +18,70 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BINS = 4096
-
-
-def _before(order: str, *partition: str) -> Column:
-    """Sum of ``n`` over the rows in front."""
-    w = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    return F.coalesce(F.sum("n").over(w), F.lit(0))
-
-
-def exact_percentiles(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str],
-                      scale: int = 4, bins: int = BINS) -> DataFrame:
-    """One row with the interpolated percentiles ``ps`` of ``col`` (DOUBLE,
-    rounded to ``scale`` decimals), named ``names``; NULL values are left out,
-    and without any value all percentiles are NULL."""
-    vals = (df.select(F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
-            .groupBy("x").agg(F.count(F.lit(1)).alias("n")))
-    span = vals.agg(F.struct(F.min("x").alias("lo"), F.max("x").alias("hi"))).scalar()
-    place = F.when(span["hi"] > span["lo"], (F.col("x") - span["lo"]) / (span["hi"] - span["lo"]) * bins).otherwise(F.lit(0.0))
-    binned = (vals.withColumn("place", place)
-              .withColumn("b", F.least(F.floor("place"), F.lit(bins - 1)))
-              .withColumn("b2", F.least(F.floor((F.col("place") - F.col("b")) * bins), F.lit(bins - 1))).drop("place"))
-
-    pos = [(F.sum("n") - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(9,8)") for p in ps]
-    ranks = vals.agg(F.array(*[F.floor(q).cast("bigint") for q in pos], *[F.ceil(q).cast("bigint") for q in pos])).scalar()
-    fracs = vals.agg(F.array(*[(q - F.floor(q)).cast("double") for q in pos])).scalar()
-
-    def holding(rows: DataFrame) -> DataFrame:
-        """The rows that hold a wanted rank (at most two a percentile)."""
-        return (rows.withColumn("ranks", ranks)
-                .filter(F.exists("ranks", lambda r: (r >= F.col("before")) & (r < F.col("before") + F.col("n")))))
-
-    coarse = binned.groupBy("b").agg(F.sum("n").alias("n")).withColumn("before", _before("b"))
-    coarse = holding(coarse).select("b", F.col("before").alias("base"))
-    fine = (binned.join(F.broadcast(coarse), "b").groupBy("b", "b2").agg(F.sum("n").alias("n"), F.min("base").alias("base"))
-            .withColumn("before", F.col("base") + _before("b2", "b")))
-    fine = holding(fine).select("b", "b2", F.col("before").alias("base"))
-    last = binned.join(F.broadcast(fine), ["b", "b2"]).withColumn("before", F.col("base") + _before("x", "b", "b2"))
-    last = holding(last).withColumn("fracs", fracs)
-
-    k, out = len(ps), []
+from tidewater.functions.joins import join_by_share
+
+#: Relative rank error of the sketch is one part of this.
+ACCURACY = 10_000
+
+
+def _holds(rank: Column) -> Column:
+    return (rank >= F.col("before")) & (rank < F.col("before") + F.col("n"))
+
+
+def rank_candidates(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[str] = (), accuracy: int = ACCURACY) -> DataFrame:
+    """(by..., i, x, n, before, low, high, part): the distinct values of the bracket of percentile number
+    ``i``, with their counts and the number of values in front; ``low`` and ``high`` are the ranks between
+    which the percentile lies, ``part`` of the way."""
+    keys = ["_group"]  # a struct, so that a group whose key is NULL meets itself
+    group = F.struct(*by) if by else F.lit(0)
+    rows = df.select(group.alias("_group"), F.col(col).cast("double").alias("x")).filter(F.col("x").isNotNull())
+    values = rows.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("n"))
+    around = [min(max(p + sign * 2 / accuracy, 0.0), 1.0) for sign in (-1, 1) for p in ps]
+    sketched = rows.groupBy(*keys).agg(F.percentile_approx("x", around, accuracy).alias("q"), F.count(F.lit(1)).alias("size"))
+
+    def join(side: DataFrame) -> DataFrame:
+        """Values with their group's row; without groups that is a single row."""
+        return join_by_share(values, side, keys, "size") if by else values.join(F.broadcast(side), keys)
+
+    k = len(ps)
+
+    def counted(where: Column) -> Column:
+        return F.sum(F.when(where, F.col("n")).otherwise(F.lit(0)))
+
+    counts = join(sketched).groupBy(*keys).agg(
+        F.any_value("size").alias("size"), F.any_value("q").alias("q"),
+        F.array(*[counted(F.col("x") < F.col("q")[i]) for i in range(k)]).alias("below"),
+        F.array(*[counted(F.col("x") <= F.col("q")[k + i]) for i in range(k)]).alias("upto"))
+
+    def bracket(i: int, p: float) -> Column:
+        at = (F.col("size") - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(9,8)")
+        low, high = F.floor(at).cast("bigint"), F.ceil(at).cast("bigint")
+        good = (F.col("below")[i] <= low) & (F.col("upto")[i] > high)
+        return F.struct(F.lit(i).alias("i"), F.when(good, F.col("q")[i]).alias("least"), F.when(good, F.col("q")[k + i]).alias("most"),
+                        F.when(good, F.col("below")[i]).otherwise(F.lit(0)).alias("base"),
+                        low.alias("low"), high.alias("high"), (at - F.floor(at)).cast("double").alias("part"))
+
+    brackets = counts.select(*keys, "size", F.array(*[bracket(i, p) for i, p in enumerate(ps)]).alias("brackets"))
+    mine = F.filter("brackets", lambda b: (b["least"].isNull() | (b["least"] <= F.col("x"))) & (b["most"].isNull() | (F.col("x") <= b["most"])))
+    inside = join(brackets).select(*keys, "x", "n", F.explode(mine).alias("b")).select(*keys, "x", "n", "b.*")
+    ahead = Window.partitionBy(*keys, "i").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
+    before = F.col("base") + F.coalesce(F.sum("n").over(ahead), F.lit(0))
+    return inside.withColumn("before", before).select(*[F.col("_group")[b].alias(b) for b in by], "i", "x", "n", "before", "low", "high", "part")
+
+
+def exact_percentiles(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str], scale: int = 4,
+                      by: Sequence[str] = (), accuracy: int = ACCURACY) -> DataFrame:
+    """The interpolated percentiles ``ps`` of ``col`` (DOUBLE, rounded to ``scale`` decimals), named
+    ``names``: one row, or one per group of ``by``.  NULL values are left out; without any value there
+    is one row of NULLs, or no row of the group."""
+    found = rank_candidates(df, col, ps, by, accuracy)
+    found = found.filter(_holds(F.col("low")) | _holds(F.col("high")))
+
+    def value(i: int, rank: str) -> Column:
+        return F.max(F.when((F.col("i") == i) & _holds(F.col(rank)), F.col("x")))
+
+    out = []
     for i, name in enumerate(names):
-        def value(at: int) -> Column:
-            r = F.col("ranks")[at]
-            return F.max(F.when((r >= F.col("before")) & (r < F.col("before") + F.col("n")), F.col("x")))
-        out.append(F.round(value(i) + F.max(F.col("fracs")[i]) * (value(k + i) - value(i)), scale).alias(name))
-    return last.agg(*out)
+        part = F.max(F.when(F.col("i") == i, F.col("part")))
+        out.append(F.round(value(i, "low") + part * (value(i, "high") - value(i, "low")), scale).alias(name))
+    return (found.groupBy(*by) if by else found).agg(*out)

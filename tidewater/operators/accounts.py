@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.common import grand, pct, ratio, rounded
+from tidewater.functions.percentile import exact_percentiles
 
 OPEN_END = "9999-12-31"
 
@@ -52,16 +53,11 @@ def avg_reallocation_days(customer_nodes: DataFrame) -> DataFrame:
 
 
 def reallocation_percentiles(customer_nodes: DataFrame, percentiles=(0.5, 0.8, 0.95)) -> DataFrame:
-    """Exact (interpolated) percentiles of the node-days metric per region.
-
-    ``percentile`` keeps a value->count map per group and merges partial
-    maps, so a region with many customers is aggregated map-side.
-    """
+    """Exact (interpolated) percentiles of the node-days metric per region; a
+    region is never gathered in one task, however many customers it has."""
     days = _node_days(customer_nodes, by_region=True)
-    p = F.percentile("total_days_in_node", list(percentiles))
     names = ["median_days", "percentile_80", "percentile_95"]
-    agg = days.groupBy("region_id").agg(p.alias("p"))
-    return agg.select("region_id", *[rounded(F.col("p")[i]).alias(n) for i, n in enumerate(names)])
+    return exact_percentiles(days, "total_days_in_node", percentiles, names, scale=2, by=["region_id"])
 
 
 # ----------------------------------------------------------------------------- transactions
