@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions.common import avg_round, pct, ratio, top_k
+from tidewater.functions.intervals import interval_pairs
 
 VIEW, CART_ADD, PURCHASE, IMPRESSION, AD_CLICK = 1, 2, 3, 4, 5
 CHECKOUT_PAGE = 12
@@ -162,10 +163,11 @@ def visit_campaign_summary(users: DataFrame, events: DataFrame, page_hierarchy:
     flag, ad impressions and clicks, the campaign running at the visit's
     start, and the products added to the cart in the order they were added.
 
-    Where campaigns overlap, the visit goes to the one that started last.
+    Where campaigns overlap, the visit goes to the one that started last; a
+    campaign without an end (NULL, or a date far off) is still running, one
+    without a start has not begun.
     Events are reduced to one row per visit and cookie before users are
-    joined; a campaign has one row per day it runs, so visits meet the
-    campaigns of their day by equality.
+    joined; visits meet the campaigns by an interval join.
     """
     pages = page_hierarchy.select("page_id", "page_name", "product_id")
     cart_item = F.when(_is(CART_ADD) & F.col("product_id").isNotNull(),
@@ -184,13 +186,9 @@ def visit_campaign_summary(users: DataFrame, events: DataFrame, page_hierarchy:
         F.max("purchase").alias("purchase"),
         *[F.sum(c).alias(c) for c in ("impression", "click")],
         F.flatten(F.collect_list("cart_items")).alias("cart_items"))
-    visits = visits.withColumn("visit_day", F.to_date("visit_start_time"))
-    first, last = F.to_date("start_date"), F.to_date("end_date")
-    camps = (campaign_identifier.filter(F.col("start_date") <= F.col("end_date"))
-             .select("campaign_id", "campaign_name", F.col("start_date").alias("c_start"), F.col("end_date").alias("c_end"),
-                     F.explode(F.sequence(first, last)).alias("visit_day")))
-    runs = F.col("visit_start_time").between(F.col("c_start"), F.col("c_end"))
-    matched = visits.join(camps, (visits["visit_day"] == camps["visit_day"]) & runs, "left")
+    camps = campaign_identifier.filter(F.col("start_date").isNotNull()).select(
+        "campaign_id", "campaign_name", F.col("start_date").alias("c_start"), F.col("end_date").alias("c_end"))
+    matched = interval_pairs(visits, camps, "visit_start_time", "c_start", "c_end", keep_points=True)
     same = ["visit_start_time", "page_views", "cart_adds", "purchase", "impression", "click", "cart_items"]
     picked = matched.groupBy("user_id", "visit_id").agg(
         *[F.any_value(c).alias(c) for c in same],

@@ -66,11 +66,14 @@ PAGE_HIERARCHY = [
     (13, "Confirmation", None, None),
 ]
 
-# Campaigns over the January 2024 click data; the first two overlap on 8-10 January.
+# Campaigns over the January 2024 click data; the first two overlap on 8-10 January, the last two
+# are still running, one to a date far off and one without an end.
 CAMPAIGNS = [
     (1, "1-3", "Winter Catch", dt.datetime(2024, 1, 1, 0, 0, 0), dt.datetime(2024, 1, 10, 23, 59, 59)),
     (2, "4-5", "Luxury Week", dt.datetime(2024, 1, 8, 0, 0, 0), dt.datetime(2024, 1, 15, 23, 59, 59)),
     (3, "6-9", "Shell Out", dt.datetime(2024, 1, 20, 0, 0, 0), dt.datetime(2024, 1, 31, 23, 59, 59)),
+    (4, "1-9", "Evergreen", dt.datetime(2024, 1, 12, 12, 0, 0), dt.datetime(9999, 12, 31, 0, 0, 0)),
+    (5, "2-3", "Open House", dt.datetime(2024, 1, 27, 6, 30, 0), None),
 ]
 
 # Clothing-shop colours (id, name, extra_fee).
