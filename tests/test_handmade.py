@@ -297,3 +297,35 @@ def test_visit_summary_counts_a_visit_over_several_cookies_and_long_campaigns(sp
     got = clickstream.visit_campaign_summary(users, events, pages, camps)
     assert rows(got, "visit_id", "page_views", "cart_adds", "campaign_name", "cart_products") == [
         ("v", 1, 2, "Long", "Tea, Tea"), ("w", 1, 0, None, None)]
+
+
+def test_a_customer_downgrades_once_however_often_plans_change(spark):
+    days = ["2020-01-05", "2020-02-05", "2020-03-05", "2020-04-05"]
+    events = [(1, 2, 0), (1, 1, 1), (1, 2, 2), (1, 1, 3), (2, 1, 0), (2, 2, 1), (3, 2, 0), (3, 1, 0), (4, 2, 1), (4, 4, 2), (4, 1, 3), (5, 1, 2)]
+    subs = spark.createDataFrame([(c, p, days[d]) for c, p, d in events], "customer_id int, plan_id int, start_date string") \
+        .withColumn("start_date", F.to_date("start_date"))
+    assert subscriptions.downgrades(subs, 2020).first()[0] == 2  # customers 1 and 4
+    assert subscriptions.downgrades(subs, 2021).first()[0] == 0
+
+
+def test_two_digit_years_have_a_century(spark):
+    raw = spark.createDataFrame([(d, "r", "p", "C1", "New", 1, 10) for d in ("1/2/69", "1/2/70", "29/2/96", "31/12/99", "1/1/00", "15/6/20", "x")],
+                                "week_date string, region string, platform string, segment string, customer_type string, transactions int, sales int")
+    got = [str(r.week_date) for r in weekly_sales.clean_weekly_sales(raw).select("week_date").collect()]
+    assert got == ["2069-02-01", "1970-02-01", "1996-02-29", "1999-12-31", "2000-01-01", "2020-06-15", "None"]
+
+
+def test_reports_come_sorted(spark):
+    from tests.conftest import SMALL
+    from tidewater.plans import registry
+    for name, columns in registry.REPORT_ORDER.items():
+        rows = registry.run(name, spark, SMALL).collect()
+        c = columns[0].lstrip("-")
+        values = [r[c] for r in rows]
+        known = sorted((v for v in values if v is not None), reverse=columns[0][0] == "-")
+        none = [None] * (len(values) - len(known))
+        assert values == (none + known if columns[0][0] == "-" else known + none), name
+    df = spark.createDataFrame([(None, 1), (2, 2), (1, 3)], "customer_id int, total_sales int")
+    assert [r[0] for r in registry.in_report_order("customer_spend", df).collect()] == [1, 2, None]
+    share = spark.createDataFrame([("a", 1.0), ("b", None), ("c", 2.0)], "product_name string, purchase_per_view_percentage double")
+    assert [r[0] for r in registry.in_report_order("view_to_purchase_pct", share).collect()] == ["b", "c", "a"]

@@ -20,21 +20,35 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions.common import grand, pct, ratio, rounded, top_k, top_per_group
+from tidewater.functions.hierarchy import flatten_hierarchy
+from tidewater.functions.itemsets import top_triples
 
 
-def revenue_expr() -> Column:
-    return F.col("price") * F.col("qty")
+def revenue_expr(sales: DataFrame) -> Column:
+    """Revenue of a row of order lines, or of sales already summed (``basket_lines``)."""
+    return F.col("revenue") if "revenue" in sales.columns else F.col("price") * F.col("qty")
 
 
-def discount_expr() -> Column:
+def discount_expr(sales: DataFrame) -> Column:
+    if "discount_amt" in sales.columns:
+        return F.col("discount_amt")
     return F.col("price") * F.col("qty") * F.col("discount") * F.lit(Decimal("0.01"))
 
 
+def basket_lines(sales: DataFrame) -> DataFrame:
+    """Sales reduced to one row per transaction and product, with everything the reports
+    need: quantity, revenue, discount, and whether the product was bought (a line with a
+    positive quantity).  The functions of this module take it in place of sales."""
+    return sales.groupBy("member", "txn_id", "prod_id").agg(
+        F.sum("qty").alias("qty"), F.sum(revenue_expr(sales)).alias("revenue"), F.sum(discount_expr(sales)).alias("discount_amt"),
+        F.max(F.col("qty") > 0).alias("bought"))
+
+
 def product_totals(sales: DataFrame, product_details: DataFrame) -> DataFrame:
     """One row per product: quantity, revenue and discount, with its details."""
     per = sales.groupBy("prod_id").agg(F.sum("qty").alias("total_quantity"),
-                                       F.sum(revenue_expr()).alias("revenue"),
-                                       F.sum(discount_expr()).alias("discount_amt"))
+                                       F.sum(revenue_expr(sales)).alias("revenue"),
+                                       F.sum(discount_expr(sales)).alias("discount_amt"))
     return per.join(product_details, per.prod_id == product_details.product_id).drop("prod_id")
 
 
@@ -57,7 +71,8 @@ def unique_transactions(sales: DataFrame) -> DataFrame:
 
 def _baskets(sales: DataFrame) -> DataFrame:
     """Distinct (txn, product) pairs with a positive quantity."""
-    return sales.filter(F.col("qty") > 0).select("txn_id", "prod_id").distinct()
+    bought = F.col("bought") if "bought" in sales.columns else F.col("qty") > 0
+    return sales.filter(bought).select("txn_id", "prod_id").distinct()
 
 
 def avg_unique_products_per_txn(sales: DataFrame) -> DataFrame:
@@ -67,7 +82,7 @@ def avg_unique_products_per_txn(sales: DataFrame) -> DataFrame:
 
 
 def txn_revenue(sales: DataFrame) -> DataFrame:
-    return sales.groupBy("member", "txn_id").agg(F.sum(revenue_expr()).alias("revenue"))
+    return sales.groupBy("member", "txn_id").agg(F.sum(revenue_expr(sales)).alias("revenue"))
 
 
 def revenue_percentiles(sales: DataFrame, percentiles=(0.25, 0.5, 0.75)) -> DataFrame:
@@ -79,7 +94,7 @@ def revenue_percentiles(sales: DataFrame, percentiles=(0.25, 0.5, 0.75)) -> Data
 
 
 def avg_discount_per_txn(sales: DataFrame) -> DataFrame:
-    return sales.agg(ratio(F.sum(discount_expr()), F.count_distinct("txn_id")).alias("avg_discount_per_transaction"))
+    return sales.agg(ratio(F.sum(discount_expr(sales)), F.count_distinct("txn_id")).alias("avg_discount_per_transaction"))
 
 
 def member_txn_split(sales: DataFrame) -> DataFrame:
@@ -176,61 +191,82 @@ def top_product_triple(sales: DataFrame, product_details: DataFrame, k: int = 1)
     triples = per.filter(F.col("n") == 3).select(
         F.col("a").alias("product_id_1"), (F.col("s") - F.col("a") - F.col("c")).alias("product_id_2"),
         F.col("c").alias("product_id_3"))
-    counts = triples.groupBy("product_id_1", "product_id_2", "product_id_3") \
-        .agg(F.count(F.lit(1)).alias("combination_count"))
-    ids = ["product_id_1", "product_id_2", "product_id_3"]
-    top = top_k(counts, k, [F.desc("combination_count"), *[F.asc(i) for i in ids]])
-    # Names for the (at most 3k) ids of the top rows: broadcast those ids and
-    # stream product_details once through a hash join, instead of joining the
-    # k-row result to the whole product table three times.
-    slots = top.select(*ids, F.explode(F.array(*[
-        F.struct(F.lit(n).alias("slot"), F.col(i).alias("product_id")) for n, i in enumerate(ids, 1)])).alias("s"))
-    slots = slots.select(*ids, "s.slot", "s.product_id")
+    counts = triples.groupBy(*TRIPLE).agg(F.count(F.lit(1)).alias("combination_count"))
+    return _named_triples(top_k(counts, k, [F.desc("combination_count"), *[F.asc(i) for i in TRIPLE]]), product_details)
+
+
+TRIPLE = ["product_id_1", "product_id_2", "product_id_3"]
+
+
+def top_product_triple_any(sales: DataFrame, product_details: DataFrame, k: int = 1) -> DataFrame:
+    """The k combinations of any three products that most baskets hold, whatever
+    else is in them -> as ``top_product_triple``.  Exact; see ``functions.itemsets``."""
+    top = top_triples(_baskets(sales), "txn_id", "prod_id", k)
+    return _named_triples(top.select(*[F.col(x).alias(i) for x, i in zip("abc", TRIPLE)], F.col("n").alias("combination_count")), product_details)
+
+
+def _named_triples(top: DataFrame, product_details: DataFrame) -> DataFrame:
+    """Product names for the (at most 3k) ids of the top rows: those ids are
+    broadcast and product_details streams once through a hash join."""
+    slots = top.select(*TRIPLE, F.explode(F.array(*[
+        F.struct(F.lit(n).alias("slot"), F.col(i).alias("product_id")) for n, i in enumerate(TRIPLE, 1)])).alias("s"))
+    slots = slots.select(*TRIPLE, "s.slot", "s.product_id")
     named = (product_details.select("product_id", "product_name").join(F.broadcast(slots), "product_id")
-             .groupBy(*ids).agg(*[F.max(F.when(F.col("slot") == n, F.col("product_name"))).alias(f"product_name_{n}")
-                                  for n in (1, 2, 3)]))
-    return top.join(named, ids, "left").select(*ids, "product_name_1", "product_name_2", "product_name_3",
-                                               "combination_count")
+             .groupBy(*TRIPLE).agg(*[F.max(F.when(F.col("slot") == n, F.col("product_name"))).alias(f"product_name_{n}")
+                                     for n in (1, 2, 3)]))
+    return top.join(named, TRIPLE, "left").select(*TRIPLE, "product_name_1", "product_name_2", "product_name_3",
+                                                  "combination_count")
 
 
-def monthly_report(sales: DataFrame, product_details: DataFrame, month: str) -> dict[str, DataFrame]:
-    """Every retail answer for one calendar month (``month`` = 'YYYY-MM')."""
+def sales_of_month(sales: DataFrame, month: str) -> DataFrame:
+    """The sales of one calendar month (``month`` = 'YYYY-MM')."""
     start = F.lit(f"{month}-01").cast("date")
-    in_month = sales.filter((F.col("start_txn_time") >= start)
-                            & (F.col("start_txn_time") < F.add_months(start, 1)))
+    return sales.filter((F.col("start_txn_time") >= start) & (F.col("start_txn_time") < F.add_months(start, 1)))
+
+
+def monthly_report(lines: DataFrame, product_details: DataFrame) -> dict[str, DataFrame]:
+    """Every retail answer for the sales ``lines`` of a month.
+
+    Pass ``basket_lines(sales_of_month(sales, month))`` kept as a result table: the sales are
+    then scanned once for the whole report, and each table derives from the kept rows.
+    """
     return {
-        "kpis": monthly_kpis(sales, month),
-        "qty_by_product": qty_by_product(in_month, product_details),
-        "revenue_by_product": revenue_by_product(in_month, product_details),
-        "discount_by_product": discount_by_product(in_month, product_details),
-        "member_txn_split": member_txn_split(in_month),
-        "member_avg_revenue": member_avg_revenue(in_month),
-        "top_products_by_revenue": top_products_by_revenue(in_month, product_details),
-        "segment_totals": segment_totals(in_month, product_details),
-        "category_totals": category_totals(in_month, product_details),
-        "top_product_per_segment": top_product_per_level(in_month, product_details, "segment"),
-        "top_product_per_category": top_product_per_level(in_month, product_details, "category"),
-        "revenue_share_product_in_segment": revenue_share_product_in_segment(in_month, product_details),
-        "revenue_share_segment_in_category": revenue_share_segment_in_category(in_month, product_details),
-        "revenue_share_by_category": revenue_share_by_category(in_month, product_details),
-        "product_penetration": product_penetration(in_month, product_details),
-        "top_product_triple": top_product_triple(in_month, product_details),
-        "avg_unique_products_per_txn": avg_unique_products_per_txn(in_month),
-        "revenue_percentiles": revenue_percentiles(in_month),
+        "kpis": monthly_kpis(lines),
+        "qty_by_product": qty_by_product(lines, product_details),
+        "revenue_by_product": revenue_by_product(lines, product_details),
+        "discount_by_product": discount_by_product(lines, product_details),
+        "member_txn_split": member_txn_split(lines),
+        "member_avg_revenue": member_avg_revenue(lines),
+        "top_products_by_revenue": top_products_by_revenue(lines, product_details),
+        "segment_totals": segment_totals(lines, product_details),
+        "category_totals": category_totals(lines, product_details),
+        "top_product_per_segment": top_product_per_level(lines, product_details, "segment"),
+        "top_product_per_category": top_product_per_level(lines, product_details, "category"),
+        "revenue_share_product_in_segment": revenue_share_product_in_segment(lines, product_details),
+        "revenue_share_segment_in_category": revenue_share_segment_in_category(lines, product_details),
+        "revenue_share_by_category": revenue_share_by_category(lines, product_details),
+        "product_penetration": product_penetration(lines, product_details),
+        "top_product_triple": top_product_triple(lines, product_details),
+        "avg_unique_products_per_txn": avg_unique_products_per_txn(lines),
+        "revenue_percentiles": revenue_percentiles(lines),
     }
 
 
-def monthly_kpis(sales: DataFrame, month: str) -> DataFrame:
+def monthly_kpis(lines: DataFrame) -> DataFrame:
     """High-level numbers of one month in one row."""
-    start = F.lit(f"{month}-01").cast("date")
-    in_month = sales.filter((F.col("start_txn_time") >= start)
-                            & (F.col("start_txn_time") < F.add_months(start, 1)))
-    return in_month.agg(
+    return lines.agg(
         F.sum("qty").alias("total_quantity"),
-        rounded(F.sum(revenue_expr())).alias("total_revenue"),
-        rounded(F.sum(discount_expr())).alias("total_discount"),
+        rounded(F.sum(revenue_expr(lines))).alias("total_revenue"),
+        rounded(F.sum(discount_expr(lines))).alias("total_discount"),
         F.count_distinct("txn_id").alias("unique_transactions"),
-        ratio(F.sum(discount_expr()), F.count_distinct("txn_id")).alias("avg_discount_per_transaction"))
+        ratio(F.sum(discount_expr(lines)), F.count_distinct("txn_id")).alias("avg_discount_per_transaction"))
+
+
+def hierarchy_paths(nodes: DataFrame, label_col: str, separator: str = " > ") -> DataFrame:
+    """Every node of a hierarchy of any depth with its root, depth, status ('ok', 'orphan',
+    'cycle') and the text of its path -> id, parent_id, root_id, depth, status, path."""
+    flat = flatten_hierarchy(nodes, "id", "parent_id", label_col)
+    return flat.select("id", "parent_id", "root_id", "depth", "status", F.array_join("labels", separator).alias("path"))
 
 
 def product_details_from_hierarchy(product_hierarchy: DataFrame, product_prices: DataFrame) -> DataFrame:

@@ -139,12 +139,16 @@ def days_to_annual_histogram(subscriptions: DataFrame, width: int = 30,
 
 
 def downgrades(subscriptions: DataFrame, year: int) -> DataFrame:
-    """Pro-monthly customers with a later basic-monthly start in ``year`` (any later)."""
+    """Customers with a basic-monthly start after a pro-monthly start, both in ``year`` (any later one).
+
+    One row per customer: some basic start is later than some pro start if the last is later than the
+    first, so a customer counts once however often plans change.
+    """
     in_year = subscriptions.filter(F.year("start_date") == year)
-    basic = in_year.filter(F.col("plan_id") == BASIC).select("customer_id", F.col("start_date").alias("basic_date"))
-    pro = in_year.filter(F.col("plan_id") == PRO_MONTHLY).select("customer_id", F.col("start_date").alias("pro_date"))
-    pairs = basic.join(pro, "customer_id").filter(F.col("basic_date") > F.col("pro_date"))
-    return pairs.agg(F.count(F.lit(1)).alias("downgraded_customers"))
+    per = in_year.groupBy("customer_id").agg(
+        F.min(F.when(F.col("plan_id") == PRO_MONTHLY, F.col("start_date"))).alias("first_pro"),
+        F.max(F.when(F.col("plan_id") == BASIC, F.col("start_date"))).alias("last_basic"))
+    return per.agg(F.count_if(F.col("last_basic") > F.col("first_pro")).alias("downgraded_customers"))
 
 
 def downgrades_immediate(subscriptions: DataFrame, year: int) -> DataFrame:

@@ -24,9 +24,11 @@ def clean_weekly_sales(weekly_sales: DataFrame, week: str = "iso") -> DataFrame:
 
     ``week='iso'`` numbers weeks as ISO weeks (2020-06-15 is week 25);
     ``'jan1'`` counts 7-day periods from 1 January.  The text 'null' in
-    segment becomes 'unknown'.  Unparsable dates become NULL.
+    segment becomes 'unknown'.  Unparsable dates become NULL.  Two-digit
+    years 70 to 99 lie in the last century, 00 to 69 in this one.
     """
     d = F.try_to_date(F.col("week_date"), "d/M/yy")
+    d = F.when(F.year(d) >= 2070, F.make_date(F.year(d) - 100, F.month(d), F.day(d))).otherwise(d)
     if week == "iso":
         wk = F.weekofyear(d)
     else:

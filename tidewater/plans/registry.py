@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidewater.sources.fixtures import Fixtures
 from tidewater.sources.oracle_fixtures import with_tables
@@ -28,7 +29,32 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 _PLAN_MODULES = ("loyalty", "delivery", "subscriptions", "accounts", "weekly_sales",
-                 "clickstream", "retail", "exercises")
+                 "clickstream", "retail", "exercises", "approximate")
+
+
+#: Reports that come sorted: their columns in order, a leading minus for descending.  Nulls stand where
+#: PostgreSQL puts them: last when ascending, first when descending.
+REPORT_ORDER: dict[str, tuple[str, ...]] = {
+    "customer_spend": ("customer_id",), "last_item_before_join": ("customer_id",), "spend_before_join": ("customer_id",),
+    "loyalty_points": ("customer_id",),
+    "customer_journey": ("customer_id", "start_date"), "trial_starts_by_month": ("month_date",), "plan_starts_after": ("plan_id",),
+    "next_plan_after_trial": ("plan_id",),
+    "customers_per_region": ("region_id",), "active_mix_customers_by_month": ("txn_month",),
+    "monthly_balances": ("customer_id", "ending_month"),
+    "sales_by_region_month": ("region", "month_number"), "transactions_by_platform": ("platform",),
+    "platform_share_by_month": ("calendar_year", "month_number"), "demographic_share_by_year": ("calendar_year",),
+    "avg_transaction_by_year_platform": ("calendar_year", "platform"),
+    "visits_by_month": ("month_number",), "events_by_type": ("event_type",), "product_funnel": ("product_id",),
+    "view_to_purchase_pct": ("-purchase_per_view_percentage", "product_name"),
+    "top_product_per_segment": ("segment_name", "product_name"),
+}
+
+
+def in_report_order(name: str, df: DataFrame) -> DataFrame:
+    columns = REPORT_ORDER.get(name)
+    if not columns:
+        return df
+    return df.orderBy(*[F.col(c[1:]).desc_nulls_first() if c[0] == "-" else F.col(c).asc_nulls_last() for c in columns])
 
 
 def query(name: str, tables: tuple[str, ...] = (), sql: str | None = None):
@@ -48,12 +74,11 @@ def load_all() -> dict[str, Query]:
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return load_all()[name].build(Fixtures(spark, sf_dir))
+    return in_report_order(name, load_all()[name].build(Fixtures(spark, sf_dir)))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {name: (lambda spark, sf_dir, _q=q: _q.build(Fixtures(spark, sf_dir)))
-            for name, q in load_all().items()}
+    return {name: (lambda spark, sf_dir, _name=name: run(_name, spark, sf_dir)) for name in load_all()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -185,6 +185,25 @@ def top_product_triple(fx):
     return op.top_product_triple(fx.retail_sales, fx.product_details)
 
 
+@query("top_product_triple_any", T, """
+WITH baskets AS (SELECT DISTINCT txn_id, prod_id FROM retail_sales WHERE qty > 0),
+counted AS (
+  SELECT x.prod_id AS product_id_1, y.prod_id AS product_id_2, z.prod_id AS product_id_3, count(*) AS combination_count
+  FROM baskets x JOIN baskets y ON x.txn_id = y.txn_id AND x.prod_id < y.prod_id
+  JOIN baskets z ON y.txn_id = z.txn_id AND y.prod_id < z.prod_id
+  GROUP BY ALL),
+top AS (SELECT * FROM counted ORDER BY combination_count DESC, product_id_1, product_id_2, product_id_3 LIMIT 10)
+SELECT t.product_id_1, t.product_id_2, t.product_id_3,
+  a.product_name AS product_name_1, b.product_name AS product_name_2, c.product_name AS product_name_3,
+  t.combination_count
+FROM top t
+LEFT JOIN product_details a ON a.product_id = t.product_id_1
+LEFT JOIN product_details b ON b.product_id = t.product_id_2
+LEFT JOIN product_details c ON c.product_id = t.product_id_3""")
+def top_product_triple_any(fx):
+    return op.top_product_triple_any(fx.retail_sales, fx.product_details, 10)
+
+
 @query("monthly_report", ("retail_sales",), f"""
 SELECT CAST(sum(qty) AS BIGINT) AS total_quantity, CAST(sum(price * qty) AS DOUBLE) AS total_revenue,
   CAST(round(sum(price * qty * discount * 0.01), 2) AS DOUBLE) AS total_discount,
@@ -193,7 +212,13 @@ SELECT CAST(sum(qty) AS BIGINT) AS total_quantity, CAST(sum(price * qty) AS DOUB
 FROM retail_sales
 WHERE start_txn_time >= DATE '{REPORT_MONTH}-01' AND start_txn_time < DATE '{REPORT_MONTH}-01' + INTERVAL 1 MONTH""")
 def monthly_report(fx):
-    return op.monthly_kpis(fx.retail_sales, REPORT_MONTH)
+    return op.monthly_kpis(_month_lines(fx))
+
+
+def _month_lines(fx):
+    """The month's sales by transaction and product, which all tables of the report share."""
+    return fx.shared_result(f"sales-{REPORT_MONTH}", lambda: op.basket_lines(op.sales_of_month(fx.retail_sales, REPORT_MONTH)),
+                            "lineitem", "orders", "part")
 
 
 @query("product_details_from_hierarchy", ("product_hierarchy", "product_prices"), """
@@ -211,6 +236,29 @@ def product_details_from_hierarchy(fx):
     return op.product_details_from_hierarchy(fx.product_hierarchy, fx.product_prices)
 
 
+def _tree_sql(table: str, label: str) -> str:
+    return f"""
+WITH RECURSIVE walk AS (
+  SELECT id, id AS root_id, CAST(0 AS BIGINT) AS depth, CASE WHEN parent_id IS NULL THEN 'ok' ELSE 'orphan' END AS status,
+    {label} AS path
+  FROM {table} WHERE parent_id IS NULL OR parent_id NOT IN (SELECT id FROM {table})
+  UNION ALL
+  SELECT c.id, w.root_id, w.depth + 1, w.status, w.path || ' > ' || c.{label}
+  FROM walk w JOIN {table} c ON c.parent_id = w.id)
+SELECT t.id, t.parent_id, w.root_id, w.depth, coalesce(w.status, 'cycle') AS status, w.path
+FROM {table} t LEFT JOIN walk w ON t.id = w.id"""
+
+
+@query("product_hierarchy_paths", ("product_hierarchy",), _tree_sql("product_hierarchy", "level_text"))
+def product_hierarchy_paths(fx):
+    return op.hierarchy_paths(fx.product_hierarchy, "level_text")
+
+
+@query("part_tree_paths", ("part_tree",), _tree_sql("part_tree", "name"))
+def part_tree_paths(fx):
+    return op.hierarchy_paths(fx.part_tree, "name")
+
+
 # ----------------------------------------------------------------------------- the other tables of the monthly report
 _MONTH_SALES = (f"(SELECT * FROM retail_sales WHERE start_txn_time >= DATE '{REPORT_MONTH}-01' "
                 f"AND start_txn_time < DATE '{REPORT_MONTH}-01' + INTERVAL 1 MONTH)")
@@ -226,7 +274,7 @@ def _report_table(name: str) -> None:
 
     @query(f"monthly_{name}", T, sql)
     def table(fx):
-        return op.monthly_report(fx.retail_sales, fx.product_details, REPORT_MONTH)[name]
+        return op.monthly_report(_month_lines(fx), fx.product_details)[name]
 
 
 for _name in REPORT_TABLES:

@@ -28,7 +28,8 @@ clean AS (
 
 
 def _clean(fx):
-    return op.clean_weekly_sales(fx.weekly_sales)
+    return fx.shared_result("clean-weekly-sales", lambda: op.clean_weekly_sales(fx.weekly_sales),
+                            "lineitem", "part", "supplier", "nation", "region")
 
 
 @query("clean_weekly_sales", TABLES, _CLEAN + "SELECT * FROM clean")

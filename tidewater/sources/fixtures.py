@@ -13,12 +13,15 @@ the planner and AQE, which broadcast a side only after measuring it.
 
 from __future__ import annotations
 
+import hashlib
 from functools import cached_property
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidewater.sources.inline import SIZES, RUN_DISTANCES, inline_df
+from tidewater.sources.results import ResultStore, has_shared_folder, plan_digest
 from tidewater.sources.testdata import TestData
 
 
@@ -64,6 +67,16 @@ class Fixtures:
         self.spark = spark
         self.td = TestData(spark, sf_dir)
 
+    def shared_result(self, name: str, make: Callable[[], DataFrame], *tables: str) -> DataFrame:
+        """A result that several queries read: computed once and kept in the shared folder until one of its
+        input ``tables`` or its plan changes.  Without a shared folder it is computed by each query."""
+        df = make()
+        if not has_shared_folder(self.spark):
+            return df
+        known = f"{name}-{hashlib.sha256(self.td.sf_dir.encode()).hexdigest()[:12]}"
+        inputs = [f"{self.td.sf_dir}/{t}.parquet" for t in tables]
+        return ResultStore(self.spark).materialise(known, lambda: df, inputs, plan_digest(df))
+
     def get(self, *names: str) -> tuple[DataFrame, ...]:
         return tuple(getattr(self, n) for n in names)
 
@@ -395,6 +408,14 @@ class Fixtures:
                           F.col("p_name").alias("level_text"), F.lit("Style").alias("level_name")))
         return cats.unionByName(segs).unionByName(styles)
 
+    @cached_property
+    def part_tree(self) -> DataFrame:
+        """part_tree(id, parent_id, name): a tree some levels deep over all parts, the parent of part n being
+        part n / 3; some parents are missing, and parts 5 and 16 point to each other."""
+        k = F.col("p_partkey")
+        parent = (F.when(k % 97 == 0, k + 1_000_000_000).when(k == 5, 16).when(k >= 3, F.floor(k / 3)))
+        return self.td.part.select(k.alias("id"), parent.cast("bigint").alias("parent_id"), F.col("p_name").alias("name"))
+
     @cached_property
     def product_prices(self) -> DataFrame:
         return self.td.part.select(F.col("p_partkey").alias("id"),

@@ -197,6 +197,11 @@ UNION ALL
 SELECT p.p_partkey + 1000000, CAST(t.type_id * 100 + CAST(regexp_extract(p.p_brand, '[0-9]+') AS INTEGER) AS BIGINT),
   p.p_name, 'Style'
 FROM part p JOIN part_types t ON p.p_type = t.type_name"""),
+    "part_tree": ((), """
+SELECT p_partkey AS id,
+  CASE WHEN p_partkey % 97 = 0 THEN p_partkey + 1000000000 WHEN p_partkey = 5 THEN 16
+    WHEN p_partkey >= 3 THEN p_partkey // 3 END AS parent_id, p_name AS name
+FROM part"""),
     "product_prices": ((), """
 SELECT p_partkey AS id, p_partkey + 1000000 AS product_id, CAST(p_retailprice AS DECIMAL(18,2)) AS price
 FROM part"""),
@@ -262,6 +267,8 @@ def with_tables(tables: list[str] | tuple[str, ...], body: str) -> str:
     order = _resolve(tables, [])
     ctes = [f"{name} AS (\n{CTES[name][1].strip()}\n)" for name in order]
     text = body.strip()
+    if text[:14].upper() == "WITH RECURSIVE":
+        return "WITH RECURSIVE " + ",\n".join([*ctes, text[14:].lstrip()])
     if text[:4].upper() == "WITH":
         return "WITH " + ",\n".join(ctes) + ",\n" + text[4:].lstrip()
     if not ctes:
