@@ -18,10 +18,10 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.functions.joins import join_by_share
-
 #: Relative rank error of the sketch is one part of this.
 ACCURACY = 10_000
+#: Parts of a group that meet its sketch in different tasks.
+SALTS = 64
 
 
 def _holds(rank: Column) -> Column:
@@ -39,34 +39,40 @@ def rank_candidates(df: DataFrame, col: str, ps: Sequence[float], by: Sequence[s
     around = [min(max(p + sign * 2 / accuracy, 0.0), 1.0) for sign in (-1, 1) for p in ps]
     sketched = rows.groupBy(*keys).agg(F.percentile_approx("x", around, accuracy).alias("q"), F.count(F.lit(1)).alias("size"))
 
-    def join(side: DataFrame) -> DataFrame:
-        """Values with their group's row; without groups that is a single row."""
-        return join_by_share(values, side, keys, "size") if by else values.join(F.broadcast(side), keys)
-
     k = len(ps)
 
+    def one(side: DataFrame) -> DataFrame:
+        """A side that has one row, or one for each percentile, if there are no groups."""
+        return side if by else F.broadcast(side)
+
+    # a group's values meet its sketch in SALTS parts, so a group of any size is spread
+    salt = F.pmod(F.xxhash64("x"), F.lit(SALTS)).cast("int")
+    sides = sketched.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))) if by else sketched.withColumn("_salt", F.lit(0))
+    joined = values.withColumn("_salt", salt if by else F.lit(0)).join(one(sides), [*keys, "_salt"])
+
     def counted(where: Column) -> Column:
         return F.sum(F.when(where, F.col("n")).otherwise(F.lit(0)))
 
-    counts = join(sketched).groupBy(*keys).agg(
-        F.any_value("size").alias("size"), F.any_value("q").alias("q"),
+    counts = joined.groupBy(*keys).agg(
+        F.any_value("size").alias("size"),
         F.array(*[counted(F.col("x") < F.col("q")[i]) for i in range(k)]).alias("below"),
         F.array(*[counted(F.col("x") <= F.col("q")[k + i]) for i in range(k)]).alias("upto"))
 
-    def bracket(i: int, p: float) -> Column:
+    def wanted(i: int, p: float) -> Column:
         at = (F.col("size") - 1).cast("decimal(20,0)") * F.lit(str(p)).cast("decimal(9,8)")
         low, high = F.floor(at).cast("bigint"), F.ceil(at).cast("bigint")
-        good = (F.col("below")[i] <= low) & (F.col("upto")[i] > high)
-        return F.struct(F.lit(i).alias("i"), F.when(good, F.col("q")[i]).alias("least"), F.when(good, F.col("q")[k + i]).alias("most"),
-                        F.when(good, F.col("below")[i]).otherwise(F.lit(0)).alias("base"),
-                        low.alias("low"), high.alias("high"), (at - F.floor(at)).cast("double").alias("part"))
-
-    brackets = counts.select(*keys, "size", F.array(*[bracket(i, p) for i, p in enumerate(ps)]).alias("brackets"))
-    mine = F.filter("brackets", lambda b: (b["least"].isNull() | (b["least"] <= F.col("x"))) & (b["most"].isNull() | (F.col("x") <= b["most"])))
-    inside = join(brackets).select(*keys, "x", "n", F.explode(mine).alias("b")).select(*keys, "x", "n", "b.*")
+        return F.struct(F.lit(i).alias("i"), ((F.col("below")[i] <= low) & (F.col("upto")[i] > high)).alias("good"),
+                        F.col("below")[i].alias("base"), low.alias("low"), high.alias("high"), (at - F.floor(at)).cast("double").alias("part"))
+
+    ranks = counts.select(*keys, F.explode(F.array(*[wanted(i, p) for i, p in enumerate(ps)])).alias("w")).select(*keys, "w.*")
+    numbers = F.array(*[F.lit(i) for i in range(k)])
+    inside = joined.select(*keys, "x", "n", F.explode(F.filter(numbers, lambda i: F.col("x").between(F.col("q")[i], F.col("q")[i + k]))).alias("i"))
+    found = inside.join(one(ranks.filter("good")), [*keys, "i"])
+    missed = values.join(one(ranks.filter("not good").withColumn("base", F.lit(0).cast("bigint"))), keys)
     ahead = Window.partitionBy(*keys, "i").orderBy("x").rowsBetween(Window.unboundedPreceding, -1)
     before = F.col("base") + F.coalesce(F.sum("n").over(ahead), F.lit(0))
-    return inside.withColumn("before", before).select(*[F.col("_group")[b].alias(b) for b in by], "i", "x", "n", "before", "low", "high", "part")
+    return found.unionByName(missed).withColumn("before", before).select(
+        *[F.col("_group")[b].alias(b) for b in by], "i", "x", "n", "before", "low", "high", "part")
 
 
 def exact_percentiles(df: DataFrame, col: str, ps: Sequence[float], names: Sequence[str], scale: int = 4,

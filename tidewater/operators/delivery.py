@@ -7,16 +7,17 @@ duration, cancellation), runners(runner_id, registration_date),
 pizza_names(pizza_id, pizza_name), pizza_recipes(pizza_id, toppings),
 pizza_toppings(topping_id, topping_name).
 
-Labels and ingredient lists depend only on a line's (pizza_id, exclusions,
-extras), so they are worked out once per distinct combination (a map-side
-partial aggregate shrinks repeated ones) and joined back null-safe.  Topping
-names come from the caller's pizza_toppings; an id that the table lacks shows
-as '#id' instead of vanishing.
+Labels and ingredient lists are worked out inside the row, with topping names
+looked up in a map of the caller's pizza_toppings; for a table of more than
+MOST_TOPPINGS they are worked out once per distinct (pizza_id, exclusions,
+extras) and joined back null-safe.  An id that the table lacks shows as '#id'
+instead of vanishing.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from typing import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from tidewater.functions.common import avg_round, nullify_tokens, parse_timestam
 from tidewater.sources.inline import PIZZA_PRICES
 
 SPLIT_RE = r"[,\s]+"
+#: Toppings that a map inside each row may hold.
+MOST_TOPPINGS = 1000
 
 
 # ----------------------------------------------------------------------------- cleaning
@@ -228,6 +231,18 @@ def _named(ids: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
     return ids.join(names, "topping_id", "left").withColumn("topping_name", F.coalesce("topping_name", unnamed))
 
 
+def _names_by_id(pizza_toppings: DataFrame) -> Callable[[Column], Column] | None:
+    """A look-up of topping names ('#id' without one) inside a row, from a map of the table, read once; None if
+    the table has more than MOST_TOPPINGS."""
+    names = pizza_toppings.filter("topping_id is not null").groupBy("topping_id").agg(F.min("topping_name").alias("topping_name"))
+    rows = names.limit(MOST_TOPPINGS + 1).collect()
+    if len(rows) > MOST_TOPPINGS:
+        return None
+    pairs = [F.lit(x).cast(f.dataType) for r in rows for x, f in zip(r, names.schema)]
+    known = F.create_map(*pairs) if pairs else F.lit(None).cast("map<int,string>")
+    return lambda t: F.coalesce(F.try_element_at(known, t), F.concat(F.lit("#"), t.cast("string")))
+
+
 def _per_line(lines: DataFrame, described: DataFrame) -> DataFrame:
     """Join what was worked out per distinct (pizza_id, exclusions, extras) back to the lines."""
     right = described.select(*[F.col(c).alias(f"_{c}") if c in _LINE else F.col(c) for c in described.columns])
@@ -242,6 +257,11 @@ def _ids(text: str | Column) -> Column:
     return F.array_remove(F.split(F.coalesce(col, F.lit("")), SPLIT_RE), "").cast("array<int>")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` worked out once, also where ``use`` asks for it in a loop."""
+    return F.transform(F.array(value), use)[0]
+
+
 def ingredient_frequency(pizza_recipes: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
     """How many recipes use each topping -> topping_id, topping_name, topping_count."""
     ids = pizza_recipes.select(F.explode(_ids("toppings")).alias("topping_id"))
@@ -277,46 +297,71 @@ def most_common_exclusion(clean_orders: DataFrame, pizza_toppings: DataFrame, k:
 
 def order_item_label(clean_orders: DataFrame, pizza_names: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
     """'Meatlovers - Exclude Beef, Cheese - Extra Bacon' per order line, toppings in the line's order."""
+    def part(col: Column, prefix: str) -> Column:
+        return F.when(col != "", F.concat(F.lit(prefix), col)).otherwise(F.lit(""))
+
+    def label(excluded: Column, extra: Column) -> Column:
+        return F.concat(F.col("pizza_name"), part(excluded, " - Exclude "), part(extra, " - Extra ")).alias("order_item")
+
+    out = ["order_id", "customer_id", "pizza_id"]
+    name = _names_by_id(pizza_toppings)
+    if name is not None:
+        listed = [F.array_join(F.transform(_ids(c), name), ", ") for c in ("exclusions", "extras")]
+        return clean_orders.join(pizza_names, "pizza_id").select(*out, label(*listed))
+
     def changes(kind: str, col: str) -> Column:
         return F.transform(_ids(col), lambda t, i: F.struct(
             F.lit(kind).alias("kind"), i.alias("pos"), t.alias("topping_id")))
 
-    def listed(kind: str) -> Column:
+    def gathered(kind: str) -> Column:
         mine = F.collect_list(F.when(F.col("kind") == kind, F.struct("pos", "topping_name")))
         return F.array_join(F.array_sort(mine)["topping_name"], ", ")
 
-    def part(col: str, prefix: str) -> Column:
-        return F.when(F.col(col) != "", F.concat(F.lit(prefix), F.col(col))).otherwise(F.lit(""))
-
     combos = clean_orders.select(*_LINE).distinct()
     ids = combos.select(*_LINE, F.explode_outer(F.concat(changes("ex", "exclusions"), changes("more", "extras"))).alias("c"))
     texts = _named(ids.select(*_LINE, "c.*"), pizza_toppings).groupBy(*_LINE).agg(
-        listed("ex").alias("_ex"), listed("more").alias("_more"))
-    label = F.concat(F.col("pizza_name"), part("_ex", " - Exclude "), part("_more", " - Extra "))
-    return _per_line(clean_orders, texts).join(pizza_names, "pizza_id").select(
-        "order_id", "customer_id", "pizza_id", label.alias("order_item"))
+        gathered("ex").alias("_ex"), gathered("more").alias("_more"))
+    return _per_line(clean_orders, texts).join(pizza_names, "pizza_id").select(*out, label(F.col("_ex"), F.col("_more")))
 
 
-def _used_ids() -> Column:
+def _used_ids(recipe: Column) -> Column:
     """Topping ids in a pizza: the recipe without the excluded ones, then the extras (repeats count)."""
-    excluded = _ids("exclusions")
-    return F.concat(F.filter(_ids("toppings"), lambda t: ~F.array_contains(excluded, t)), _ids("extras"))
+    def without(excluded: Column) -> Column:
+        return F.filter(recipe, lambda t: ~F.array_contains(excluded, t))
+
+    left = F.when(F.col("exclusions").isNull(), recipe).otherwise(_let(_ids("exclusions"), without))
+    return F.when(F.col("extras").isNull(), left).otherwise(F.concat(left, _ids("extras")))
 
 
 def order_ingredient_list(clean_orders: DataFrame, pizza_names: DataFrame,
                           pizza_recipes: DataFrame, pizza_toppings: DataFrame) -> DataFrame:
     """'Meatlovers: 2xBacon, Beef, Cheese': alphabetical (ignoring case), '2x' for a doubled topping."""
+    def text(n: Column, name: Column) -> Column:
+        return F.concat(F.when(n > 1, F.concat(n.cast("string"), F.lit("x"))).otherwise(F.lit("")), name)
+
+    out = ["order_id", "customer_id", "pizza_id"]
+    name = _names_by_id(pizza_toppings)
+    if name is not None:
+        def entries(used: Column) -> Column:
+            def entry(t: Column) -> Column:
+                times = F.size(F.filter(used, lambda u: u == t))
+                return _let(name(t), lambda of: F.struct(F.lower(of).alias("k"), t.alias("topping_id"), text(times, of).alias("text")))
+            return F.array_sort(F.transform(F.array_distinct(used), entry))
+
+        recipes = pizza_recipes.select("pizza_id", _ids("toppings").alias("_recipe"))
+        used = clean_orders.join(recipes, "pizza_id").join(pizza_names, "pizza_id")
+        listed = F.array_join(_let(_used_ids(F.col("_recipe")), entries)["text"], ", ")
+        return used.select(*out, F.concat(F.col("pizza_name"), F.lit(": "), listed).alias("ingredient_list"))
+
     combos = clean_orders.select(*_LINE).distinct().join(pizza_recipes, "pizza_id")
-    counts = (combos.select(*_LINE, F.explode_outer(_used_ids()).alias("topping_id"))
+    counts = (combos.select(*_LINE, F.explode_outer(_used_ids(_ids("toppings"))).alias("topping_id"))
               .groupBy(*_LINE, "topping_id").agg(F.count("topping_id").alias("n")))
-    times = F.when(F.col("n") > 1, F.concat(F.col("n").cast("string"), F.lit("x"))).otherwise(F.lit(""))
     entry = F.when(F.col("topping_name").isNotNull(), F.struct(
-        F.lower("topping_name").alias("k"), "topping_id", F.concat(times, F.col("topping_name")).alias("text")))
+        F.lower("topping_name").alias("k"), "topping_id", text(F.col("n"), F.col("topping_name")).alias("text")))
     texts = _named(counts, pizza_toppings).groupBy(*_LINE).agg(
         F.array_join(F.array_sort(F.collect_list(entry))["text"], ", ").alias("_list"))
     return _per_line(clean_orders, texts).join(pizza_names, "pizza_id").select(
-        "order_id", "customer_id", "pizza_id",
-        F.concat(F.col("pizza_name"), F.lit(": "), F.col("_list")).alias("ingredient_list"))
+        *out, F.concat(F.col("pizza_name"), F.lit(": "), F.col("_list")).alias("ingredient_list"))
 
 
 def ingredient_totals_delivered(clean_orders: DataFrame, clean_runner: DataFrame,
@@ -328,7 +373,7 @@ def ingredient_totals_delivered(clean_orders: DataFrame, clean_runner: DataFrame
     """
     combos = (_delivered_items(clean_orders, clean_runner).groupBy(*_LINE).agg(F.count(F.lit(1)).alias("pizzas"))
               .join(pizza_recipes, "pizza_id"))
-    totals = (combos.select("pizzas", F.explode(_used_ids()).alias("topping_id"))
+    totals = (combos.select("pizzas", F.explode(_used_ids(_ids("toppings"))).alias("topping_id"))
               .groupBy("topping_id").agg(F.sum("pizzas").alias("quantity")))
     return _named(totals, pizza_toppings).select("topping_id", "topping_name", "quantity") \
         .orderBy(F.desc("quantity"), F.asc("topping_id"))
