@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -93,8 +94,10 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below the cluster's shared checkpoint folder."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if base is None:  # a session without one, as in tests
-        base = tempfile.mkdtemp(prefix="tidewater-llm-")
+    if base is None:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="tidewater-llm-")  # a local session, as in tests
         sc.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
@@ -107,5 +110,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def split_join(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with ``side``, which has for each key its number of rows ``n``.  Keys with over a
+    thousandth of all rows, at most a thousand, are broadcast, so that no task gets one of them whole."""
+    bound = (side.agg(F.sum("n").alias("n")).first()["n"] or 0) // 1000
+    heavy = F.broadcast(side.filter(F.col("n") > bound))
+    return rows.join(heavy, keys).unionByName(rows.join(heavy, keys, "left_anti").join(side.filter(F.col("n") <= bound), keys))
+
+
 def parallelism(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import map_batches, parallelism, pick, written
+from tidewater.llm.common import map_batches, parallelism, pick, split_join, written
 
 WINDOW, GRAM = 50, 16
 #: Bytes of text worked on at once.
@@ -396,14 +396,6 @@ def repeated_windows(contexts: list[bytes], least: np.ndarray, largest: np.ndarr
 
 # --- the job ---------------------------------------------------------------------------------------
 
-def split_join(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
-    """``rows`` joined with ``side``, which has for each key its number of rows ``n``.  Keys with over a
-    thousandth of all rows, at most a thousand, are broadcast, so that no task gets one of them whole."""
-    bound = (side.agg(F.sum("n").alias("n")).first()["n"] or 0) // 1000
-    heavy = F.broadcast(side.filter(F.col("n") > bound))
-    return rows.join(heavy, keys).unionByName(rows.join(heavy, keys, "left_anti").join(side.filter(F.col("n") <= bound), keys))
-
-
 def shared_hashes(rows: DataFrame, label: str) -> DataFrame:
     """(ord, t, h, n): hashes of the lists ``hs`` of documents that occur in a second document, and
     how often they occur."""

@@ -15,11 +15,13 @@ of a corpus would move a hundred times its size, so suffixes are sorted where it
    looking at bytes, and equal ones are compared from there on.
 4. Suffixes whose common prefix reaches the gram form a group; in it, equal windows are found
    from the common prefixes to the right and the bytes to the left, and all but the earliest go.
-5. A gram with more than HOT occurrences takes no part in 2 to 4: the hashes (128 bits) of its
-   windows are reduced to the earliest per batch, the others go at once, and what is left is sorted
-   by hash, where again all but the earliest go, one row after the other, so no group is held.
+5. A gram with more than HOT occurrences, as at the border of a passage that many documents hold,
+   would form a group without bound.  It is extended to the whole window: those of its windows that
+   occur twice are suffixes of their own, equal ones are one per batch, and they take the same way
+   through runs and merge, where only the earliest of equal windows is carried along.
 
-Copies of a whole text need none of this: they are removed by their digest.
+Copies of a whole text need none of this: they are removed by their digest.  Hashes decide what meets;
+what goes is decided by comparing bytes.
 """
 
 from __future__ import annotations
@@ -44,10 +46,10 @@ LONGEST = 127 + GRAM
 CHUNK_BYTES, SPLIT_DOCS, SPLIT_PLACES = 1 << 20, 512, 32
 #: Groups up to this size are compared by pairs.
 FEW = 5
-#: Grams that occur more often are settled by the hashes of their windows.
-HOT = 1 << 15
-#: Windows of such grams that a task reduces at once.
-WINDOWS = 1 << 20
+#: Grams that occur more often are extended to whole windows.
+HOT = 1 << 12
+#: Windows whose bytes are compared at once, and bytes of text for each partition of the exchanges.
+COMPARED, PART_BYTES = 1 << 13, 1 << 28
 _NULL_ID = (1 << 63) - 1
 #: What names a text, as rows with a null or repeated id share their id; and the found spans.
 ROW = ("ord", "t", "t2")
@@ -113,21 +115,31 @@ def _texts(column) -> list[bytes]:
     return [t or b"" for t in column.to_pylist()]
 
 
-def repeated_grams(docs: DataFrame, length: int) -> DataFrame:
-    """(t, h): anchor gram hashes that occur at two places at least, for each text digest that
-    holds them, and a row with a null t for each that occurs at more than HOT.  ``docs`` has (t, raw)."""
-    parts = parallelism(docs.sparkSession)
+def gram_lists(texts: DataFrame, length: int) -> DataFrame:
+    """(ord, t, t2, n, hs): every row with its number of bytes and the hashes of its anchors' grams."""
+    def profile(batches):
+        for batch in batches:
+            raws = _texts(batch.column(3))
+            hs, sizes = [np.zeros(0, np.int64)], np.zeros(len(raws), np.int64)
+            for _, doc, _, _, _, _, h in anchors(raws, length):
+                hs.append(h.view(np.int64))
+                sizes += np.bincount(doc, minlength=len(raws))
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(np.concatenate(hs)))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array([len(r) for r in raws], pa.int64()), lists],
+                                             names=[*ROW, "n", "hs"])
+
+    return map_batches(texts.select(*ROW, "raw"), profile, "ord bigint, t bigint, t2 bigint, n bigint, hs array<bigint>")
+
 
+def repeated_grams(docs: DataFrame, parts: int) -> DataFrame:
+    """(t, h): hashes of the lists ``hs`` of texts that occur at two places at least, for each text digest
+    ``t`` that holds them, and a row with a null t for each that occurs at more than HOT."""
     def gather(batches):
         for nth, batch in enumerate(batches):
-            t = batch.column(0).to_numpy()
-            hs, ts = [], []
-            for _, doc, _, _, _, _, h in anchors(_texts(batch.column(1)), length):
-                hs.append(h)
-                ts.append(t[doc])
-            if not hs:
+            h = batch.column(1).flatten().to_numpy().view(np.uint64)
+            d = np.repeat(batch.column(0).to_numpy(), np.diff(batch.column(1).offsets.to_numpy()))
+            if not len(h):
                 continue
-            h, d = np.concatenate(hs), np.concatenate(ts)
             order = np.lexsort((d, h))
             h, d = h[order], d[order]
             new = np.r_[True, h[1:] != h[:-1]]
@@ -173,7 +185,7 @@ def repeated_grams(docs: DataFrame, length: int) -> DataFrame:
             often = names[total > HOT].view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.nulls(len(often), pa.int64()), pa.array(often)], names=["t", "h"])
 
-    sent = map_batches(docs.select("t", "raw"), gather, "part int, h binary, t binary, times binary")
+    sent = map_batches(docs.select("t", "hs"), gather, "part int, h binary, t binary, times binary")
     return map_batches(sent.repartition(parts, "part"), meet, "t bigint, h bigint")
 
 
@@ -286,20 +298,19 @@ def repeated_spans(group: list[tuple], length: int) -> Iterator[tuple[int, ...]]
                     yield late[3], late[5], late[6], late[4] - left, late[4] - lo + length
         return
     reach = length - GRAM + 1  # offsets of the anchor in its windows: 0 .. reach - 1
-    before = np.zeros((g, reach), dtype=np.uint64)  # hash of the nearest d bytes before the anchor
-    lens = np.array([len(e[2]) for e in group])
-    for i, e in enumerate(group):
-        if e[2]:
-            before[i, 1:len(e[2]) + 1] = np.frombuffer(e[2][::-1], np.uint8)[:reach - 1].astype(np.uint64) + np.uint64(1)
-    for d in range(1, reach):
-        x = (before[:, d - 1] ^ before[:, d]) * np.uint64(0x9E3779B97F4A7C15)
-        before[:, d] = x ^ (x >> np.uint64(31))
     d = np.arange(reach)
+    lens = np.array([len(e[2]) for e in group])
+    # numbers of equal strings: to the right for offset d, from the common prefixes of the sorted suffixes,
+    # and to the left for the nearest d bytes, from those of the sorted reversed bytes
     shared = np.array([e[0] for e in group])
     shared[0] = 0
-    run = np.cumsum(shared[:, None] < length - d[None, :], axis=0).astype(np.uint64)  # equal to the right for offset d
-    key = before + (run * np.uint64(128) + d.astype(np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)
-    key ^= key >> np.uint64(30)
+    right = np.cumsum(shared[:, None] < length - d[None, :], axis=0)
+    back = [e[2][::-1] for e in group]
+    order = sorted(range(g), key=back.__getitem__)
+    near = np.array([0, *(common_prefix(back[i], back[j]) for i, j in zip(order, order[1:]))])
+    left = np.empty((g, reach), dtype=np.int64)
+    left[order] = np.cumsum(near[:, None] < d[None, :], axis=0)
+    key = (left * (g + 1) + right) * reach + d
     has = (d[None, :] <= lens[:, None]) & (d[None, :] >= length - np.array([len(e[1]) for e in group])[:, None])
     ids, places = np.array([e[3] for e in group]), np.array([e[4] for e in group])
     rank = np.lexsort((places, ids))
@@ -318,7 +329,7 @@ def repeated_spans(group: list[tuple], length: int) -> Iterator[tuple[int, ...]]
             yield int(ids[e]), *group[e][5:7], int(places[e] - hi), int(places[e] - lo + length)
 
 
-# --- grams that occur very often ---------------------------------------------------------------------
+# --- grams that occur very often: whole windows -----------------------------------------------------
 
 _BASES = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 _powers: list[tuple[np.ndarray, np.ndarray]] = []
@@ -348,69 +359,47 @@ def window_hashes(buf: np.ndarray, p: np.ndarray, length: int) -> list[np.ndarra
     return [h.view(np.int64) for h in out]
 
 
-def hot_spans(docs: DataFrame, length: int) -> DataFrame:
-    """(ord, t, t2, start, end) of repeated windows whose anchor's gram occurs very often.  ``docs``
-    has (ord, t, t2, raw, hot), the hashes of the text's grams of this kind."""
-    names = ["k1", "k2", *ROW, "start", "end"]
+def _windows_of(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(anchor, window) for all windows of anchors."""
+    many = last - first + 1
+    of = np.repeat(np.arange(len(many)), many)
+    return of, first[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
 
-    def reduce(batches):
-        found, held = [], 0
-        for batch in batches:
-            row, raws = [batch.column(i).to_numpy() for i in range(3)], _texts(batch.column(3))
-            wanted = np.unique(batch.column(4).flatten().to_numpy()).view(np.uint64)
-            for buf, doc, start, _, first, last, h in anchors(raws, length):
-                at = np.flatnonzero(np.isin(h, wanted))
-                many = (last - first + 1)[at]
-                of = np.repeat(at, many)
-                p = first[of] + np.arange(len(of)) - np.repeat(np.cumsum(many) - many, many)
-                found.append((*window_hashes(buf, p, length), *(x[doc[of]] for x in row), p - start[of]))
-                held += len(p)
-                if held >= WINDOWS:
-                    yield from earliest(found)
-                    found, held = [], 0
-        if held:
-            yield from earliest(found)
-
-    def earliest(found):
-        k1, k2, order, t, t2, place = map(np.concatenate, zip(*found))
-        by = np.lexsort((place, order, k2, k1))
-        k1, k2, order, t, t2, place = (x[by] for x in (k1, k2, order, t, t2, place))
-        new = np.r_[True, (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
-        head = np.maximum.accumulate(np.where(new, np.arange(len(k1)), 0))
-        stays = (order == order[head]) & (place == place[head])
-        yield pa.RecordBatch.from_arrays([*(pa.array(x[stays]) for x in (k1, k2, order, t, t2, place)), pa.nulls(int(stays.sum()), pa.int64())],
-                                         names=names)
-        if not stays.all():
-            order, t, t2, place = (x[~stays] for x in (order, t, t2, place))
-            by = np.lexsort((place, t2, t, order))
-            order, t, t2, place = (x[by] for x in (order, t, t2, place))
-            other = (order[1:] != order[:-1]) | (t[1:] != t[:-1]) | (t2[1:] != t2[:-1])
-            first = np.flatnonzero(np.r_[True, other | (place[1:] > place[:-1] + 1)])
-            last = np.r_[first[1:], len(place)] - 1
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (t[first], place[first], order[first], t[first], t2[first], place[first],
-                                                                    place[last] + length)], names=names)  # dealt by text
-
-    def settle(batches):
-        head = None  # the earliest place of the hash at hand, over the batches
+
+def _wanted(column: pa.Array) -> np.ndarray:
+    return np.unique(column.flatten().to_numpy()).view(np.uint64)
+
+
+def window_lists(texts: DataFrame, length: int) -> DataFrame:
+    """(t, hs): hashes of the windows whose anchor's gram occurs very often (column ``hot``)."""
+    def hashes(batches):
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            done = batch.column(6).is_valid().to_numpy(zero_copy_only=False)
-            out = [batch.filter(pa.array(done)).select(names[2:])]
-            k1, k2, order, t, t2, place = (batch.column(i).to_numpy()[~done] for i in range(6))
-            if len(k1):
-                new = np.r_[head is None or head[:2] != (k1[0], k2[0]), (k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])]
-                at = np.maximum.accumulate(np.where(new, np.arange(len(k1)), -1))
-                # entries before the first new hash belong to the head carried over
-                first_o, first_p = np.where(at < 0, head[2] if head else 0, order[at]), np.where(at < 0, head[3] if head else 0, place[at])
-                gone = (order != first_o) | (place != first_p)
-                head = k1[-1], k2[-1], first_o[-1], first_p[-1]
-                out.append(pa.RecordBatch.from_arrays([pa.array(x[gone]) for x in (order, t, t2, place, place + length)], names=names[2:]))
-            yield from out
-
-    rows = map_batches(docs.select(*ROW, "raw", "hot"), reduce, f"k1 bigint, k2 bigint, {SPANS}")
-    rows = rows.repartition(parallelism(docs.sparkSession), "k1", "k2").sortWithinPartitions("k1", "k2", "ord", "start")
-    return map_batches(rows, settle, SPANS)
+            raws, wanted = _texts(batch.column(1)), _wanted(batch.column(2))
+            ws, sizes = [np.zeros(0, np.int64)], np.zeros(len(raws), np.int64)
+            for buf, doc, _, _, first, last, h in anchors(raws, length):
+                mine = np.isin(h, wanted)
+                of, p = _windows_of(first[mine], last[mine])
+                ws.append(window_hashes(buf, p, length)[0])
+                sizes += np.bincount(doc[mine][of], minlength=len(raws))
+            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(sizes)], pa.int32()), pa.array(np.concatenate(ws)))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=["t", "hs"])
+
+    return map_batches(texts.select("t", "raw", "hot"), hashes, "t bigint, hs array<bigint>")
+
+
+def earliest_windows(buf: np.ndarray, p: np.ndarray, h: np.ndarray, place: list[np.ndarray], length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the windows at ``p`` (hashes ``h``) that stay, the earliest by ``place`` (id, place, ...) of
+    equal ones, and of those that equal one of them, byte for byte, at another id or place."""
+    by = np.lexsort((*place[::-1], h))
+    new = np.r_[True, h[by][1:] != h[by][:-1]][:len(by)]
+    head = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+    same = np.empty(len(by), bool)
+    byte = np.arange(length)
+    for a in range(0, len(by), COMPARED):
+        x, y = p[by[a:a + COMPARED]], p[head[a:a + COMPARED]]
+        same[a:a + COMPARED] = (buf[x[:, None] + byte] == buf[y[:, None] + byte]).all(axis=1)
+    same &= (place[0][by] != place[0][head]) | (place[1][by] != place[1][head])
+    return by[~same], by[same]
 
 
 # --- the distributed sort ------------------------------------------------------------------------
@@ -423,28 +412,45 @@ def _splitters(docs: DataFrame, parts: int) -> list[bytes]:
     return [keys[i * len(keys) // parts] for i in range(1, parts)] if keys else []
 
 
-def removed_spans(docs: DataFrame, length: int) -> DataFrame:
-    """(ord, t, t2, start, end): covered byte ranges of repeated windows; they may overlap.  ``docs``
-    has (ord, t, t2, raw), the first rows of every distinct text."""
-    spark = docs.sparkSession
-    parts = parallelism(spark)
-    grams = written(repeated_grams(docs, length), "suffix-grams")
+def removed_spans(texts: DataFrame, leads: DataFrame, length: int) -> DataFrame:
+    """(ord, t, t2, start, end): covered byte ranges of repeated windows; they may overlap.  ``texts`` has
+    (ord, t, t2, raw) and ``leads`` the (ord, t, t2, n, hs) of the first rows of every distinct text."""
+    parts = max(parallelism(texts.sparkSession), (leads.agg(F.sum("n").alias("n")).first()["n"] or 0) // PART_BYTES)
+    grams = written(repeated_grams(leads, parts), "suffix-grams")
     often = written(grams.filter("t is null").select("h", F.lit(True).alias("often")), "suffix-hot")
     # at most a text's own anchors
-    lists = written(grams.filter("t is not null").join(often, "h", "left").groupBy("t")
-                    .agg(F.collect_set(F.when(F.col("often").isNull(), F.col("h"))).alias("hs"),
-                         F.collect_set(F.when(F.col("often"), F.col("h"))).alias("hot")), "suffix-lists")
+    lists = (grams.filter("t is not null").join(often, "h", "left").groupBy("t")
+             .agg(F.collect_set(F.when(F.col("often").isNull(), F.col("h"))).alias("hs"),
+                  F.collect_set(F.when(F.col("often"), F.col("h"))).alias("hot")))
+    docs = written(texts.join(leads.select(*ROW).distinct().join(lists, "t"), list(ROW)).select(*ROW, "raw", "hs", "hot"), "suffix-texts")
     splits = _splitters(docs, parts)
+    crowded, none = docs.filter("size(hot) > 0"), F.lit(None).cast("array<bigint>")
+    twice = repeated_grams(written(window_lists(crowded, length), "suffix-window-lists"), parts).filter("t is not null")
+    windows = written(twice.groupBy("t").agg(F.collect_set("h").alias("windows")), "suffix-windows")
+    full = docs.withColumn("windows", none).withColumn("hot", none).unionByName(crowded.join(windows, "t").withColumn("hs", none))
 
     def sort(batches):
         for nth, batch in enumerate(batches):
             row, raws = list(zip(*(batch.column(i).to_pylist() for i in range(3)))), _texts(batch.column(3))
-            wanted = np.unique(batch.column(4).flatten().to_numpy()).view(np.uint64)
+            wanted, hot, windows = (_wanted(batch.column(i)) for i in (4, 5, 6))
+            by_gram, by_window = (batch.column(i).is_valid().to_numpy(zero_copy_only=False) for i in (4, 5))
             context: dict[tuple[bytes, bytes], dict[tuple[int, ...], None]] = {}
-            spans = []
+            spans, single = [], []
+            numbers = np.array(row, dtype=np.int64).reshape(-1, 3)
             for buf, doc, start, anchor, first, last, h in anchors(raws, length):
                 whole = buf.tobytes()
-                for i in np.flatnonzero(np.isin(h, wanted)).tolist():
+                if len(windows):
+                    mine = np.isin(h, hot) & by_window[doc]
+                    of, p = _windows_of(first[mine], last[mine])
+                    k = window_hashes(buf, p, length)[0].view(np.uint64)
+                    twice = np.isin(k, windows)
+                    of, p, k = of[twice], p[twice], k[twice]
+                    who, place = numbers[doc[mine][of]], p - start[mine][of]
+                    stay, go = earliest_windows(buf, p, k, [who[:, 0], place, who[:, 1], who[:, 2]], length)
+                    single.extend((int(k[i]) % parts, whole[p[i]:p[i] + length], *who[i, :1].tolist(), int(place[i]), *who[i, 1:].tolist())
+                                  for i in stay.tolist())
+                    spans.extend(_joined(who[go], place[go], length))
+                for i in np.flatnonzero(np.isin(h, wanted) & by_gram[doc]).tolist():
                     a, lo, hi = int(anchor[i]), int(first[i]), int(last[i])
                     order, t, t2 = row[doc[i]]
                     here = order, a - int(start[i]), t, t2
@@ -463,6 +469,8 @@ def removed_spans(docs: DataFrame, length: int) -> DataFrame:
             run = sorted((s, b, *at) for (s, b), held in context.items() for at in held)
             for part, some in groupby(run, key=lambda e: bisect_right(splits, e[0][:8])):
                 rows.append((part, front_code(list(some)), None))
+            for part, some in groupby(sorted(single), key=lambda e: e[0]):
+                rows.append((parts + part, front_code([(s, b"", *at) for _, s, *at in some]), None))
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
                                               pa.array([r[2] for r in rows], pa.binary())], names=["part", "run", "spans"])
 
@@ -474,8 +482,22 @@ def removed_spans(docs: DataFrame, length: int) -> DataFrame:
                     runs.setdefault(part, []).append(run)
                 else:
                     yield table(pickle.loads(spans))
-        for blobs in runs.values():
+        for part, blobs in runs.items():
             group, out = [], []
+            if part >= parts:  # windows: the earliest of equal ones is carried along
+                first = None
+                for same, _, _, *at in merge_runs([front_decode(b) for b in blobs]):
+                    if first is None or same < length:
+                        first = at
+                        continue
+                    first, late = min(first, at), max(first, at)
+                    if first[:2] != late[:2]:
+                        out.append((late[0], late[2], late[3], late[1], late[1] + length))
+                    if len(out) > 50_000:
+                        yield table(out)
+                        out = []
+                yield table(out)
+                continue
             for e in merge_runs([front_decode(b) for b in blobs]):
                 if e[0] < GRAM and group:
                     out.extend(repeated_spans(group, length))
@@ -490,11 +512,19 @@ def removed_spans(docs: DataFrame, length: int) -> DataFrame:
     def table(spans):
         return pa.RecordBatch.from_arrays([pa.array([s[i] for s in spans], pa.int64()) for i in range(5)], names=[*ROW, "start", "end"])
 
-    full = docs.join(lists.filter("size(hs) > 0"), "t").select(*ROW, "raw", "hs")
-    hot = docs.join(lists.filter("size(hot) > 0"), "t").select(*ROW, "raw", "hot")
-    sent = map_batches(full, sort, "part int, run binary, spans binary")
-    spans = map_batches(sent.repartition(parts, "part"), merge, SPANS)
-    return spans.unionByName(hot_spans(hot, length))
+    sent = map_batches(full.select(*ROW, "raw", "hs", "hot", "windows"), sort, "part int, run binary, spans binary")
+    return map_batches(sent.repartition(parts, "part"), merge, SPANS)
+
+
+def _joined(who: np.ndarray, place: np.ndarray, length: int) -> list[tuple[int, ...]]:
+    """(ord, t, t2, start, end) of windows, those of a text that follow one another as one."""
+    if not len(place):
+        return []
+    by = np.lexsort((place, who[:, 2], who[:, 1], who[:, 0]))
+    who, place = who[by], place[by]
+    first = np.flatnonzero(np.r_[True, (who[1:] != who[:-1]).any(axis=1) | (place[1:] > place[:-1] + 1)])
+    last = np.r_[first[1:], len(place)] - 1
+    return [(*w, a, b + length) for w, a, b in zip(who[first].tolist(), place[first].tolist(), place[last].tolist())]
 
 
 def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -512,12 +542,12 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
     src = src.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL_ID)).alias("ord"), raw.alias("raw"))
     digest = [F.xxhash64("raw").alias("t"), F.xxhash64(F.lit(1), "raw").alias("t2")]
-    firsts = written(src.select("ord", *digest).groupBy("t", "t2").agg(F.min("ord").alias("first"), F.count("*").alias("copies")), "suffix-firsts")
-    copies = written(src.select("ord", F.octet_length("raw").alias("n"), *digest)
-                     .join(firsts.filter("copies > 1"), ["t", "t2"]).filter((F.col("ord") > F.col("first")) & (F.col("n") >= length))
-                     .select(*ROW).distinct(), "suffix-copies")
     texts = src.select("ord", *digest, "raw")
-    spans = written(removed_spans(texts.join(copies, list(ROW), "left_anti"), length), "suffix-spans")
+    profile = written(gram_lists(texts, length), "suffix-profile")
+    firsts = profile.groupBy("t", "t2").agg(F.min("ord").alias("ord")).withColumn("lead", F.lit(True))
+    marked = written(profile.join(firsts, ["t", "t2", "ord"], "left").select(*ROW, "n", "hs", F.coalesce("lead", F.lit(False)).alias("lead")), "suffix-leads")
+    copies = marked.filter((~F.col("lead")) & (F.col("n") >= length)).select(*ROW).distinct()
+    spans = written(removed_spans(texts, marked.filter("lead"), length), "suffix-spans")
     lists = spans.groupBy(*ROW).agg(F.collect_list(F.struct("start", "end")).alias("cut")).unionByName(
         copies.select(*ROW, F.expr("cast(null as array<struct<start:bigint,end:bigint>>)").alias("cut")))
     full = texts.join(lists.withColumn("hit", F.lit(True)), list(ROW), "left").select("ord", "raw", "cut", F.coalesce("hit", F.lit(False)).alias("hit"))
