@@ -149,3 +149,37 @@ def test_plan_places_every_piece_once(seed):
         else:
             decreasing.append(64 - n)
     assert len(fill) <= len(decreasing) * 1.02 + 1
+
+
+def best_fit_decreasing(lengths, capacity):
+    """Sequences of the plain method: the longest piece first, into the fullest sequence with room."""
+    from bisect import bisect_left, insort
+    room = []
+    made = 0
+    for n in sorted(lengths.tolist(), reverse=True):
+        k = bisect_left(room, n)
+        left = room.pop(k) if k < len(room) else capacity
+        made += left == capacity
+        if left > n:
+            insort(room, left - n)
+    return made
+
+
+@pytest.mark.parametrize("name", ["uniform", "thirds", "halves", "1000-1900", "1100-3000", "small"])
+def test_never_worse_than_best_fit_decreasing(name):
+    rng = np.random.default_rng(3)
+    lengths = {"uniform": rng.integers(1, 4097, 8000), "thirds": np.clip(rng.normal(1365, 120, 9000).astype(int), 1, 4096),
+               "halves": np.clip(rng.normal(2048, 200, 6000).astype(int), 1, 4096), "1000-1900": rng.integers(1000, 1901, 8000),
+               "1100-3000": rng.integers(1100, 3001, 6000), "small": rng.geometric(0.002, 20000).clip(1, 4096)}[name]
+    histogram = {int(x): int(n) for x, n in zip(*np.unique(lengths, return_counts=True))}
+    plan = packing.pack_histogram(histogram)
+    assert -(-int(lengths.sum()) // 4096) <= plan.sequences <= best_fit_decreasing(lengths, 4096) * 1.005
+    rank = np.concatenate([np.arange(n) for n in histogram.values()])
+    x = np.repeat(list(histogram), list(histogram.values()))
+    seq, offset = plan.place(x, rank)
+    order = np.lexsort((offset, seq))
+    fill = {}
+    for s, o, n in zip(seq[order].tolist(), offset[order].tolist(), x[order].tolist()):
+        assert o == fill.get(s, 0)
+        fill[s] = o + n
+    assert len(fill) == plan.sequences and max(fill.values()) <= 4096

@@ -82,7 +82,18 @@ def configurations(sizes: list[int], demand: list[int], capacity: int) -> list[t
 
 def pack_histogram(histogram: dict[int, int], capacity: int = SEQ_LEN, groups: int = GROUPS,
                    large: float = LARGE) -> Plan:
-    """Pack ``{length: count}`` (lengths from 1 to ``capacity``).
+    """Pack ``{length: count}`` (lengths from 1 to ``capacity``) into as few sequences as the grouping finds.
+
+    Coarse groups waste what they round up, fine ones leave fractions of configurations over, so the
+    linear grouping is worked out with ``groups`` groups, with twice as many, and with none at all (plain
+    best fit of the falling lengths); the plan with the fewest sequences counts.
+    """
+    plans = [grouped_plan(histogram, capacity, g, large) for g in (groups, 2 * groups, 0)]
+    return min(plans, key=lambda p: p.sequences)
+
+
+def grouped_plan(histogram: dict[int, int], capacity: int, groups: int, large: float = LARGE) -> Plan:
+    """The plan of one linear grouping.
 
     Large lengths, in falling order, are cut into groups of equal cardinality and rounded up to
     their group's largest; configurations of the few sizes are optimised; the actual lengths
@@ -108,7 +119,7 @@ def pack_histogram(histogram: dict[int, int], capacity: int = SEQ_LEN, groups: i
         used[length] += n
 
     lengths = sorted((x for x in histogram if histogram[x] > 0), reverse=True)
-    big = [x for x in lengths if x > capacity * large]
+    big = [x for x in lengths if x > capacity * large] if groups else []
     total = sum(histogram[x] for x in big)
     if total:
         # runs [length, count] of each group; a length may lie in several groups

@@ -527,9 +527,12 @@ def _joined(who: np.ndarray, place: np.ndarray, length: int) -> list[tuple[int,
     return [(*w, a, b + length) for w, a, b in zip(who[first].tolist(), place[first].tolist(), place[last].tolist())]
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
+                 carry: tuple[str, ...] = (), as_text: bool = False) -> DataFrame:
     """One row per input row: id, ``n_bytes``, ``n_removed``, ``n_spans``, ``spans`` (start and
-    end of the maximal removed byte runs) and ``kept_bytes`` (what remains, concatenated).
+    end of the maximal removed byte runs) and ``kept_bytes`` (what remains, concatenated) or, with
+    ``as_text``, ``kept_text`` (the same without what a cut leaves of a character).  Columns named in
+    ``carry`` come along with their row.
 
     Ids are integers and give the order of documents.  A null or short text loses nothing; rows
     with a null id come after all others and, like rows that repeat an id, do not match each
@@ -538,11 +541,14 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     if not GRAM < length <= LONGEST:
         raise ValueError(f"length must lie between {GRAM + 1} and {LONGEST}")
     kind = docs.schema[id_col].dataType
-    src = pick(docs, id_col, text_col)
+    left = "kept_text" if as_text else "kept_bytes"
+    along = pick(docs, id_col, text_col, *(c for c in carry if c not in (id_col, text_col)))
     raw = F.coalesce(F.col(text_col), F.lit("")).cast("binary")
-    src = src.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL_ID)).alias("ord"), raw.alias("raw"))
+    src = along.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(_NULL_ID)).alias("ord"), raw.alias("raw"),
+                       F.struct(*carry).alias("carried") if carry else F.lit(None).cast("int").alias("carried"))
     digest = [F.xxhash64("raw").alias("t"), F.xxhash64(F.lit(1), "raw").alias("t2")]
     texts = src.select("ord", *digest, "raw")
+    whole = src.select("ord", *digest, "raw", "carried")
     profile = written(gram_lists(texts, length), "suffix-profile")
     firsts = profile.groupBy("t", "t2").agg(F.min("ord").alias("ord")).withColumn("lead", F.lit(True))
     marked = written(profile.join(firsts, ["t", "t2", "ord"], "left").select(*ROW, "n", "hs", F.coalesce("lead", F.lit(False)).alias("lead")), "suffix-leads")
@@ -550,7 +556,8 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     spans = written(removed_spans(texts, marked.filter("lead"), length), "suffix-spans")
     lists = spans.groupBy(*ROW).agg(F.collect_list(F.struct("start", "end")).alias("cut")).unionByName(
         copies.select(*ROW, F.expr("cast(null as array<struct<start:bigint,end:bigint>>)").alias("cut")))
-    full = texts.join(lists.withColumn("hit", F.lit(True)), list(ROW), "left").select("ord", "raw", "cut", F.coalesce("hit", F.lit(False)).alias("hit"))
+    full = whole.join(lists.withColumn("hit", F.lit(True)), list(ROW), "left").select(
+        "ord", "raw", "cut", F.coalesce("hit", F.lit(False)).alias("hit"), "carried")
 
     def cut(batches):
         for batch in batches:
@@ -568,14 +575,22 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
                             out.append((s, e))
                 n.append(len(raw)), spans.append([{"start": s, "end": e} for s, e in out]), removed.append(sum(e - s for s, e in out))
                 edges = [0, *(x for span in out for x in span), len(raw)]
-                kept.append(b"".join(raw[a:b] for a, b in zip(edges[::2], edges[1::2])))
+                pieces = [raw[a:b] for a, b in zip(edges[::2], edges[1::2])]
+                if not as_text:
+                    kept.append(b"".join(pieces))
+                elif out:  # a cut may part the bytes of a character; elsewhere the text is sound
+                    kept.append("".join(p.decode("utf-8", "ignore") for p in pieces))
+                else:
+                    kept.append(raw.decode("utf-8", "replace"))
             place = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array([len(s) for s in spans], pa.int64()),
-                 pa.array(spans, pa.list_(place)), pa.array(kept, pa.binary())],
-                names=["ord", "n_bytes", "n_removed", "n_spans", "spans", "kept_bytes"])
+                 pa.array(spans, pa.list_(place)), pa.array(kept, pa.string() if as_text else pa.binary()),
+                 batch.column(4)], names=["ord", "n_bytes", "n_removed", "n_spans", "spans", left, "carried"])
 
     out = map_batches(full, cut, "ord bigint, n_bytes bigint, n_removed bigint, n_spans bigint, "
-                                 "spans array<struct<start:bigint,end:bigint>>, kept_bytes binary")
+                                 f"spans array<struct<start:bigint,end:bigint>>, {left} {'string' if as_text else 'binary'}, "
+                                 f"carried {whole.schema['carried'].dataType.simpleString()}")
     name = F.when(F.col("ord") < _NULL_ID, F.col("ord")).cast(kind).alias(id_col)
-    return out.select(name, "n_bytes", "n_removed", "n_spans", "spans", "kept_bytes")
+    along = [F.col("carried")[c].alias(c) for c in carry if c != id_col]
+    return out.select(name, "n_bytes", "n_removed", "n_spans", "spans", left, *along)
