@@ -1,7 +1,9 @@
 """The corpus pipeline: documents pass the stages in order, each written and read again.
 
 ``STAGES`` names the stages, ``run`` applies them to the table ``documents``.  Every stage takes
-``(spark, docs, sf_dir)``; all but the last return the columns of ``documents``.
+``(spark, docs, sf_dir)``; all but the last return the columns of ``documents``.  Every row is decided on its
+own: rows travel through an operator whole, or are numbered for it, so rows without an id, or that
+repeat one, do not share each other's fate.
 """
 
 from __future__ import annotations
@@ -9,22 +11,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import pick, table, written
+from tidewater.llm.common import numbered, pick, table, written
 from tidewater.llm.exact_dedup import exact_dedup
-from tidewater.llm.language_crf import UNKNOWN, language_id
+from tidewater.llm.language_crf import UNKNOWN, predict, train, training_segments
 from tidewater.llm.near_dedup import near_dedup
 from tidewater.llm.packing import pack
 from tidewater.llm.suffix_dedup import suffix_dedup
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-
-
-def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
-    """The documents whose id is decided to be kept."""
-    ids = decided.filter("kept").select(F.col("doc_id").alias("kept_id"))
-    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["kept_id"]), "left_semi")
-
-
 #: A document whose language is less probable than this is rejected.
 LEAST_SCORE = 0.5
 
@@ -32,35 +26,39 @@ LEAST_SCORE = 0.5
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: documents without a letter, or whose words agree on no language, go."""
     docs = pick(docs, *COLUMNS)
-    found = language_id(docs)
-    kept = (F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)
-    return _kept(docs, found.select("doc_id", kept.alias("kept")))
+    segments = training_segments(docs, "doc_id", "text", "lang")
+    whole = docs.select(F.struct(*COLUMNS).alias("doc"), "text")
+    found = predict(whole, train(segments) if segments else None, "doc", "text")
+    return found.filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select("doc.*")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: of equal texts the one with the largest id stays."""
-    docs = pick(docs, *COLUMNS)
-    return _kept(docs, exact_dedup(docs))
+    """Operator 9: of equal texts the row with the largest id stays, of rows that repeat it one; a row
+    without an id stays only if all rows of its text have none."""
+    docs = numbered(pick(docs, *COLUMNS), "_row", "pipeline-rows")
+    found = exact_dedup(docs.select(F.struct("doc_id", "_row").alias("id"), "text"), id_col="id")
+    kept = found.filter("kept").select(F.col("doc_id._row").alias("_row"))
+    return docs.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: the smallest id of every group of near copies stays, and documents without an
-    id, which take no part."""
-    docs = pick(docs, *COLUMNS)
-    return _kept(docs, near_dedup(docs).select("doc_id", (F.col("kept") | F.col("doc_id").isNull()).alias("kept")))
+    """Operator 4: of every group of near copies the row with the smallest id stays; documents without
+    an id take no part and stay."""
+    docs = numbered(pick(docs, *COLUMNS), "_row", "pipeline-rows")
+    named = docs.filter("doc_id is not null")
+    found = near_dedup(named.select("_row", "text"), id_col="_row").select("_row", "component_id")
+    first = found.join(named.select("_row", "doc_id"), "_row").groupBy("component_id").agg(F.min(F.struct("doc_id", "_row")).alias("first"))
+    kept = first.select("first._row").unionByName(docs.filter("doc_id is null").select("_row"))
+    return docs.join(kept, "_row", "left_semi").select(*COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: repeated byte strings are cut out of the texts and ``n_chars`` follows; bytes of
     a character cut in two go with it.  Every document stays, if only with an empty text."""
-    docs = pick(docs, *COLUMNS)
-    cut = suffix_dedup(docs).filter("n_removed > 0")
-    whole = F.make_valid_utf8(F.col("kept_bytes").cast("string"))
-    cut = cut.select(F.col("doc_id").alias("cut_id"), F.translate(whole, "\ufffd", "").alias("cut_text"))
-    left = docs.join(cut, docs["doc_id"].eqNullSafe(cut["cut_id"]), "left")
-    changed = F.col("cut_text").isNotNull()
-    return left.select("doc_id", F.when(changed, F.col("cut_text")).otherwise(F.col("text")).alias("text"), "lang", "source",
-                       F.when(changed, F.char_length("cut_text").cast("bigint")).otherwise(F.col("n_chars")).alias("n_chars"))
+    docs = pick(docs, *COLUMNS).withColumn("_none", F.col("text").isNull())
+    cut = suffix_dedup(docs, carry=("lang", "source", "n_chars", "_none"), as_text=True)
+    length = F.when(F.col("n_removed") > 0, F.char_length("kept_text").cast("bigint")).otherwise(F.col("n_chars"))
+    return cut.select("doc_id", F.when(~F.col("_none"), F.col("kept_text")).alias("text"), "lang", "source", length.alias("n_chars"))
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
