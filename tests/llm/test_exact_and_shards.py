@@ -87,5 +87,45 @@ def test_shard_traps(trap_docs, tmp_path, spark):
     assert spark.read.parquet(str(tmp_path / "out")).count() == docs.count()
 
 
+def test_sources_with_a_common_start_are_told_apart(spark):
+    """Text dimensions are cut by whole values, however long their common beginning."""
+    rows = [(i, f"text {i}", "en", f"https://example.org/crawl/{i % 16:02d}", 10) for i in range(1600)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    at = sharding.hilbert_shards(docs, dimensions=("source",)).join(docs.select("doc_id", "source"), "doc_id").collect()
+    held = {}
+    for r in at:
+        held.setdefault(r.shard, set()).add(r.source)
+    assert max(map(len, held.values())) <= 2 and sum(map(len, held.values())) <= 31
+
+
+def test_shard_digests_and_law(spark, duck):
+    import zlib
+    texts = dict(duck.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall())
+    rows = QUERIES["op10_hilbert_shards"](spark, SMALL).collect()
+    assert all(r.text_crc32 == zlib.crc32(texts[r.doc_id].encode()) and r.law == "rows" and r.grown_shard is None for r in rows)
+
+
+def test_rows_find_their_entries_through_the_directory(spark, docs_of, monkeypatch):
+    docs = docs_of([(i, f"text {i % 40}") for i in range(200)])
+    depth, cells, index = exact_dedup.build_index(docs, capacity=4)
+    assert cells.count() > 1 and index.select("bucket").distinct().count() > 1
+    assert {r.local_depth for r in cells.collect()} <= set(range(depth + 1)) and cells.agg({"n": "sum"}).first()[0] == 200
+    assert exact_dedup.exact_dedup(docs, capacity=4).count() == 200
+    real = exact_dedup.build_index
+
+    def astray(*args):
+        depth, cells, index = real(*args)
+        return depth, cells.withColumn("bucket", cells.bucket + 1), index
+
+    monkeypatch.setattr(exact_dedup, "build_index", astray)
+    assert exact_dedup.exact_dedup(docs, capacity=4).count() == 0
+
+
+def test_a_text_that_most_rows_share(spark, docs_of):
+    docs = docs_of([(i, "hot" if i % 3 else f"text {i}") for i in range(6000)])
+    got = {r.doc_id: (r.keep_id, r.group_size) for r in exact_dedup.exact_dedup(docs).collect()}
+    assert len(got) == 6000 and got[1] == (5999, 4000) and got[3] == (3, 1)
+
+
 def test_entry_lists_the_queries():
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())

@@ -34,6 +34,34 @@ def test_forward_backward_equals_enumeration():
     assert np.allclose(post, want / want.sum(axis=1, keepdims=True))
 
 
+def test_segments_of_a_text_are_one_chain(monkeypatch):
+    """Probabilities do not depend on where a text is cut into segments."""
+    rng = np.random.default_rng(2)
+    words = [f"w{i}" for i in range(40)]
+    crf = language_crf.Crf(["a", "b", "c"], rng.normal(size=(language_crf.FEATURES, 3)).astype(np.float32) * 0.2, rng.normal(size=(3, 3)), {})
+    texts = [[words[i] for i in rng.integers(0, 40, n)] for n in (0, 1, 5, 6, 7, 61, 200)]
+    whole = []
+    for size in (1000, 64, 6, 1):
+        monkeypatch.setattr(language_crf, "SEGMENT", size)
+        whole.append(language_crf.Labeller(crf).posteriors(texts))
+    for other in whole[1:]:
+        for x, y in zip(whole[0], other):
+            assert x.shape == y.shape and np.allclose(x, y, atol=2e-4)
+
+
+def test_words_are_letters_and_all_of_them():
+    assert language_crf.words_of("½ ² Ⅷ 12 ٣ _") == [] and language_crf.words_of("x² Ⅷa 9é") == ["x", "a", "é"]
+    run = "".join(chr(0x4E00 + i) for i in range(1000))
+    assert "".join(language_crf.words_of(run)) == run and max(map(len, language_crf.words_of(run))) == 40
+    crf = language_crf.Crf(["a"], np.zeros((language_crf.FEATURES, 1), np.float32), np.zeros((1, 1)), {})
+    long = ["x" * 20 + c + "y" * 19 for c in "ab"]
+    assert crf.features(long[0]) != crf.features(long[1])
+
+
+def test_the_shape_of_a_whole_token_counts():
+    assert quality_nbsvm._shape("ab1-" * 15) != quality_nbsvm._shape("ab1-" * 14 + "zz99")
+
+
 def test_code_switched_words_and_traps(spark, docs_of, trap_docs):
     docs = spark.read.parquet(f"{MID}/documents.parquet")
     segments = language_crf.training_segments(docs, "doc_id", "text", "lang")
@@ -44,8 +72,13 @@ def test_code_switched_words_and_traps(spark, docs_of, trap_docs):
     assert [s.label for s in by[1].spans][0] == "de" and [s.label for s in by[1].spans][-1] == "fr"
     assert sum(s.n_words for s in by[1].spans) == 40 and len(by[1].spans) <= 6
     assert all((by[i].lang_pred, by[i].score, by[i].spans) == ("und", 0.0, []) for i in (2, 3, 4))
-    out = language_crf.language_id(trap_docs.withColumn("score", trap_docs.doc_id))
-    assert out.count() == trap_docs.count()
+    out = language_crf.language_id(trap_docs.withColumn("score", trap_docs.doc_id)).collect()
+    got = sorted(((r.doc_id or 0, r.held_out, r.lang_pred, r.score > 0) for r in out))
+    letterless = {2, 3, 7}
+    assert got == sorted((i or 0, i is not None and out_fold(i), "und" if i in letterless else "en", i not in letterless)
+                         for i in (1, 2, 3, 4, 5, 6, None, 7, 8, 9, 9, 10))
+    none = language_crf.language_id(docs_of([(1, "½ ²"), (2, "Ⅷ")]).unionByName(docs)).filter("doc_id < 3 and score = 0").collect()
+    assert [r.lang_pred for r in none] == ["und", "und"]
     assert language_crf.language_id(trap_docs.limit(0)).count() == 0
 
 

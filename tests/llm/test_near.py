@@ -131,3 +131,21 @@ def test_low_estimate_does_not_drop_a_link():
     both = np.arange(2)
     args = both + 5, both, np.array([56, 48]), regs, 0, both, both, texts, 5, 75
     assert near_dedup._cell_links(*args) == [(6, 5)]
+
+
+def test_the_likeliest_partners_are_verified_first(monkeypatch):
+    """Every candidate gets an estimate, and those verified come in its order."""
+    words = [f"w{i}" for i in range(60)]
+    texts = np.array([" ".join(words), " ".join(words[:50] + ["x"] * 3), " ".join(words[:59])], dtype=object)
+    regs = np.stack([np.arange(64), np.r_[np.arange(40), np.arange(100, 124)], np.r_[np.arange(62), 200, 201]]).astype(np.uint16)
+    seen, real = [], near_dedup.estimate
+
+    def watched(share, a, b):
+        seen.append((share.tolist(), real(share, a, b).tolist()))
+        return real(share, a, b)
+
+    monkeypatch.setattr(near_dedup, "estimate", watched)
+    three = np.arange(3)
+    links = near_dedup._cell_links(three + 5, three, np.array([56, 49, 55]), regs, 0, three, three, texts, 5, 75)
+    assert links[0] == (7, 5) and links[1] == (6, 5) and len(links) == 2
+    assert seen[0][0] == [40 / 64, 62 / 64] and seen[0][1][0] < seen[0][1][1]

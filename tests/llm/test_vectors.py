@@ -70,3 +70,36 @@ def test_probes_come_in_order_of_success():
     probes = list(hashing._perturbed(int(hashing.keys(np.floor(hashing.cells(x)))[0, 0]), np.array([0.1, 0.5, 0.8, 0.3, 0.9, 0.4]), 6))
     assert [p[0] for p in probes] == sorted(p[0] for p in probes)
     assert len({p[1] for p in probes}) == len(probes) == 3**6
+
+
+def test_queries_far_from_the_mass_are_answered_in_full(spark):
+    """Some queries lie fifteen times further out, others in a small cluster of other norms."""
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=16) * (15 if i in (0, 1000, 2000) else 0.01 if i % 700 == 3 else 1)).tolist()) for i in range(2999)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    queries = [i for i, _ in rows if i % 100 == 0 or i % 700 == 3]
+    out = vector_search.nearest(df, df.filter("vec_id % 100 = 0 or vec_id % 700 = 3")).collect()
+    want = brute(rows, queries)
+    assert len(out) == 10 * len(queries) and recall(out, want) >= 0.9
+    for q in (0, 1000, 2000):
+        assert [r.vec_id for r in sorted(out, key=lambda r: r["rank"]) if r.query_id == q] == [i for i, _ in want[q]]
+
+
+def test_few_vectors_are_searched_in_full(spark):
+    rows = [(i, [float(i), 1.0, -2.0 * i]) for i in range(12)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    out = vector_search.nearest(df, df).collect()
+    assert recall(out, brute(rows, range(12))) == 1.0
+
+
+def test_far_cells_have_keys_of_their_own():
+    x = np.random.default_rng(0).normal(size=(50, 8))
+    hashing = vector_search.fit(x, 5)
+    cells = np.floor(hashing.cells(np.concatenate([x, x * 1e6, x * 1e9])))
+    assert len(np.unique(hashing.keys(cells)[:, 0])) == len(np.unique(cells[:, 0], axis=0))
+    one = hashing.cells(x[:1])
+    near = dict((key, score) for score, key in hashing._perturbed(int(hashing.keys(np.floor(one))[0, 1]), (one - np.floor(one))[0, 1], 6, 1))
+    for f in range(6):
+        moved = np.floor(one)
+        moved[0, 1, f] += 1
+        assert int(hashing.keys(moved)[0, 1]) in near

@@ -3,8 +3,12 @@
 Every word of a text is labelled: emissions are sums of weights of its affixes, character n-grams
 and lexicon entries, transitions between the languages of neighbouring words are learned, and
 forward-backward gives each word's label probabilities, so code-switched text gets a label a word.
-A chain is a segment of up to SEGMENT words; a text's language is the one with the largest mean
-probability over all words of all its segments.
+A text is one chain: its segments of up to SEGMENT words are worked through side by side, with the
+messages that segments pass to their neighbours worked out first from each segment's transfer matrix.
+A text's language is the one with the largest mean probability over all its words.
+
+Words are runs of letters in lower case; a run of more than LONGEST letters, as in scripts without spaces, is
+cut into words of that length, so every letter counts.
 
 Training sequences come from a bounded sample of labelled documents: segments spread over the whole text,
 half of them spliced with a segment of another language, which is where transitions are learned.
@@ -32,11 +36,18 @@ EPOCHS, BATCH, RATE, DECAY = 3, 64, 0.4, 1e-6
 WORD_CACHE, ROWS = 400_000, 4096
 UNKNOWN = "und"
 
-_WORD = re.compile(r"[^\W\d_]+")
+#: Letters of one word at most.
+LONGEST = 40
+# numerals that are word characters but neither letters nor decimal digits, such as fractions and Roman numbers
+_NUMERALS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
+_WORD = re.compile(rf"[^\W\d_{_NUMERALS}]+")
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    out = _WORD.findall(text.lower())
+    if any(len(w) > LONGEST for w in out):
+        out = [w[i:i + LONGEST] for w in out for i in range(0, len(w), LONGEST)]
+    return out
 
 
 @dataclass
@@ -47,7 +58,7 @@ class Crf:
     lexicon: dict[str, list[int]]  # word: languages whose frequent words hold it
 
     def features(self, word: str) -> list[int]:
-        w = word if len(word) <= 40 else word[:20] + word[-20:]
+        w = word
         f = [f"^{w[:k]}" for k in (1, 2, 3)] + [f"{w[-k:]}$" for k in (1, 2, 3)]
         f += [w[i:i + k] for k in (2, 3) for i in range(len(w) - k + 1)]
         f += [f"={w}", *(f"#{i}" for i in self.lexicon.get(word, ()))]
@@ -63,25 +74,68 @@ class Crf:
         return np.add.reduceat(self.weights[flat], np.cumsum(sizes) - sizes, axis=0)
 
 
-def forward_backward(log_e: np.ndarray, lengths: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def forward_backward(log_e: np.ndarray, lengths: np.ndarray, transitions: np.ndarray, enter: np.ndarray | None = None,
+                     leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Scaled forward and backward variables of chains (chains x steps x labels, padded behind
     ``lengths``) and the scaled emissions; the product of the first two, normalised, is each
-    step's label distribution."""
+    step's label distribution.  ``enter`` (what reaches a chain's first label, transition included) and
+    ``leave`` (what comes back to its last) carry the chains that it continues; ones for a chain of its own."""
     n, steps, k = log_e.shape
     e = np.exp(log_e - log_e.max(axis=2, keepdims=True))
     a = np.exp(transitions).astype(e.dtype)
     alpha, beta = np.empty_like(e), np.ones_like(e)
-    alpha[:, 0] = e[:, 0] / e[:, 0].sum(axis=1, keepdims=True)
+    if leave is not None:
+        beta *= leave[:, None, :].astype(e.dtype)
+    first = e[:, 0] if enter is None else e[:, 0] * enter.astype(e.dtype)
+    alpha[:, 0] = first / first.sum(axis=1, keepdims=True)
     for t in range(1, steps):
         x = (alpha[:, t - 1] @ a) * e[:, t]
         alpha[:, t] = x / x.sum(axis=1, keepdims=True)
     for t in range(steps - 2, -1, -1):
         x = (e[:, t + 1] * beta[:, t + 1]) @ a.T
         x /= x.sum(axis=1, keepdims=True)
-        beta[:, t] = np.where((t + 1 < lengths)[:, None], x, 1)
+        beta[:, t] = np.where((t + 1 < lengths)[:, None], x, beta[:, t])
     return alpha, beta, e
 
 
+def transfer(log_e: np.ndarray, transitions: np.ndarray) -> np.ndarray:
+    """Scaled transfer matrices (chains x labels x labels) of full segments: from each label entered
+    with, transition included, to the last label."""
+    e = np.exp(log_e - log_e.max(axis=2, keepdims=True))
+    a = np.exp(transitions).astype(e.dtype)
+    m = np.eye(e.shape[2], dtype=e.dtype)[None] * e[:, 0, None, :]
+    for t in range(1, e.shape[1]):
+        m = (m @ a) * e[:, t, None, :]
+        m /= m.max(axis=(1, 2), keepdims=True)
+    return m
+
+
+def messages(full: np.ndarray, last: np.ndarray, nth: np.ndarray, count: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What enters and leaves the segments of texts.  Segments lie text after text, ``nth`` in their text
+    of ``count``; ``full`` has the transfer matrices (unused for a text's last one), ``last`` (segments x
+    labels) what a text's last segment sends back to its first label."""
+    n, k = last.shape
+    a = np.exp(transitions)
+    enter, leave = np.ones((n, k)), np.ones((n, k))
+    by_step = np.argsort(nth, kind="stable")
+    cuts = np.searchsorted(nth[by_step], np.arange(nth.max() + 2)) if n else [0]
+    for s in range(1, len(cuts) - 1):
+        at = by_step[cuts[s]:cuts[s + 1]]
+        x = (enter[at - 1][:, None, :] @ full[at - 1])[:, 0] @ a
+        enter[at] = x / x.sum(axis=1, keepdims=True)
+    back = count - 1 - nth
+    by_step = np.argsort(back, kind="stable")
+    cuts = np.searchsorted(back[by_step], np.arange(back.max() + 2)) if n else [0]
+    sent = last.astype(float).copy()  # what a segment sends back to its own first label
+    for s in range(1, len(cuts) - 1):
+        at = by_step[cuts[s]:cuts[s + 1]]
+        x = sent[at + 1] @ a.T
+        leave[at] = x / x.sum(axis=1, keepdims=True)
+        x = (full[at] @ leave[at][:, :, None])[:, :, 0]
+        sent[at] = x / x.sum(axis=1, keepdims=True)
+    return enter, leave
+
+
 def train(segments: dict[str, list[list[str]]], seed: int = 11) -> Crf:
     """Fit by stochastic gradient ascent (adaptive steps) on the chains' log likelihood.
     ``segments``: word lists by language."""
@@ -178,11 +232,23 @@ class Labeller:
         out = [np.zeros((0, k), np.float32) for _ in texts]
         if not owners:
             return out
-        rows, lengths = np.concatenate(rows), np.array(lengths)
+        rows, lengths, owners = np.concatenate(rows), np.array(lengths), np.array(owners)
+        count = np.bincount(owners, minlength=len(texts))[owners]
+        nth = np.arange(len(owners)) - np.searchsorted(owners, owners)
+        full, last = np.empty((len(rows), k, k), np.float32), np.ones((len(rows), k))
+        several = count > 1
+        for at in range(0, len(rows), ROWS):
+            inner = at + np.flatnonzero(several[at:at + ROWS] & (nth < count - 1)[at:at + ROWS])
+            full[inner] = transfer(self.table[rows[inner]], self.crf.transitions) if len(inner) else 0
+            final = at + np.flatnonzero(several[at:at + ROWS] & (nth == count - 1)[at:at + ROWS])
+            if len(final):
+                _, beta, e = forward_backward(self.table[rows[final]], lengths[final], self.crf.transitions)
+                last[final] = e[:, 0] * beta[:, 0]
+        enter, leave = messages(full, last, nth, count, self.crf.transitions)
         parts: list[list[np.ndarray]] = [[] for _ in texts]
         for at in range(0, len(rows), ROWS):
             some = lengths[at:at + ROWS]
-            alpha, beta, _ = forward_backward(self.table[rows[at:at + ROWS]], some, self.crf.transitions)
+            alpha, beta, _ = forward_backward(self.table[rows[at:at + ROWS]], some, self.crf.transitions, enter[at:at + ROWS], leave[at:at + ROWS])
             post = alpha * beta
             post /= post.sum(axis=2, keepdims=True)
             for r, (owner, n) in enumerate(zip(owners[at:at + ROWS], some)):

@@ -31,7 +31,7 @@ _tokens: dict[str, tuple[int, int]] = {}
 def _shape(token: str) -> str:
     s = re.sub(r"[^\W\d_]", "x", re.sub(r"\d", "9", token)) if not token.isalpha() else "x" * len(token)
     case = "U" if token.isupper() else "T" if token[:1].isupper() else "l"
-    return f"{case}{re.sub(r'(.)(?=\1\1)', '', s[:40])}{min(len(token), 8)}"
+    return f"{case}{re.sub(r'(.)(?=\1\1)', '', s)}{min(len(token), 8)}"
 
 
 def features(text: str) -> np.ndarray:

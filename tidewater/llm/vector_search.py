@@ -8,7 +8,8 @@ exact distances.
 
 Equal vectors are one entry with their smallest ids, so a vector that a third of all rows share
 costs one comparison, and buckets larger than BLOCK are split, so no task holds more than its
-share.
+share.  A query whose buckets hold fewer than k others, far from the mass or in a table of few
+vectors, is compared with all rows, part by part.
 """
 
 from __future__ import annotations
@@ -27,9 +28,7 @@ TABLES, FUNCTIONS, WIDTH = 3, 6, 1.5
 #: Distinct vectors and queries that the cell width and the number of probes are fitted on, and
 #: the recall aimed at there (neighbours in a sample are further away, so all rows reach more).
 SAMPLE, SAMPLE_QUERIES, RECALL = 2048, 64, 0.96
-#: Below so many distinct vectors there is one bucket.
-ONE_BUCKET = 256
-BLOCK, MOST_PROBES = 20_000, 1500
+BLOCK = 20_000
 #: Entries of a part: a query's results are gathered from every part that it visits, so parts are
 #: not made smaller than the first, nor larger than the second.
 PART_LEAST, PART_MOST = 5_000, 100_000
@@ -42,19 +41,17 @@ class Hashing:
     shifts: np.ndarray
     width: float
     probes: int
+    names: np.ndarray  # tables x functions: odd 64-bit numbers; a bucket's key is their sum weighted by its cells
 
     def cells(self, x: np.ndarray) -> np.ndarray:
         """Real-valued cells (rows x tables x functions)."""
         return np.einsum("nd,tfd->ntf", x, self.directions) / self.width + self.shifts
 
     def keys(self, cells: np.ndarray) -> np.ndarray:
-        """Bucket keys (rows x tables) of whole cells: table and cells in one integer."""
-        tables, functions = cells.shape[1:]
-        c = np.clip(cells, -128, 127).astype(np.int64) + 128
-        key = np.broadcast_to(np.arange(tables, dtype=np.int64), c.shape[:2]).copy()
-        for f in range(functions):
-            key = (key << 8) | c[:, :, f]
-        return key
+        """Bucket keys (rows x tables) of whole cells, modulo 2^64: cells of any size have a key, and
+        one cell further in a function adds that function's number."""
+        table = np.arange(cells.shape[1], dtype=np.uint64) * np.uint64(0xD1B54A32D192ED03)
+        return ((cells.astype(np.int64).view(np.uint64) * self.names).sum(axis=2, dtype=np.uint64) + table).view(np.int64)
 
     def probe_keys(self, x: np.ndarray, most: int) -> list[list[int]]:
         """For each row the keys of the buckets to visit, in estimated order of success."""
@@ -64,16 +61,16 @@ class Hashing:
         functions = real.shape[2]
         out = []
         for n in range(len(x)):
-            sequences = [self._perturbed(int(own[n, t]), at[n, t], functions) for t in range(real.shape[1])]
+            sequences = [self._perturbed(int(own[n, t]), at[n, t], functions, t) for t in range(real.shape[1])]
             merged = heapq.merge(*sequences)
             out.append([key for _, (_, key) in zip(range(most), merged)])
         return out
 
-    @staticmethod
-    def _perturbed(own: int, at: np.ndarray, functions: int):
+    def _perturbed(self, own: int, at: np.ndarray, functions: int, table: int = 0):
         """(score, key) in rising order: sets of border crossings, grown from the cheapest one by
         exchanging the last crossing for the next dearer or adding that."""
         yield 0.0, own
+        add = self.names[table].astype(object)
         moves = sorted([(float(at[f]) ** 2, f, -1) for f in range(functions)]
                        + [((1 - float(at[f])) ** 2, f, 1) for f in range(functions)])
         heap = [(moves[0][0], (0,))] if moves else []
@@ -85,31 +82,29 @@ class Hashing:
                 heapq.heappush(heap, (score + moves[z + 1][0], chosen + (z + 1,)))
             crossed = [moves[c][1] for c in chosen]
             if len(set(crossed)) == len(crossed):
-                yield score, own + sum(moves[c][2] << (8 * (functions - 1 - moves[c][1])) for c in chosen)
+                key = (own + sum(moves[c][2] * add[moves[c][1]] for c in chosen)) % (1 << 64)
+                yield score, key - ((key >> 63) << 64)
 
 
-def fit(sample: np.ndarray, k: int, n: int, seed: int = 7) -> Hashing:
+def fit(sample: np.ndarray, k: int, seed: int = 7) -> Hashing:
     """Directions, cell width and number of probes from a bounded sample of distinct vectors."""
     rng = np.random.default_rng(seed)
     dim = sample.shape[1]
-    functions = FUNCTIONS if n > ONE_BUCKET else 0
     width = WIDTH * float(np.sqrt(sample.var(axis=0).sum())) or 1.0
-    hashing = Hashing(rng.normal(size=(TABLES if functions else 1, functions, dim)), rng.uniform(size=(TABLES if functions else 1, functions)),
-                      width, MOST_PROBES)
-    if not functions:
-        hashing.probes = 1
-        return hashing
+    every = TABLES * 3**FUNCTIONS  # all buckets one cell off
+    names = rng.integers(0, 1 << 63, (TABLES, FUNCTIONS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    hashing = Hashing(rng.normal(size=(TABLES, FUNCTIONS, dim)), rng.uniform(size=(TABLES, FUNCTIONS)), width, every, names)
     keys = hashing.keys(np.floor(hashing.cells(sample)))
     queries = sample[:SAMPLE_QUERIES]
-    visits = hashing.probe_keys(queries, MOST_PROBES)
     needed = []
-    for q, (x, probes) in enumerate(zip(queries, visits)):
+    for q, (x, probes) in enumerate(zip(queries, hashing.probe_keys(queries, every))):
         near = np.argsort(((sample - x) ** 2).sum(axis=1), kind="stable")
-        when = {key: i for i, key in enumerate(probes)}
+        when = {key: i for i, key in reversed(list(enumerate(probes)))}
         for c in [c for c in near if c != q][:k]:
-            needed.append(min(when.get(int(key), MOST_PROBES) for key in keys[c]))
+            needed.append(min(when.get(int(key), every) for key in keys[c]))
     needed.sort()
-    hashing.probes = min(MOST_PROBES, needed[int(len(needed) * RECALL)] + 1)
+    if needed:
+        hashing.probes = min(every, needed[int(len(needed) * RECALL)] + 1)
     return hashing
 
 
@@ -151,7 +146,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
                            .select(F.col("ids")[0].alias("rid"), "v", "ids"), "vector-distinct")
     n = distinct.count()
     sample = distinct.select("v").orderBy(F.xxhash64("rid"), "rid").limit(SAMPLE).collect()
-    hashing = fit(np.array([r.v for r in sample], dtype=np.float64), k, n)
+    hashing = fit(np.array([r.v for r in sample], dtype=np.float64), k)
     asked = written(sound(queries).filter(F.size("v") == dim).distinct(), "vector-queries")
     searched = asked.select("v").distinct().join(distinct.select("v", F.col("rid").alias("qid")), "v")
 
@@ -178,9 +173,13 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
               .select("qid", "bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
               .select("qid", "bucket", part(F.col("block"))).groupBy("qid", "part").agg(F.collect_set("bucket").alias("buckets")))
     asking = visits.join(searched, "qid").select("part", "buckets", F.col("qid").alias("rid"), "v")
-    both = (stored.select("part", F.array("bucket").alias("buckets"), "rid", "v", F.lit(0).alias("kind"))
-                  .unionByName(asking.withColumn("kind", F.lit(1)))
-                  .repartition(parts, "part").sortWithinPartitions("part", "kind", "buckets", "rid"))
+
+    def met(stored: DataFrame, asking: DataFrame, parts: int) -> DataFrame:
+        """Entries (part, bucket, rid, v) and queries (part, buckets, rid, v), brought together by part."""
+        both = (stored.select("part", F.array("bucket").alias("buckets"), "rid", "v", F.lit(0).alias("kind"))
+                      .unionByName(asking.withColumn("kind", F.lit(1)))
+                      .repartition(parts, "part").sortWithinPartitions("part", "kind", "buckets", "rid"))
+        return map_batches(both, search, f"qid {id_type}, rid {id_type}, score double")
 
     def search(batches):
         now, store, made = None, [], None
@@ -206,9 +205,12 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
                 keys, rids, x, codes = made
                 out_q, out_r, out_d = [], [], []
                 for i, (q, wanted) in enumerate(zip(_matrix(piece.column(3)), piece.column(1).to_pylist())):
-                    wanted = np.array(wanted)
-                    lo, hi = np.searchsorted(keys, wanted, "left"), np.searchsorted(keys, wanted, "right")
-                    at = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)] or [np.array([], int)])
+                    if wanted is None:  # every entry of the part
+                        at = np.arange(len(keys))
+                    else:
+                        wanted = np.array(wanted)
+                        lo, hi = np.searchsorted(keys, wanted, "left"), np.searchsorted(keys, wanted, "right")
+                        at = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi)] or [np.array([], int)])
                     if not len(at):
                         continue
                     at = at[np.unique(codes[at], return_index=True)[1]]  # once, if found in several tables
@@ -220,7 +222,17 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "
                     yield pa.RecordBatch.from_arrays([piece.column(2).take(pa.array(np.concatenate(out_q))), rids.take(pa.array(np.concatenate(out_r))),
                                                       pa.array(np.concatenate(out_d))], names=["qid", "rid", "score"])
 
-    found = map_batches(both, search, f"qid {id_type}, rid {id_type}, score double").groupBy("qid", "rid").agg(F.min("score").alias("score"))
+    hashed = written(met(stored, asking, parts), "vector-hashed")
+    enough = hashed.groupBy("qid").agg(F.count_distinct("rid").alias("n")).filter(F.col("n") > k).select("qid")
+    short = written(searched.join(enough, "qid", "left_anti"), "vector-short")
+    found = hashed
+    if not short.isEmpty():  # too few found: against all rows, each part of which sees these queries
+        whole = max(1, min(max(parallelism(spark), n // PART_MOST), n // PART_LEAST))
+        rows_of = distinct.select(F.pmod(F.xxhash64("rid"), F.lit(whole)).cast("int").alias("part"), F.lit(0).cast("bigint").alias("bucket"), "rid", "v")
+        asks = short.select(F.explode(F.sequence(F.lit(0), F.lit(whole - 1))).alias("part"), F.lit(None).cast("array<bigint>").alias("buckets"),
+                            F.col("qid").alias("rid"), "v")
+        found = hashed.unionByName(met(rows_of, asks, whole))
+    found = found.groupBy("qid", "rid").agg(F.min("score").alias("score"))
     best = lambda by, *order: F.row_number().over(Window.partitionBy(by).orderBy(*order))
     found = found.withColumn("nth", best("qid", "score", "rid")).filter(F.col("nth") <= k + 1).drop("nth")
     listed = (found.join(distinct.select("rid", "ids"), "rid").select("qid", "score", F.explode("ids").alias("id"))
