@@ -33,19 +33,19 @@ SEGMENT = 64
 TRAIN_DOCS, TRAIN_SEGMENTS = 400, 4
 FEATURES, LEXICON = 1 << 16, 400
 EPOCHS, BATCH, RATE, DECAY = 3, 64, 0.4, 1e-6
-WORD_CACHE, ROWS = 400_000, 4096
+WORD_CACHE, ROWS, PIECE = 400_000, 4096, 1 << 20
 UNKNOWN = "und"
 
 #: Letters of one word at most.
 LONGEST = 40
-# numerals that are word characters but neither letters nor decimal digits, such as fractions and Roman numbers
-_NUMERALS = "".join(c for c in map(chr, range(0x80, 0x110000)) if c.isalnum() and not c.isalpha() and not c.isdecimal())
-_WORD = re.compile(rf"[^\W\d_{_NUMERALS}]+")
+_WORD = re.compile(r"[^\W\d_]+")
 
 
 def words_of(text: str) -> list[str]:
     out = _WORD.findall(text.lower())
-    if any(len(w) > LONGEST for w in out):
+    if not all(map(str.isalpha, out)):  # numerals that are no decimal digits, such as fractions, part words
+        out = [w for x in out for w in ([x] if x.isalpha() else "".join(c if c.isalpha() else " " for c in x).split())]
+    if max(map(len, out), default=0) > LONGEST:
         out = [w[i:i + LONGEST] for w in out for i in range(0, len(w), LONGEST)]
     return out
 
@@ -293,13 +293,23 @@ def predict(docs: DataFrame, crf: Crf | None, id_col: str = "doc_id", text_col:
     src = pick(docs, id_col, text_col)
     id_type = src.schema[id_col].dataType.simpleString()
 
+    def distributions(labeller, texts):
+        """Label distributions of text after text; about PIECE characters are worked on at once."""
+        at = 0
+        while at < len(texts):
+            take, size = at, 0
+            while take < len(texts) and (take == at or size + len(texts[take] or "") <= PIECE):
+                size += len(texts[take] or "")
+                take += 1
+            words = [words_of(t) if t else [] for t in texts[at:take]]
+            yield from labeller.posteriors(words) if labeller else [np.zeros((0, 1))] * len(words)
+            at = take
+
     def run(batches):
         labeller = Labeller(crf) if crf is not None and crf.languages else None
         for batch in batches:
-            texts = [words_of(t) if t else [] for t in batch.column(1).to_pylist()]
-            posts = labeller.posteriors(texts) if labeller else [np.zeros((0, 1))] * len(texts)
             lang, score, runs = [], [], []
-            for post in posts:
+            for post in distributions(labeller, batch.column(1).to_pylist()):
                 mean = post.mean(axis=0, dtype=np.float64) if len(post) else None
                 best = int(mean.argmax()) if mean is not None else -1
                 lang.append(labeller.crf.languages[best] if best >= 0 else UNKNOWN)
