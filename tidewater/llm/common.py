@@ -110,11 +110,6 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def numbered(df: DataFrame, name: str, label: str) -> DataFrame:
-    """``df`` with a number of its own for each row, written so that the numbers stay."""
-    return written(df.withColumn(name, F.monotonically_increasing_id()), label)
-
-
 def split_join(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
     """``rows`` joined with ``side``, which has for each key its number of rows ``n``.  Keys with over a
     thousandth of all rows, at most a thousand, are broadcast, so that no task gets one of them whole."""

@@ -282,16 +282,18 @@ def training_segments(docs: DataFrame, id_col: str, text_col: str, lang_col: str
     return out
 
 
-def predict(docs: DataFrame, crf: Crf | None, id_col: str = "doc_id", text_col: str = "text", spans: bool = False) -> DataFrame:
+def predict(docs: DataFrame, crf: Crf | None, id_col: str = "doc_id", text_col: str = "text", spans: bool = False,
+            carry: tuple[str, ...] = ()) -> DataFrame:
     """Per row: id, ``lang_pred``, ``score`` (its mean probability over the words) and, with
-    ``spans``, the runs of words of one label (``label``, ``n_words``).
+    ``spans``, the runs of words of one label (``label``, ``n_words``).  Columns named in ``carry`` come along.
 
     Null texts and texts without a letter are ``und`` with score 0; so is everything without a
     model (no labelled rows).  Repeated rows and null ids are labelled like others; an empty
     table gives an empty result; other columns are ignored.
     """
-    src = pick(docs, id_col, text_col)
+    src = pick(docs, id_col, text_col, *(c for c in carry if c not in (id_col, text_col)))
     id_type = src.schema[id_col].dataType.simpleString()
+    along = [src.columns.index(c) for c in carry]
 
     def distributions(labeller, texts):
         """Label distributions of text after text; about PIECE characters are worked on at once."""
@@ -320,10 +322,12 @@ def predict(docs: DataFrame, crf: Crf | None, id_col: str = "doc_id", text_col:
                     runs.append([{"label": labeller.crf.languages[y[a]], "n_words": int(b - a)} for a, b in zip(cuts[:-1], cuts[1:])])
             kind = pa.list_(pa.struct([("label", pa.string()), ("n_words", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), *([pa.array(runs, kind)] if spans else [])],
-                names=[id_col, "lang_pred", "score", *(["spans"] if spans else [])])
+                [batch.column(0), pa.array(lang, pa.string()), pa.array(score, pa.float64()), *([pa.array(runs, kind)] if spans else []),
+                 *(batch.column(i) for i in along)],
+                names=[id_col, "lang_pred", "score", *(["spans"] if spans else []), *carry])
 
     extra = ", spans array<struct<label:string,n_words:int>>" if spans else ""
+    extra += "".join(f", `{c}` {src.schema[c].dataType.simpleString()}" for c in carry)
     return map_batches(src, run, f"`{id_col}` {id_type}, lang_pred string, score double{extra}")
 
 

@@ -412,17 +412,17 @@ def _splitters(docs: DataFrame, parts: int) -> list[bytes]:
     return [keys[i * len(keys) // parts] for i in range(1, parts)] if keys else []
 
 
-def removed_spans(texts: DataFrame, leads: DataFrame, length: int) -> DataFrame:
+def removed_spans(texts: DataFrame, profile: DataFrame, leads: DataFrame, length: int) -> DataFrame:
     """(ord, t, t2, start, end): covered byte ranges of repeated windows; they may overlap.  ``texts`` has
-    (ord, t, t2, raw) and ``leads`` the (ord, t, t2, n, hs) of the first rows of every distinct text."""
+    (ord, t, t2, raw), ``profile`` their gram hashes, ``leads`` the (ord, t, t2, n) of the first of every text."""
     parts = max(parallelism(texts.sparkSession), (leads.agg(F.sum("n").alias("n")).first()["n"] or 0) // PART_BYTES)
-    grams = written(repeated_grams(leads, parts), "suffix-grams")
+    grams = written(repeated_grams(profile.join(leads, list(ROW), "left_semi"), parts), "suffix-grams")
     often = written(grams.filter("t is null").select("h", F.lit(True).alias("often")), "suffix-hot")
     # at most a text's own anchors
     lists = (grams.filter("t is not null").join(often, "h", "left").groupBy("t")
              .agg(F.collect_set(F.when(F.col("often").isNull(), F.col("h"))).alias("hs"),
                   F.collect_set(F.when(F.col("often"), F.col("h"))).alias("hot")))
-    docs = written(texts.join(leads.select(*ROW).distinct().join(lists, "t"), list(ROW)).select(*ROW, "raw", "hs", "hot"), "suffix-texts")
+    docs = written(texts.join(leads.select(*ROW).join(lists, "t"), list(ROW)).select(*ROW, "raw", "hs", "hot"), "suffix-texts")
     splits = _splitters(docs, parts)
     crowded, none = docs.filter("size(hot) > 0"), F.lit(None).cast("array<bigint>")
     twice = repeated_grams(written(window_lists(crowded, length), "suffix-window-lists"), parts).filter("t is not null")
@@ -551,9 +551,10 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     whole = src.select("ord", *digest, "raw", "carried")
     profile = written(gram_lists(texts, length), "suffix-profile")
     firsts = profile.groupBy("t", "t2").agg(F.min("ord").alias("ord")).withColumn("lead", F.lit(True))
-    marked = written(profile.join(firsts, ["t", "t2", "ord"], "left").select(*ROW, "n", "hs", F.coalesce("lead", F.lit(False)).alias("lead")), "suffix-leads")
-    copies = marked.filter((~F.col("lead")) & (F.col("n") >= length)).select(*ROW).distinct()
-    spans = written(removed_spans(texts, marked.filter("lead"), length), "suffix-spans")
+    marked = written(profile.select(*ROW, "n").distinct().join(firsts, ["t", "t2", "ord"], "left")
+                     .select(*ROW, "n", F.coalesce("lead", F.lit(False)).alias("lead")), "suffix-leads")
+    copies = marked.filter((~F.col("lead")) & (F.col("n") >= length)).select(*ROW)
+    spans = written(removed_spans(texts, profile, marked.filter("lead"), length), "suffix-spans")
     lists = spans.groupBy(*ROW).agg(F.collect_list(F.struct("start", "end")).alias("cut")).unionByName(
         copies.select(*ROW, F.expr("cast(null as array<struct<start:bigint,end:bigint>>)").alias("cut")))
     full = whole.join(lists.withColumn("hit", F.lit(True)), list(ROW), "left").select(
