@@ -52,18 +52,18 @@ def test_points_with_bonus_week(spark):
 # ----------------------------------------------------------------------------- CS2
 def test_runner_order_cleaning(spark):
     raw = spark.createDataFrame([
-        (1, 1, "2020-01-01 18:15:34", "20km", "32 minutes", ""),
+        (1, 1, "2022-03-04 11:05:09", "7km", "41 minutes", ""),
         (2, 1, "null", "null", "null", "Restaurant Cancellation"),
         (3, 2, None, None, None, None),
-        (4, 2, "2020-01-02 00:12:37", "13.4 km", "25mins", "null"),
+        (4, 2, "2022-03-05 23:59:01", "8.6 km", "19mins", "null"),
         (5, 3, "2020-01-03 01:00:00", "10", "15 minute", " "),
     ], "order_id int, runner_id int, pickup_time string, distance string, duration string, cancellation string")
     got = rows(delivery.clean_runner_orders(raw), "order_id", "pickup_time", "distance", "duration", "cancellation")
     assert got == [
-        (1, TS(2020, 1, 1, 18, 15, 34), 20.0, 32, None),
+        (1, TS(2022, 3, 4, 11, 5, 9), 7.0, 41, None),
         (2, None, None, None, "Restaurant Cancellation"),
         (3, None, None, None, None),
-        (4, TS(2020, 1, 2, 0, 12, 37), 13.4, 25, None),
+        (4, TS(2022, 3, 5, 23, 59, 1), 8.6, 19, None),
         (5, TS(2020, 1, 3, 1, 0, 0), 10.0, 15, None),
     ]
 

@@ -25,22 +25,22 @@ from tidewater.sources.results import ResultStore, has_shared_folder, plan_diges
 from tidewater.sources.testdata import TestData
 
 
-# Temp-view name (case-study schema + table) -> fixture.
+# Temp-view name (domain + table) -> fixture.
 VIEWS = {
-    "dannys_diner_sales": "diner_sales", "dannys_diner_menu": "menu", "dannys_diner_members": "members",
-    "pizza_runner_customer_orders": "customer_orders", "pizza_runner_runner_orders": "runner_orders",
-    "pizza_runner_runners": "runners", "pizza_runner_pizza_names": "pizza_names",
-    "pizza_runner_pizza_recipes": "pizza_recipes", "pizza_runner_pizza_toppings": "pizza_toppings",
-    "pizza_runner_runner_ratings": "runner_ratings",
-    "foodie_fi_plans": "plans", "foodie_fi_subscriptions": "subscriptions",
-    "data_bank_regions": "regions", "data_bank_customer_nodes": "customer_nodes",
-    "data_bank_customer_transactions": "customer_transactions",
-    "data_mart_weekly_sales": "weekly_sales",
-    "clique_bait_users": "users", "clique_bait_events": "click_events",
-    "clique_bait_event_identifier": "event_identifier", "clique_bait_page_hierarchy": "page_hierarchy",
-    "clique_bait_campaign_identifier": "campaign_identifier",
-    "balanced_tree_sales": "retail_sales", "balanced_tree_product_details": "product_details",
-    "balanced_tree_product_hierarchy": "product_hierarchy", "balanced_tree_product_prices": "product_prices",
+    "loyalty_sales": "diner_sales", "loyalty_menu": "menu", "loyalty_members": "members",
+    "delivery_customer_orders": "customer_orders", "delivery_runner_orders": "runner_orders",
+    "delivery_runners": "runners", "delivery_pizza_names": "pizza_names",
+    "delivery_pizza_recipes": "pizza_recipes", "delivery_pizza_toppings": "pizza_toppings",
+    "delivery_runner_ratings": "runner_ratings",
+    "subscriptions_plans": "plans", "subscriptions_subscriptions": "subscriptions",
+    "accounts_regions": "regions", "accounts_customer_nodes": "customer_nodes",
+    "accounts_customer_transactions": "customer_transactions",
+    "weekly_weekly_sales": "weekly_sales",
+    "clickstream_users": "users", "clickstream_events": "click_events",
+    "clickstream_event_identifier": "event_identifier", "clickstream_page_hierarchy": "page_hierarchy",
+    "clickstream_campaign_identifier": "campaign_identifier",
+    "retail_sales": "retail_sales", "retail_product_details": "product_details",
+    "retail_product_hierarchy": "product_hierarchy", "retail_product_prices": "product_prices",
     "clothing_color": "colour", "clothing_customer": "shop_customer", "clothing_category": "shop_category",
     "clothing_clothing": "clothing", "clothing_clothing_order": "clothing_order",
     "running_runner": "club_runner", "running_event": "club_event", "running_runner_event": "runner_event",
@@ -82,7 +82,7 @@ class Fixtures:
 
     def register_views(self) -> list[str]:
         """Register every case-study table as a temp view named
-        ``<schema>_<table>`` (e.g. ``dannys_diner_sales``), so SQL written
+        ``<domain>_<table>`` (e.g. ``loyalty_sales``), so SQL written
         against the case-study schemas runs through ``spark.sql``."""
         names = []
         for view, attr in VIEWS.items():

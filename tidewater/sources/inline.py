@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 # ---------------------------------------------------------------------------
-# Fixed values (our own fixture design; kept together in natural order).
+# Fixed values, together and in natural order.
 # ---------------------------------------------------------------------------
 
 # Restaurant menu: one item per part type; PROMO is the item with double points.
