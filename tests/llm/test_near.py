@@ -149,3 +149,23 @@ def test_the_likeliest_partners_are_verified_first(monkeypatch):
     links = near_dedup._cell_links(three + 5, three, np.array([56, 49, 55]), regs, 0, three, three, texts, 5, 75)
     assert links[0] == (7, 5) and links[1] == (6, 5) and len(links) == 2
     assert seen[0][0] == [40 / 64, 62 / 64] and seen[0][1][0] < seen[0][1][1]
+
+
+def test_a_leader_that_many_members_meet(spark, docs_of, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SHARE", 8)
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(400)}" for _ in range(90)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 260):  # each an edit of the same text, so that its bucket and its component are hot
+        words = base[:]
+        words[rng.randrange(90)] = f"x{i}"
+        rows.append((i, " ".join(words)))
+    rows += [(1000 + i, f"other {i} text of its own") for i in range(40)]
+    check(near_dedup.near_dedup(docs_of(rows)).collect(), rows)
+
+
+def test_components_of_a_star_and_a_chain_to_it(spark):
+    edges = [(5, x) for x in range(100, 4100)] + [(x, x + 1) for x in range(4099, 4130)] + [(3, 4130), (9000, 9001)]
+    got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got.pop(9000) == got.pop(9001) == 9000
+    assert set(got.values()) == {3} and len(got) == 4000 + 31 + 2

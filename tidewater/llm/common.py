@@ -110,10 +110,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def split_join(rows: DataFrame, side: DataFrame, keys: list[str]) -> DataFrame:
+def split_join(rows: DataFrame, side: DataFrame, keys: list[str], total: int | None = None) -> DataFrame:
     """``rows`` joined with ``side``, which has for each key its number of rows ``n``.  Keys with over a
-    thousandth of all rows, at most a thousand, are broadcast, so that no task gets one of them whole."""
-    bound = (side.agg(F.sum("n").alias("n")).first()["n"] or 0) // 1000
+    thousandth of all rows (``total``, else the sum of ``n``), at most a thousand, are broadcast, so that no
+    task gets one of them whole."""
+    if total is None:
+        total = side.agg(F.sum("n").alias("n")).first()["n"] or 0
+    bound = total // 1000
     heavy = F.broadcast(side.filter(F.col("n") > bound))
     return rows.join(heavy, keys).unionByName(rows.join(heavy, keys, "left_anti").join(side.filter(F.col("n") <= bound), keys))
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import map_batches, parallelism, pick, written
+from tidewater.llm.common import map_batches, parallelism, pick, split_join, written
 from tidewater.llm.components import components
 
 WORDS = 5
@@ -31,6 +31,8 @@ BUCKETS, MANTISSA, ROWS = 64, 10, 3
 BANDS = BUCKETS // ROWS
 #: About so many classes, and shingles, make up a block.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 21
+#: A leader's text is sent once for about so many members that meet it.
+SHARE = 256
 
 _M = np.uint64(0x9E3779B97F4A7C15)
 #: Register i reads bucket i, and others in a fixed random order only if that is empty.
@@ -114,17 +116,22 @@ def _bands(classes: DataFrame) -> DataFrame:
 
 
 def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose set sizes allow the similarity."""
-    side = lambda s: classes.select(F.col("rep").alias(s), F.col("n").alias(f"n_{s}"))
-    full = pairs.join(side("a"), "a").join(side("b"), "b")
-    return full.filter(F.least("n_a", "n_b") * 100 >= percent * F.greatest("n_a", "n_b")).select("a", "b")
+    """(a, b, parts): the pairs (a, b) whose set sizes allow the similarity; ``parts`` follows the number of
+    pairs of b, among which a large share of all may be."""
+    leaders = pairs.groupBy("b").agg(F.count("*").alias("n")).join(classes.select(F.col("rep").alias("b"), F.col("n").alias("n_b")), "b")
+    full = split_join(pairs.join(classes.select(F.col("rep").alias("a"), F.col("n").alias("n_a")), "a"), written(leaders, "near-leaders"), ["b"])
+    full = full.filter(F.least("n_a", "n_b") * 100 >= percent * F.greatest("n_a", "n_b"))
+    return full.select("a", "b", F.ceil(F.col("n") / SHARE).cast("int").alias("parts"))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs whose full shingle sets are similar enough."""
-    full = (pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-                 .join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-                 .select("a", "b", "text_a", "text_b"))
+    """The pairs whose full shingle sets are similar enough.  The pairs of one b are dealt to ``parts``
+    places, each of which gets b's text."""
+    leaders = (pairs.select("b", "parts").distinct().join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+                    .withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select("b", "part", "text_b"))
+    full = (pairs.withColumn("part", F.pmod(F.xxhash64("a"), F.col("parts")).cast("int"))
+                 .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+                 .join(leaders, ["b", "part"]).select("a", "b", "text_a", "text_b"))
 
     def run(batches):
         last = (None, None)
@@ -180,9 +187,10 @@ def _across(members: DataFrame, classes: DataFrame, texts: DataFrame, words: int
     split into blocks of bounded size, every two blocks of a bucket meet in one cell, and a cell
     gives its links, not its pairs."""
     sized = members.join(classes.select("rep", "n"), "rep")
-    blocks = sized.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    blocks = sized.groupBy("bucket").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int").alias("blocks"),
+                                         F.count("*").alias("n"))
     mine = F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")
-    cells = (members.join(blocks, "bucket").withColumn("mine", mine)
+    cells = (split_join(members, written(blocks, "near-blocks"), ["bucket"]).withColumn("mine", mine)
                     .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
                     .select("bucket", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "rep", "comp"))
     rows = (cells.join(classes.select("rep", "n", "regs"), "rep").join(texts.select(F.col("id").alias("rep"), "text"), "rep")
@@ -235,16 +243,17 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = 75, id_col: s
     classes = written(sketches.filter("id is not null and n > 0").groupBy("key")
                       .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("regs").alias("regs")), "near-classes")
     buckets = _bands(classes)
-    shared = buckets.groupBy("bucket").agg(F.count("*").alias("held")).filter("held > 1")
-    members = written(buckets.join(shared, "bucket"), "near-buckets")
+    shared = written(buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "near-shared")
+    members = written(split_join(buckets, shared, ["bucket"]).withColumnRenamed("n", "held"), "near-buckets")
     # the leader of a bucket is the member that shares most places with others: in a group of
     # edited copies that is the text they were copied from, to which more of them are close
     fame = members.groupBy("rep").agg(F.sum("held").alias("fame"))
     ranked = members.join(fame, "rep")
-    leaders = ranked.groupBy("bucket").agg(F.max(F.struct("fame", (-F.col("rep")).alias("neg"))).alias("top"))
-    members = written(members.drop("held").join(leaders.select("bucket", (-F.col("top.neg")).alias("leader")), "bucket"), "near-members")
+    leaders = ranked.groupBy("bucket").agg(F.max(F.struct("fame", (-F.col("rep")).alias("neg"))).alias("top"), F.first("held").alias("n"))
+    leaders = written(leaders.select("bucket", (-F.col("top.neg")).alias("leader"), "n"), "near-tops")
+    members = written(split_join(members.drop("held"), leaders, ["bucket"]).drop("n"), "near-members")
 
-    star = members.filter("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
+    star = written(members.filter("rep <> leader").select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct(), "near-pairs")
     star = written(_possible(star, classes, percent), "near-star")
     reps = members.select(F.col("rep").alias("id")).distinct()
     texts = written(src.join(reps, "id", "left_semi"), "near-texts")
@@ -252,8 +261,9 @@ def near_dedup(docs: DataFrame, words: int = WORDS, percent: int = 75, id_col: s
     labels = components(links)
 
     named = members.join(labels, members["rep"] == labels["node"], "left").select("bucket", "rep", F.coalesce("comp", "rep").alias("comp"))
-    mixed = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi")
-    open_ = written(named.join(mixed.select("bucket"), "bucket"), "near-open")
+    named = written(named, "near-named")
+    mixed = named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
+    open_ = written(split_join(named, written(mixed.select("bucket", "n"), "near-mixed"), ["bucket"]).drop("n"), "near-open")
     found = _across(open_, classes, texts, words, percent)
     name = lambda s: labels.select(F.col("node").alias(s), F.col("comp").alias(f"comp_{s}"))
     merged = components(written(found.join(name("a"), "a", "left").join(name("b"), "b", "left")
