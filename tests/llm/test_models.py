@@ -92,6 +92,42 @@ def test_quality_held_out_accuracy(spark):
     assert np.mean([g > b for g in good for b in bad]) > 0.95
 
 
+def test_training_takes_whole_texts_up_to_a_bound(spark, docs_of, monkeypatch):
+    ids = [i for i in range(60) if not out_fold(i)]
+    text = lambda i, n: " ".join(f"w{chr(97 + i % 26)}{chr(97 + j % 26)}{'x' * (j // 26 % 7)}" for j in range(n))
+    rows = [(i, text(i, 3000 if n == 0 else 100 + n), "a" if n % 2 else "b") for n, i in enumerate(ids)]
+    rows += [(1001, text(1, 5000), "c"), (1002, None, "c"), (1004, "", "c")]
+    docs = spark.createDataFrame([r for r in rows if not out_fold(r[0])], "doc_id bigint, text string, lang string")
+    held = {lang: sorted(w for _, t, x in rows for w in language_crf.words_of(t or "") if x == lang) for lang in "abc"}
+    flat = lambda found: {lang: sorted(w for s in segments for w in s) for lang, segments in found.items()}
+    whole = language_crf.training_segments(docs, "doc_id", "text", "lang")
+    assert flat(whole) == {lang: ws for lang, ws in held.items() if ws and lang in whole}
+    assert all(len(s) <= language_crf.SEGMENT for found in whole.values() for s in found)
+    monkeypatch.setattr(language_crf, "TRAIN_CHARS", 2000)
+    monkeypatch.setattr(language_crf, "TRAIN_SHORT", 1500)
+    some = flat(language_crf.training_segments(docs, "doc_id", "text", "lang"))
+    longest = {lang: max(len(t) for _, t, x in rows if x == lang and len(t or "") <= 1500) for lang in "ab"}
+    for lang in "ab":  # short texts first, whole ones, past the bound by no more than the last
+        size = sum(len(w) + 1 for w in some[lang])
+        assert 2000 <= size <= 2000 + longest[lang] + 10
+    assert set(some) == set(whole)  # a language whose first text passes the bound keeps that text
+
+
+def test_packed_features_are_bounded_and_come_back():
+    rng = np.random.default_rng(4)
+    for n in (0, 1, 500, 8191, 8192, 50_000, quality_nbsvm.FEATURES):
+        found = np.sort(rng.choice(quality_nbsvm.FEATURES, n, replace=False))
+        data = quality_nbsvm.packed(found)
+        assert len(data) <= quality_nbsvm.FEATURES // 8 and np.array_equal(quality_nbsvm.unpacked(data), found)
+    rows = [np.sort(rng.choice(3000, 9000 if i % 7 == 0 else 40, replace=i % 7 == 0)) for i in range(50)]
+    rows = [np.unique(r) for r in rows]
+    labels = [int(r.mean() > 1500) for r in rows]
+    kept = [quality_nbsvm.packed(r) for r in rows]
+    made = quality_nbsvm.train(quality_nbsvm.Made(50, lambda i: quality_nbsvm.unpacked(kept[i])), labels)
+    plain = quality_nbsvm.train(rows, labels)
+    assert np.array_equal(made.scaled, plain.scaled) and (made.bias, made.slope, made.shift) == (plain.bias, plain.slope, plain.shift)
+
+
 def test_dual_descent_reaches_the_optimum():
     rng = np.random.default_rng(1)
     rows = [np.sort(rng.choice(20, 6, replace=False)) for _ in range(60)]

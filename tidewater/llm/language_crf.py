@@ -10,8 +10,8 @@ A text's language is the one with the largest mean probability over all its word
 Words are runs of letters in lower case; a run of more than LONGEST letters, as in scripts without spaces, is
 cut into words of that length, so every letter counts.
 
-Training sequences come from a bounded sample of labelled documents: segments spread over the whole text,
-half of them spliced with a segment of another language, which is where transitions are learned.
+Training sequences come from a bounded sample of labelled documents, each taken whole: its segments, and
+as many spliced with a segment of another text, which is where transitions are learned.
 """
 
 from __future__ import annotations
@@ -23,14 +23,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import held_out, lowest_ids, map_batches, pick
+from tidewater.llm.common import held_out, lowest_ids, map_batches, pick, written
 
 SEGMENT = 64
-#: Training bound: documents a language, and segments of each document.
-TRAIN_DOCS, TRAIN_SEGMENTS = 400, 4
+#: Training bound: documents a language, and their characters (reached with the last text taken); texts of up
+#: to TRAIN_SHORT characters are taken first.
+TRAIN_DOCS, TRAIN_CHARS, TRAIN_SHORT = 400, 1 << 20, 1 << 16
 FEATURES, LEXICON = 1 << 16, 400
 EPOCHS, BATCH, RATE, DECAY = 3, 64, 0.4, 1e-6
 WORD_CACHE, ROWS, PIECE = 400_000, 4096, 1 << 20
@@ -257,21 +258,27 @@ class Labeller:
 
 
 def training_segments(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, list[list[str]]]:
-    """Segments of the bounded sample: per language the TRAIN_DOCS documents outside the held-out
-    fold whose ids hash lowest, TRAIN_SEGMENTS segments spread over each whole text."""
+    """All segments of the bounded sample, by language: of the TRAIN_DOCS documents outside the held-out
+    fold whose ids hash lowest, whole texts until TRAIN_CHARS characters are reached, however long the
+    first one is."""
     src = pick(docs, id_col, text_col, lang_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
     src = src.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("id").isNotNull() & ~held_out(F.col("id")))
     chosen = lowest_ids(src, "lang", TRAIN_DOCS)
     rows = src.join(F.broadcast(chosen), ["id", "lang"])  # TRAIN_DOCS ids a language
     rows = rows.groupBy("id", "lang").agg(F.min("text").alias("text")).select("id", "text", "lang")  # one text of a repeated id
+    rows = written(rows, "language-training")
+    size = F.char_length("text")
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("long", "place", "id").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = rows.select("id", "lang", size.alias("size"), (size > TRAIN_SHORT).alias("long"), F.xxhash64("id").alias("place"))
+    taken = sizes.withColumn("before", F.coalesce(before, F.lit(0))).filter(F.col("before") < TRAIN_CHARS)
+    rows = rows.join(F.broadcast(taken.select("id", "lang")), ["id", "lang"]).select("id", "text", "lang")
 
     def cut(batches):
         for batch in batches:
             lang, words = [], []
             for text, name in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 ws = words_of(text)
-                places = np.unique(np.linspace(0, max(0, len(ws) - SEGMENT), TRAIN_SEGMENTS).astype(int)) if ws else []
-                for p in places:
+                for p in range(0, len(ws), SEGMENT):
                     lang.append(name)
                     words.append(ws[p:p + SEGMENT])
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(words, pa.list_(pa.string()))], names=["lang", "words"])

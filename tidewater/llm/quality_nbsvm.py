@@ -9,6 +9,7 @@ training rows that were left out of the descent turns margins into scores.
 from __future__ import annotations
 
 import re
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -20,7 +21,8 @@ from pyspark.sql import functions as F
 from tidewater.llm.common import held_out, lowest_ids, map_batches, pick
 
 FEATURES = 1 << 18
-#: Training bound: labelled documents a class; every fifth of them fits the curve.
+#: Training bound: labelled documents a class, each at most FEATURES / 8 bytes on the driver; every fifth
+#: of them fits the curve.
 TRAIN_DOCS, CURVE = 3000, 5
 SMOOTHING, COST, EPOCHS, TOKEN_CACHE = 1.0, 1.0, 15, 300_000
 
@@ -50,6 +52,36 @@ def features(text: str) -> np.ndarray:
     return np.unique(mixed >> np.uint64(64 - 18)).astype(np.int64)
 
 
+def packed(found: np.ndarray) -> bytes:
+    """Sorted feature numbers as a list or, where that is no longer, as a bitmap of FEATURES / 8 bytes."""
+    if 4 * len(found) < FEATURES // 8:
+        return found.astype(np.int32).tobytes()
+    bits = np.zeros(FEATURES, np.uint8)
+    bits[found] = 1
+    return np.packbits(bits).tobytes()
+
+
+def unpacked(found: bytes) -> np.ndarray:
+    if len(found) < FEATURES // 8:
+        return np.frombuffer(found, np.int32)
+    return np.flatnonzero(np.unpackbits(np.frombuffer(found, np.uint8)))
+
+
+class Made(Sequence):
+    """Items that are made each time they are asked for, so that none of them is held."""
+
+    def __init__(self, n: int, make: Callable[[int], np.ndarray]):
+        self.n, self.make = n, make
+
+    def __len__(self) -> int:
+        return self.n
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        if not 0 <= i < self.n:
+            raise IndexError(i)
+        return self.make(i)
+
+
 @dataclass
 class NbSvm:
     """Score of a text: logistic(slope * w.x + shift), x the normalised scaled indicators."""
@@ -67,7 +99,7 @@ class NbSvm:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(found) + self.shift, -500, 500))))
 
 
-def log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
+def log_count_ratio(rows: Sequence[np.ndarray], y: np.ndarray) -> np.ndarray:
     counts = []
     for label in (1, -1):
         c = np.full(FEATURES, SMOOTHING)
@@ -77,7 +109,7 @@ def log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     return np.log(counts[0] / counts[1])
 
 
-def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, cost: float = COST,
+def dual_descent(rows: Sequence[np.ndarray], values: Sequence[np.ndarray], y: np.ndarray, cost: float = COST,
                  epochs: int = EPOCHS, seed: int = 5) -> tuple[np.ndarray, float]:
     """Weights and bias of the linear hinge-loss model: one dual variable at a time is set to the
     best value in [0, cost], the weights following."""
@@ -86,11 +118,12 @@ def dual_descent(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray
     curvature = np.array([float(v @ v) + 1.0 for v in values])  # the bias is a feature of value 1
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
-            slope = y[i] * (w[rows[i]] @ values[i] + bias) - 1
+            at, value = rows[i], values[i]
+            slope = y[i] * (w[at] @ value + bias) - 1
             new = min(max(dual[i] - slope / curvature[i], 0.0), cost)
             if new != dual[i]:
                 step = (new - dual[i]) * y[i]
-                w[rows[i]] += step * values[i]
+                w[at] += step * value
                 bias += step
                 dual[i] = new
     return w, bias
@@ -109,16 +142,17 @@ def logistic_curve(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return max(float(theta[0]), 1e-3), float(theta[1])
 
 
-def train(rows: list[np.ndarray], labels: list[int]) -> NbSvm:
+def train(rows: Sequence[np.ndarray], labels: list[int]) -> NbSvm:
     y = np.where(np.array(labels) == 1, 1, -1)
     if len(set(y.tolist())) < 2:  # one class only: its label for every text
         return NbSvm(np.zeros(FEATURES), np.zeros(FEATURES), 0.0, 1.0, 3.0 if len(y) and y[0] > 0 else -3.0)
     fit_on = np.arange(len(rows)) % CURVE != 0
-    some = [rows[i] for i in np.flatnonzero(fit_on)]
     if len(set(y[fit_on].tolist())) < 2 or len(set(y[~fit_on].tolist())) < 2:
-        fit_on, some = np.ones(len(rows), bool), rows
+        fit_on = np.ones(len(rows), bool)
+    fitted = np.flatnonzero(fit_on)
+    some = Made(len(fitted), lambda i: rows[fitted[i]])
     ratio = log_count_ratio(some, y[fit_on])
-    values = [(v := ratio[r]) / (np.sqrt(v @ v) or 1.0) for r in some]
+    values = Made(len(fitted), lambda i: (v := ratio[some[i]]) / (np.sqrt(v @ v) or 1.0))
     w, bias = dual_descent(some, values, y[fit_on])
     model = NbSvm(ratio.astype(np.float32), (ratio * w).astype(np.float32), bias, 1.0, 0.0)
     on = ~fit_on if not fit_on.all() else fit_on
@@ -126,9 +160,9 @@ def train(rows: list[np.ndarray], labels: list[int]) -> NbSvm:
     return model
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[list[np.ndarray], list[int]]:
+def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str) -> tuple[Sequence[np.ndarray], list[int]]:
     """Features and labels of the bounded sample: per class the TRAIN_DOCS labelled ids outside the held-out
-    fold that hash lowest."""
+    fold that hash lowest, the whole text of each.  The driver holds them packed (see :func:`packed`)."""
     known = pick(labels, id_col, label_col).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
     known = known.filter(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out(F.col("id")))
     known = known.groupBy("id").agg(F.max("label").alias("label"))
@@ -139,13 +173,13 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
 
     def run(batches):
         for batch in batches:
-            found = [features(t or "").astype(np.int32).tobytes() for t in batch.column(2).to_pylist()]
+            found = [packed(features(t or "")) for t in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.binary())], names=["id", "label", "found"])
 
     id_type = src.schema["id"].dataType.simpleString()
     got = sorted((xxhash.xxh3_64_intdigest(str(r.id)), bytes(r.found), r.label)
                  for r in map_batches(rows, run, f"id {id_type}, label int, found binary").collect())
-    return [np.frombuffer(f, np.int32) for _, f, _ in got], [label for _, _, label in got]
+    return Made(len(got), lambda i: unpacked(got[i][1])), [label for _, _, label in got]
 
 
 def predict(docs: DataFrame, model: NbSvm, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
