@@ -258,7 +258,7 @@ class Labeller:
 
 
 def training_segments(docs: DataFrame, id_col: str, text_col: str, lang_col: str) -> dict[str, list[list[str]]]:
-    """All segments of the bounded sample, by language: of the TRAIN_DOCS documents outside the held-out
+    """All segments of the bounded sample, those that a text repeats once, by language: of the TRAIN_DOCS documents outside the held-out
     fold whose ids hash lowest, whole texts until TRAIN_CHARS characters are reached, however long the
     first one is."""
     src = pick(docs, id_col, text_col, lang_col).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
@@ -278,9 +278,9 @@ def training_segments(docs: DataFrame, id_col: str, text_col: str, lang_col: str
             lang, words = [], []
             for text, name in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 ws = words_of(text)
-                for p in range(0, len(ws), SEGMENT):
+                for segment in dict.fromkeys(tuple(ws[p:p + SEGMENT]) for p in range(0, len(ws), SEGMENT)):
                     lang.append(name)
-                    words.append(ws[p:p + SEGMENT])
+                    words.append(segment)
             yield pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(words, pa.list_(pa.string()))], names=["lang", "words"])
 
     out: dict[str, list[list[str]]] = {}
