@@ -31,6 +31,15 @@ def test_matches_all_triples(spark, seed, baskets, items, skew, k):
     assert [tuple(r) for r in top_triples(df, "t", "p", k, block=3, step=3).collect()] == _brute(rows, k)
 
 
+def test_small_baskets_are_counted_in_one_pass(spark, monkeypatch):
+    """Few triples for each row: no support is tried, and both ways agree."""
+    rows = _rows(5, 80, 50, 0.1) + [(0, None), (None, 1), (0, 0), (0, 0)]
+    df = spark.createDataFrame(rows, "t int, p int")
+    by_support = [tuple(r) for r in top_triples(df, "t", "p", 6, linear=0).collect()]
+    monkeypatch.setattr("tidewater.functions.itemsets.frequent_triples", None)
+    assert [tuple(r) for r in top_triples(df, "t", "p", 6).collect()] == by_support == _brute(rows, 6)
+
+
 def test_no_triples(spark):
     df = spark.createDataFrame([(1, 1), (1, 2), (2, 3)], "t int, p int")
     assert top_triples(df, "t", "p", 3).collect() == [] and top_triples(df.limit(0), "t", "p", 3).collect() == []
