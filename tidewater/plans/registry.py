@@ -14,6 +14,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidewater.session import spread
 from tidewater.sources.fixtures import Fixtures
 from tidewater.sources.oracle_fixtures import with_tables
 
@@ -74,7 +75,9 @@ def load_all() -> dict[str, Query]:
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return in_report_order(name, load_all()[name].build(Fixtures(spark, sf_dir)))
+    fx = Fixtures(spark, sf_dir)
+    spread(spark, fx.td.n_bytes())
+    return in_report_order(name, load_all()[name].build(fx))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

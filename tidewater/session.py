@@ -6,6 +6,8 @@ settings; ``configure`` only fills in what is missing.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 # Settings every query in the library relies on.  Timestamps in the test
@@ -20,6 +22,11 @@ SQL_DEFAULTS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
+#: Most bytes of a task's input, of a scan's split and of shuffled rows.  To join and aggregate a shuffled,
+#: compressed byte takes some 40 bytes of memory, so Spark's own 128 and 64 MB take gigabytes.
+TASK_BOUNDS = {"spark.sql.files.maxPartitionBytes": 16 << 20, "spark.sql.adaptive.advisoryPartitionSizeInBytes": 8 << 20}
+_UNITS = {"": 0, "k": 10, "m": 20, "g": 30, "t": 40, "p": 50}
+
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app: str = "tidewater", extra: dict | None = None) -> SparkSession:
@@ -41,8 +48,22 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def configure(spark: SparkSession) -> SparkSession:
-    """Apply SQL defaults that the session does not already set."""
+    """Apply SQL defaults that the session does not already set, and lower what a task reads to the bounds
+    above (never raise it)."""
     for key, value in SQL_DEFAULTS.items():
         if spark.conf.get(key, None) is None:
             spark.conf.set(key, value)
+    for key, most in TASK_BOUNDS.items():
+        now = re.fullmatch(r"(\d+)\s*([kmgtp]?)b?", spark.conf.get(key).strip().lower())
+        if now is None or int(now[1]) << _UNITS[now[2]] > most:
+            spark.conf.set(key, str(most))
     return spark
+
+
+def spread(spark: SparkSession, n_bytes: int) -> None:
+    """Raise the number of shuffle partitions (never lower it) so that ``n_bytes`` of input make partitions
+    within the bound; adaptive execution joins small ones but splits none of an aggregation."""
+    key = "spark.sql.shuffle.partitions"
+    n = -(-n_bytes // TASK_BOUNDS["spark.sql.adaptive.advisoryPartitionSizeInBytes"])
+    if int(spark.conf.get(key)) < n:
+        spark.conf.set(key, str(n))

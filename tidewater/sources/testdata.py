@@ -56,6 +56,17 @@ class TestData:
             reader = reader.schema(SCHEMAS[name])
         return reader.parquet(f"{self.sf_dir}/{name}.parquet")
 
+    def n_bytes(self) -> int:
+        """Bytes of the files of the tables that the folder has, from a listing."""
+        jvm, conf = self.spark._jvm, self.spark._jsc.hadoopConfiguration()
+        total = 0
+        for name in SCHEMAS:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.sf_dir}/{name}.parquet")
+            fs = path.getFileSystem(conf)
+            if fs.exists(path):
+                total += fs.getContentSummary(path).getLength()
+        return total
+
     @cached_property
     def region(self) -> DataFrame:
         return self.table("region")
