@@ -98,6 +98,19 @@ def test_sources_with_a_common_start_are_told_apart(spark):
     assert max(map(len, held.values())) <= 2 and sum(map(len, held.values())) <= 31
 
 
+def test_text_cuts_come_from_all_rows(spark):
+    """More rows than any sample would hold: the cuts are the values at the exact places."""
+    rows = [(i, f"v{(i * i) % 9973:05d}" if i % 7 else None, "b" if i % 3 else "a") for i in range(20000)]
+    meta = spark.createDataFrame(rows, "id bigint, x0 string, x1 string")
+    got = sharding.text_cuts(meta, ["x0", "x1"], 32)
+    for at, cuts in zip((1, 2), got):
+        known = sorted(r[at] for r in rows if r[at] is not None)
+        assert cuts == [known[i * len(known) // 32] for i in range(1, 32)]
+    assert sharding.text_cuts(meta.limit(0), ["x0"], 32) == [[]]
+    few = meta.filter("id in (1, 2)")  # fewer rows than cuts
+    assert sharding.text_cuts(few, ["x1"], 4) == [["b", "b", "b"]]
+
+
 def test_shard_digests_and_law(spark, duck):
     import zlib
     texts = dict(duck.execute("SELECT doc_id, coalesce(text, '') FROM documents").fetchall())

@@ -15,8 +15,6 @@ from tidewater.llm.common import map_batches, parallelism, pick, written
 
 BITS = 5
 DIMENSIONS = ("source", "lang", "n_chars")
-#: Rows that the quantiles of text dimensions are taken from.
-SAMPLE = 1 << 13
 
 
 def hilbert_index(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -53,13 +51,24 @@ def _is_text(kind: T.DataType) -> bool:
 
 
 def text_cuts(meta: DataFrame, dims: list[str], cells: int) -> list[list[str]]:
-    """Quantiles of text dimensions (whole values) over the SAMPLE rows whose ids hash lowest.  They
-    balance the cells; no row's place is wrong by them."""
-    rows = meta.select("id", *dims).orderBy(F.xxhash64("id", "crc"), "id").limit(SAMPLE).collect() if dims else []
+    """Quantiles of text dimensions (whole values) over all rows.  Values are counted, ranged in order and
+    numbered by position; the driver gets the values at the ``cells`` - 1 cuts."""
     out = []
     for x in dims:
-        known = sorted(r[x] for r in rows if r[x] is not None)
-        out.append([known[i * len(known) // cells] for i in range(1, cells)] if known else [])
+        counts = meta.filter(F.col(x).isNotNull()).groupBy(x).agg(F.count(F.lit(1)).alias("n"))
+        ranged = counts.repartitionByRange(parallelism(meta.sparkSession), x).withColumn("part", F.spark_partition_id())
+        ranged = written(ranged, "shard-values")
+        # one row per task of the ranging
+        held = ranged.groupBy("part").agg(F.sum("n").alias("held"))
+        held = held.select("part", F.coalesce(F.sum("held").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+                           F.sum("held").over(Window.partitionBy()).alias("total"))
+        upto = F.col("before") + F.sum("n").over(Window.partitionBy("part").orderBy(x).rowsBetween(Window.unboundedPreceding, 0))
+        placed = ranged.join(F.broadcast(held), "part").withColumn("upto", upto)
+        # cut i is the value at position i * total div cells
+        spans = placed.select(x, F.expr(f"greatest(1, ((upto - n) * {cells} + total - 1) div total)").alias("first"),
+                              F.expr(f"least({cells - 1}, (upto * {cells} + total - 1) div total - 1)").alias("last"))
+        found = sorted((r["first"], r["last"], r[x]) for r in spans.filter("first <= last").collect())
+        out.append([value for first, last, value in found for _ in range(first, last + 1)])
     return out
 
 
