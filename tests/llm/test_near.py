@@ -169,3 +169,11 @@ def test_components_of_a_star_and_a_chain_to_it(spark):
     got = {r.node: r.comp for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got.pop(9000) == got.pop(9001) == 9000
     assert set(got.values()) == {3} and len(got) == 4000 + 31 + 2
+
+
+def test_words_that_a_worker_keeps_are_bounded():
+    near_dedup._word_hash.clear()
+    for i in range(300):
+        near_dedup.shingles(" ".join(f"w{j}" for j in range(i * 1000, (i + 1) * 1000)))
+    assert len(near_dedup._word_hash) <= (1 << 17) + 1000
+    near_dedup._word_hash.clear()

@@ -136,3 +136,14 @@ def test_null_and_repeated_ids_with_different_texts(docs_of, monkeypatch, hot):
         (None, whole, ""), (None, clean, clean), (None, clean, clean), (None, rows[4][1], other), (None, "", ""),
         (7, whole, ""), (7, own, own), (7, rows[7][1], own[:200] + "!")]
     assert got == sorted((i or 0, len(t), len(t) - len(kept), kept) for i, t, kept in want)
+
+
+def test_a_worker_needs_little_memory_beside_its_batch():
+    """Workers of both cores live beside the executor's heap: anchors of 4 MB of text need some 50 MB at most."""
+    import tracemalloc
+    texts = [np.random.default_rng(i).integers(97, 123, 10_000, dtype=np.uint8).tobytes() for i in range(400)]
+    tracemalloc.start()
+    found = sum(len(h) for *_, h in suffix_dedup.anchors(texts, 100))
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found > 10_000 and most < 60 << 20

@@ -37,6 +37,8 @@ SHARE = 256
 _M = np.uint64(0x9E3779B97F4A7C15)
 #: Register i reads bucket i, and others in a fixed random order only if that is empty.
 _DONORS = np.stack([np.r_[i, (p := np.random.default_rng(1000 + i).permutation(BUCKETS))[p != i]] for i in range(BUCKETS)])
+#: Words whose hashes a worker keeps: some 20 MB, which later stages find still held.
+WORD_CACHE = 1 << 17
 _word_hash: dict[bytes, int] = {}
 
 
@@ -45,7 +47,7 @@ def shingles(text: str, words: int = WORDS) -> np.ndarray:
     ws = text.encode("utf-8", "surrogatepass").lower().split()  # bytes: A-Z and ASCII white space only
     if not ws:
         return np.array([], dtype=np.uint64)
-    if len(_word_hash) > 500_000:
+    if len(_word_hash) > WORD_CACHE:
         _word_hash.clear()
     for w in set(ws).difference(_word_hash):
         _word_hash[w] = xxhash.xxh3_64_intdigest(w)

@@ -43,7 +43,7 @@ LENGTH, GRAM = 100, 32
 LONGEST = 127 + GRAM
 #: Bytes of text worked on at once, and documents and places that the splitters are taken from
 #: (they balance the ranges; the result does not depend on them).
-CHUNK_BYTES, SPLIT_DOCS, SPLIT_PLACES = 1 << 20, 512, 32
+CHUNK_BYTES, SPLIT_DOCS, SPLIT_PLACES = 1 << 18, 512, 32
 #: Groups up to this size are compared by pairs.
 FEW = 5
 #: Grams that occur more often are extended to whole windows.
