@@ -102,12 +102,25 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+#: Spark drops the shuffle files of a query when it ends; else they stay until the driver collects its garbage.
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut by files
-    that every executor can read, so a lost executor costs nothing that was written."""
-    path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    that every executor can read, so a lost executor costs nothing that was written.  What was
+    shuffled for it goes when it is written, so no more than one step's shuffles lie on the disks."""
+    spark = df.sparkSession
+    path, before = shared_dir(spark, label), spark.conf.get(DROP_SHUFFLES, None)
+    spark.conf.set(DROP_SHUFFLES, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(DROP_SHUFFLES)
+        else:
+            spark.conf.set(DROP_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def split_join(rows: DataFrame, side: DataFrame, keys: list[str], total: int | None = None) -> DataFrame:
